@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchtide.functions.dates import of_year, search_date
-from searchtide.operators.counts import count_searches, drop_blank_keywords, roll_up
+from searchtide.operators.counts import (
+    count_searches,
+    drop_blank_keywords,
+    drop_null_keywords,
+    roll_up,
+)
 from searchtide.operators.ranking import number_rows
 from searchtide.schema import MONTHS, favourite_column
 
@@ -133,4 +138,4 @@ def top_user_rows(top1: DataFrame, n: int = 30) -> DataFrame:
 
 def total_of_favourites(top1: DataFrame) -> DataFrame:
     """Searches per keyword, counting each user's top keyword only."""
-    return roll_up(top1.dropna(subset=["keyword"]), ["keyword"])
+    return roll_up(drop_null_keywords(top1), ["keyword"])

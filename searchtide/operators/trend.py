@@ -56,7 +56,9 @@ def top_growth(grown: DataFrame, n: int = 10) -> DataFrame:
 def with_change(wide: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
     """Users with a favourite in both months, and whether it is the same one."""
     before, after = (favourite_column(m) for m in months)
-    both = wide.select("user_id", before, after).dropna(subset=[before, after])
+    both = wide.select("user_id", before, after).where(
+        F.col(before).isNotNull() & F.col(after).isNotNull()
+    )
     return both.withColumn("is_same", F.col(before) == F.col(after))
 
 

@@ -21,8 +21,8 @@ CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# No field holds this text, so a missing field differs from an empty one.
-NEVER = "\u0000"
+# A private-use character that ends a line for counting its fields.
+END = "\ue000"
 
 # A single file is written by one task; more rows than this go to many files.
 SINGLE_FILE_ROWS = 100_000
@@ -31,22 +31,30 @@ SINGLE_FILE_ROWS = 100_000
 def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows as text, without those that have more fields than the schema.
 
-    One column more than the schema is asked for: a sound line then lacks it
-    and counts as corrupt, and a line with more fields fills it.
+    Spark marks longer and shorter lines alike. A shorter one is told by reading
+    it again with one field put after it, which then falls into the schema.
     """
-    text = [T.StructField(name, T.StringType()) for name in [*schema.names, "_extra", "_corrupt"]]
+    text = [T.StructField(name, T.StringType()) for name in [*schema.names, "_corrupt"]]
+    fields = [f"f{i}" for i in range(len(schema))]
+    again = F.from_csv(
+        F.concat("_corrupt", F.lit(f",{END}")),
+        ", ".join(f"{name} STRING" for name in fields),
+        {"escape": '"'},
+    )
+    shorter = F.array_contains(F.array(*[again[name] for name in fields]), END)
+    # Spark wants a second column beside the corrupt one, whatever is selected.
+    same = F.col(schema.names[0]).eqNullSafe(again["f0"])
     return (
         spark.read.options(
             **CSV,
             multiLine="true",
-            nullValue=NEVER,
             enforceSchema="true",
             mode="PERMISSIVE",
             columnNameOfCorruptRecord="_corrupt",
         )
         .schema(T.StructType(text))
         .csv(path)
-        .where("_extra IS NULL AND _corrupt IS NOT NULL")
+        .where(F.col("_corrupt").isNull() | (shorter & same))
     )
 
 
