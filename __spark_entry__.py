@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from searchtide.functions import replies, text
 from searchtide.functions.dates import with_month
+from searchtide.functions.rules import KNOWN_KEYWORDS
 from searchtide.operators import classify as C
 from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
+from searchtide.schema import CLASSIFIED
 from searchtide.sources import parquet_log
 from searchtide.sources.star_log import search_log, table
 
@@ -31,6 +33,19 @@ WORD_RULES = [
     ("gear|BOLT", "Sports"),
 ]
 
+# Words of the log's keywords and what stands for them where the default rules
+# are tried.
+TITLE_WORDS = [
+    ("old widget", "NARUTO"),
+    ("ring", "LOVE"),
+    ("rod", "Master Key 2"),
+    ("gear", "vtv3"),
+    ("bolt", "breaking"),
+    ("anvil", "wizard"),
+    ("plate", "olive"),
+    ("gizmo", "war"),
+]
+
 
 # --- inputs derived from the tables ----------------------------------------
 
@@ -104,6 +119,15 @@ def _known(spark, d):
     )
 
 
+def _titles(spark, d):
+    """The log's keywords with words that the default rules know put in."""
+    keyword = F.col("keyword")
+    for old, new in TITLE_WORDS:
+        keyword = F.replace(keyword, F.lit(old), F.lit(new))
+    log = N.drop_null_keywords(_log(spark, d, "keyword"))
+    return N.keyword_counts(log.withColumn("keyword", keyword))
+
+
 def _ruled(spark, d):
     keywords = N.keyword_counts(N.drop_null_keywords(_log(spark, d, "keyword")))
     return C.classify_by_rules(keywords, WORD_RULES, _known(spark, d))
@@ -256,6 +280,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             C.with_positions(_clean_counts(s, d)), _local_classifier
         ),
         "classify_rules": lambda s, d: _ruled(s, d).select("keyword", "search_count", "category"),
+        "classify_default_rules": lambda s, d: C.classify_by_rules(
+            _titles(s, d), known=s.createDataFrame(KNOWN_KEYWORDS, CLASSIFIED)
+        ),
+        "classify_top30": lambda s, d: C.classify(
+            T.top_user_rows(_top1(s, d)), _local_classifier, attempts=1
+        ),
         "category_distribution": lambda s, d: _rounded(C.category_distribution(_ruled(s, d))),
     }
 
@@ -380,6 +410,24 @@ def _prompt_sql() -> str:
     return f"WITH {_PLACED} SELECT batch, '{head}' || payload || '{tail}' AS prompt FROM payloads"
 
 
+def _titles_sql() -> str:
+    title = "keyword"
+    for old, new in TITLE_WORDS:
+        title = f"replace({title}, '{old}', '{new}')"
+    return f"""WITH {_PLAIN}, titles AS (
+          SELECT {title} AS keyword, count(*) AS search_count
+          FROM log WHERE keyword IS NOT NULL GROUP BY 1)
+        SELECT keyword, search_count,
+          CASE WHEN keyword LIKE '%vtv3' THEN 'TV Channel'
+            WHEN keyword LIKE '%Master Key 2' THEN 'Reality Show'
+            WHEN keyword LIKE '%LOVE' THEN 'Romance'
+            WHEN keyword LIKE '%wizard' THEN 'Drama'
+            WHEN keyword LIKE '%war' THEN 'Action'
+            WHEN keyword LIKE '%breaking' THEN 'News'
+            WHEN keyword = 'NARUTO' THEN 'Animation'
+            ELSE 'Other' END AS category FROM titles"""
+
+
 def _normalized_sql(column: str) -> str:
     kept = f"regexp_replace(lower({column}), '[^\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Z}}\\s]', '', 'g')"
     return f"trim(regexp_replace({kept}, '[\\p{{Z}}\\s]+', ' ', 'g'))"
@@ -497,6 +545,12 @@ def oracle_sql() -> dict[str, str]:
               AS category, pos FROM batched""",
         "classify_function": f"WITH {_PLACED} SELECT keyword, category, pos FROM batched",
         "classify_rules": f"WITH {_RULED} SELECT keyword, search_count, category FROM ruled",
+        "classify_default_rules": _titles_sql(),
+        "classify_top30": f"""WITH {_PLAIN}, {_RANKED}, {_TOP30}
+            SELECT keyword, CASE WHEN keyword LIKE 'hot %' THEN 'Other'
+                WHEN keyword LIKE '%widget%' THEN 'Drama' ELSE 'News' END AS category,
+              CAST(min(pos) AS BIGINT) AS pos
+            FROM firsts GROUP BY keyword""",
         "category_distribution": f"""WITH {_RULED}
             SELECT category, n, round({share}, 6) AS pct
             FROM (SELECT category, count(*) AS n FROM ruled GROUP BY category)""",

@@ -9,7 +9,7 @@ def search_date(df: DataFrame, column: str = "datetime") -> Column:
     """The day of a search; text that is no date gives null, not an error."""
     value = F.col(column)
     if isinstance(df.schema[column].dataType, T.StringType):
-        return F.to_date(F.coalesce(F.try_to_timestamp(value), F.try_to_date(value)))
+        return value.try_cast("date")
     return F.to_date(value)
 
 

@@ -22,11 +22,12 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
         .option("pathGlobFilter", pattern)
         .load(path)
     )
+    size = F.col("_metadata.file_size")
     return found.select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("file_size"),
-        (F.col("length") / F.lit(1048576)).alias("size_mb"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        size.alias("file_size"),
+        (size / F.lit(1048576)).alias("size_mb"),
     )
 
 
@@ -34,11 +35,11 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*.parquet") -
     """Size and row count of every file of a log; rows come from the file footers."""
     rows = (
         read_log(spark, path, pattern=pattern)
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
+        .groupBy(F.col("_metadata.file_path").alias("file_path"))
         .agg(F.count("*").alias("n_rows"))
     )
-    files = list_files(spark, path, pattern).select("file_name", "file_size", "size_mb")
-    return files.join(rows, "file_name", "left").fillna(0, ["n_rows"])
+    files = list_files(spark, path, pattern)
+    return files.join(rows, "file_path", "left").fillna(0, ["n_rows"])
 
 
 def _no_files(path: str, pattern: str) -> FileNotFoundError:

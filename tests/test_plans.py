@@ -13,7 +13,7 @@ from searchtide.sources import star_log
 from tests.helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
-USES_PYTHON = {"classify_function"}
+USES_PYTHON = {"classify_function", "classify_top30"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 

@@ -68,6 +68,18 @@ def test_inventory(spark, log_dir):
     assert sum(f[3] for f in files) == 6
 
 
+def test_inventory_tells_equal_names_apart(spark, tmp_path):
+    for day in ("d 1", "d2"):
+        source = str(tmp_path / "made")
+        spark.range(3).coalesce(1).write.mode("overwrite").parquet(source)
+        (part,) = (tmp_path / "made").glob("*.parquet")
+        folder = tmp_path / "log" / day
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_bytes(part.read_bytes())
+    files = tuples(parquet_log.file_inventory(spark, str(tmp_path / "log")), "file_name", "n_rows")
+    assert files == [("part-0.parquet", 3)] * 2
+
+
 def test_unite_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2, True)], "b string, a int, c boolean")

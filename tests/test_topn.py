@@ -121,13 +121,18 @@ def test_other_months_and_one_year(dated):
 
 
 def test_dates_as_text(spark):
-    rows = [(1, "2022-06-01 10:00:00", "a"), (1, "garbage", "b"), (2, "2022-07-09", "c"), (3, "", "d")]
+    rows = [(1, "2022-06-01 10:00:00", "a"), (1, "garbage", "b"), (2, "2022-07-09", "c"), (3, "", "d"),
+            (4, "2022-06-30T23:30:00-05:00", "e")]
     log = spark.createDataFrame(rows, "user_id long, datetime string, keyword string")
     assert bag(with_month(log), "user_id", "month") == sorted(
-        [(1, 6), (1, None), (2, 7), (3, None)], key=repr
+        [(1, 6), (1, None), (2, 7), (3, None), (4, 6)], key=repr
     )
-    assert bag(T.monthly_favourites(log)) == [(1, "a", None), (2, None, "c"), (3, None, None)]
-    assert bag(T.monthly_favourites(log, year=2022)) == [(1, "a", None), (2, None, "c")]
+    assert bag(T.monthly_favourites(log)) == [
+        (1, "a", None), (2, None, "c"), (3, None, None), (4, "e", None),
+    ]
+    assert bag(T.monthly_favourites(log, year=2022)) == [
+        (1, "a", None), (2, None, "c"), (4, "e", None),
+    ]
 
 
 def test_first_user_rows_skip_blank_and_keep_repeats(spark):
