@@ -58,8 +58,12 @@ def best_keyword(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def in_report_order(top: DataFrame) -> DataFrame:
-    """Highest counts first; the other columns keep equal counts in many ranges."""
-    last = [F.asc_nulls_last(c) for c in top.columns if c != "search_count"]
+    """Highest counts first, then by group and rank.
+
+    Counts repeat a lot: without a second key, all rows of one count would be
+    sorted by one task.
+    """
+    last = [F.asc_nulls_last(c) for c in top.columns if c not in ("search_count", "keyword")]
     return top.orderBy(F.desc("search_count"), *last)
 
 
