@@ -15,15 +15,20 @@ def object_text(reply: Column) -> Column:
 def parse_reply(reply: Column) -> Column:
     """The reply's object as a map, or null unless it is one non-empty object.
 
-    The span is parsed as the only element of an array: text after the object,
-    or a second object, then fails to parse.
+    Spark ignores what follows a complete value. So the span is parsed once as
+    the only element of an array and once as the only field of an object: no
+    text after it can go on in both.
     """
+    strict = {"allowSingleQuotes": "false"}
+    span = object_text(reply)
     items = F.from_json(
-        F.concat(F.lit("["), object_text(reply), F.lit("]")),
-        "array<map<string,string>>",
-        {"allowSingleQuotes": "false"},
+        F.concat(F.lit("["), span, F.lit("]")), "array<map<string,string>>", strict
     )
-    return F.when((F.size(items) == 1) & (F.size(items[0]) > 0), items[0])
+    field = F.from_json(
+        F.concat(F.lit('{"":'), span, F.lit("}")), "map<string,string>", strict
+    )
+    whole = (F.size(items) == 1) & (F.size(field) == 1) & (F.size(items[0]) > 0)
+    return F.when(whole, items[0])
 
 
 def lookup(answers: Column, keyword: Column) -> Column:

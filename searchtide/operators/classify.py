@@ -85,6 +85,19 @@ def with_prompts(batches: DataFrame, **parts) -> DataFrame:
     return batches.withColumn("prompt", F.concat(F.lit(head), F.col("payload"), F.lit(tail)))
 
 
+def _storable(text: str) -> str:
+    """Half a surrogate pair, which JSON allows, cannot be stored as UTF-8."""
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def _as_text(value) -> str | None:
+    if value is None:
+        return None
+    if not isinstance(value, str):
+        value = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    return _storable(value)
+
+
 def _answers_in(reply: str) -> dict | None:
     """The one non-empty JSON object of a reply, as text values."""
     first, last = reply.find("{"), reply.rfind("}")
@@ -94,11 +107,7 @@ def _answers_in(reply: str) -> dict | None:
         found = json.loads(reply[first : last + 1])
     except ValueError:
         return None
-    as_text = {
-        key: value if value is None or isinstance(value, str) else json.dumps(value)
-        for key, value in found.items()
-    }
-    return as_text or None
+    return {_storable(key): _as_text(value) for key, value in found.items()} or None
 
 
 def ask(
@@ -120,7 +129,7 @@ def ask(
         reply, status = None, "failed"
         for attempt in range(1, attempts + 1):
             try:
-                reply = classifier(keywords)
+                reply = _storable(classifier(keywords))
                 answers = _answers_in(reply)
             except Exception:
                 status = "failed"

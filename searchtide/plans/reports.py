@@ -74,6 +74,17 @@ def figures(
     return short
 
 
+def profiles(stored: dict[str, DataFrame], out: str) -> DataFrame:
+    """Rows, columns and missing values of the stored tables."""
+    parts = [
+        P.table_profile(df).select(F.lit(name).alias("table_name"), "*")
+        for name, df in stored.items()
+    ]
+    profile = parquet_log.unite(*parts)
+    tables.write_csv(profile, f"{out}/csv/profiles", single_file=True)
+    return profile
+
+
 def classification(
     keywords: DataFrame,
     out: str,
@@ -118,15 +129,15 @@ def search_report(
     counts = store_counts(parquet_log.read_log(spark, log_path), out, clean)
     top3, top1 = top_keywords(counts, out)
     wide = top_keyword_by_month(counts, out, months)
-    results = {"top3_keywords": top3, "top1_keywords": top1, "top_keyword_by_month": wide}
-    results |= figures(top1, wide, out, months)
+    stored = {"top3_keywords": top3, "top1_keywords": top1, "top_keyword_by_month": wide}
+    results = stored | figures(top1, wide, out, months)
     if whole_log:
         popular = N.drop_blank_keywords(N.roll_up(counts, ["keyword"]))
         keywords = C.with_positions(popular)
     else:
         keywords = T.top_user_rows(top1)
-    results["keyword_classified"] = classification(keywords, out, classifier, **options)
-    return results
+    stored["keyword_classified"] = classification(keywords, out, classifier, **options)
+    return results | stored | {"profiles": profiles(stored, out)}
 
 
 def day_report(spark: SparkSession, root: str, day: str, out: str) -> dict[str, DataFrame]:

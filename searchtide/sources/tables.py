@@ -28,7 +28,9 @@ END = "\ue000"
 SINGLE_FILE_ROWS = 100_000
 
 
-def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _parsed(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+) -> DataFrame:
     """Rows as text, without those that have more fields than the schema.
 
     Spark marks longer and shorter lines alike. A shorter one is told by reading
@@ -47,7 +49,7 @@ def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.options(
             **CSV,
-            multiLine="true",
+            multiLine=multiline,
             enforceSchema="true",
             mode="PERMISSIVE",
             columnNameOfCorruptRecord="_corrupt",
@@ -58,19 +60,22 @@ def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+) -> DataFrame:
     """A headed CSV table with columns named by position.
 
     Lines with too many fields are skipped, missing fields and empty ones are
     null, a value that does not fit its type is null. A folder without CSV
-    files is an error.
+    files is an error. ``multiline`` allows line breaks inside quotes, at the
+    price of one task per file; large files without them are better split.
     """
     if not csv_exists(spark, path):
         raise FileNotFoundError(f"no CSV file in {path}")
     fields = [
         F.nullif(F.col(f.name), F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema
     ]
-    return _parsed(spark, path, schema).select(*fields)
+    return _parsed(spark, path, schema, multiline).select(*fields)
 
 
 def csv_exists(spark: SparkSession, path: str) -> bool:

@@ -1,6 +1,7 @@
 """Replies, batches, the classifier loop and the rules."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,11 @@ REPLIES = [
     ('{"a": "Drama", "a": "News"}', "News"),
     ('{"a": "Drama",}', None),
     ('{"a": 3}', "3"),
+    ('{"a": {"b": [1, "x"]}}', '{"b":[1,"x"]}'),
+    ('{"a": "X"}] more }', None),
+    ('{"a": "X"},{}] more }', None),
+    ('{"a": "X"}} more }', None),
+    ('{"a": "X"}, "b": "Y"}', None),
     (None, None),
 ]
 
@@ -50,6 +56,33 @@ def test_classifier_loop_reads_replies_the_same_way(reply, category):
         assert (answers.get("a") or "Other") == category
 
 
+FRAGMENTS = [
+    "{", "}", "[", "]", ",", ":", '"a"', '"b"', '"Drama"', "null", "true", "3", "-", "\n", " ", "text",
+    '"', "\\", "\\u0041", '"a":"N"', '"đ"', "// c", "\t", "\x01", "'a'", "01", '{"a":"X"}', '""',
+]
+
+
+def test_both_readers_agree_on_any_text(spark):
+    draw = random.Random(11)
+    texts = []
+    for i in range(4000):
+        body = "".join(draw.choice(FRAGMENTS) for _ in range(draw.randint(1, 6)))
+        texts.append([body, "{" + body + "}", '{"a":' + body + "}", '{"b":"B",' + body + "} x"][i % 4])
+    df = spark.createDataFrame([(t,) for t in texts], "reply string")
+    parsed = replies.parse_reply(F.col("reply"))
+    found = tuples(df, "reply", parsed.isNotNull(), replies.lookup(parsed, F.lit("a")))
+    for text, valid, category in found:
+        answers = C._answers_in(text)
+        assert valid == (answers is not None), text
+        said = (answers or {}).get("a")
+        assert category == ("Other" if said is None else said), text
+
+
+def test_half_a_surrogate_pair(spark):
+    asked = outcome(spark, lambda keywords: '{"a": "x\\ud83d", "b": "y\ud83d"}')
+    assert bag(C.look_up(asked), "keyword", "category") == [("a", "x?"), ("b", "y?")]
+
+
 def test_preview(spark):
     df = spark.createDataFrame([("x" * 600,)], "reply string")
     assert len(df.select(replies.preview(F.col("reply"))).first()[0]) == 500

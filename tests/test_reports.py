@@ -70,7 +70,9 @@ def test_search_report(spark, log_dir, tmp_path):
     assert found == {k: "Other" if k == "bolero" else "Drama" for k in firsts}
     stored = tables.read_csv(spark, f"{out}/csv/keyword_classified", CLASSIFIED)
     assert dict(bag(stored)) == found
-    for name in ("top20_overall", "month_compare_top20", "top_keyword_retention",
+    sizes = {r[0]: r[1] for r in tuples(results["profiles"], "table_name", "n_rows")}
+    assert sizes["top3_keywords"] == len(top3) and sizes["top_keyword_by_month"] == len(users)
+    for name in ("profiles", "top20_overall", "month_compare_top20", "top_keyword_retention",
                  "month_growth_top10", "category_distribution"):
         assert spark.read.csv(f"{out}/csv/{name}", header=True).columns
 

@@ -125,6 +125,12 @@ def test_malformed_lines(spark, tmp_path):
     assert report == [(11, 4, 6)]
 
 
+def test_split_files(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("k,c\na,News\nb,Drama,more\nc\n")
+    found = tables.read_csv(spark, str(tmp_path), CLASSIFIED, multiline=False)
+    assert bag(found) == sorted([("a", "News"), ("c", None)], key=repr)
+
+
 def test_names_go_by_position_and_types_may_fail(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c,d\nu,k,5,1\nv,k,many,2\n")
     assert tuples(tables.read_csv(spark, str(tmp_path), TOP_KEYWORDS)) == [
