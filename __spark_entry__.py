@@ -20,7 +20,6 @@ from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.schema import CLASSIFIED
 from searchtide.sources import parquet_log
 from searchtide.sources.star_log import search_log, table
 
@@ -281,7 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "classify_rules": lambda s, d: _ruled(s, d).select("keyword", "search_count", "category"),
         "classify_default_rules": lambda s, d: C.classify_by_rules(
-            _titles(s, d), known=s.createDataFrame(KNOWN_KEYWORDS, CLASSIFIED)
+            _titles(s, d), known=KNOWN_KEYWORDS
         ),
         "classify_top30": lambda s, d: C.classify(
             T.top_user_rows(_top1(s, d)), _local_classifier, attempts=1

@@ -35,18 +35,18 @@ WORD_HINTS = [
 ]
 
 # Names whose category no hint word tells.
-KNOWN_KEYWORDS = [
-    ("naruto", "Animation"),
-    ("fairy tail", "Animation"),
-    ("đại chiến titan", "Animation"),
-    ("argen", "Sports"),
-    ("pent", "C Drama"),
-    ("những người thừa kế", "K Drama"),
-    ("bolero", "Music"),
-    ("bigfoot", "Horror"),
-    ("s.w.a.t.", "Action"),
-    ("youtube", "Other"),
-]
+KNOWN_KEYWORDS = {
+    "naruto": "Animation",
+    "fairy tail": "Animation",
+    "đại chiến titan": "Animation",
+    "argen": "Sports",
+    "pent": "C Drama",
+    "những người thừa kế": "K Drama",
+    "bolero": "Music",
+    "bigfoot": "Horror",
+    "s.w.a.t.": "Action",
+    "youtube": "Other",
+}
 
 
 def default_rules() -> list[tuple[str, str]]:

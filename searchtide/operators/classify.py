@@ -7,7 +7,7 @@ answers are parsed and merged by column expressions.
 
 import json
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -105,7 +105,7 @@ def _answers_in(reply: str) -> dict | None:
         return None
     try:
         found = json.loads(reply[first : last + 1])
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
     return {_storable(key): _as_text(value) for key, value in found.items()} or None
 
@@ -185,22 +185,28 @@ def merge_answers(looked_up: DataFrame) -> DataFrame:
 def classify_by_rules(
     keywords: DataFrame,
     rules: Sequence[tuple[str, str]] | None = None,
-    known: DataFrame | None = None,
+    known: DataFrame | Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Category by the first matching rule, then by a table of names, then the default.
+    """Category by the first matching rule, then by name, then the default.
 
-    ``known`` holds (keyword, category) and is matched whatever the case. Give
+    ``known`` names the category of whole keywords, whatever the case: a short
+    mapping, or a table (keyword, category) of any size, which is joined. Give
     distinct keywords: one row per key keeps the join even.
     """
     by_rule = category_by_rules(F.col("keyword"), rules)
-    if known is None:
-        return keywords.withColumn("category", F.coalesce(by_rule, F.lit(DEFAULT_CATEGORY)))
-    names = (
-        known.groupBy(F.lower("keyword").alias("_name")).agg(F.min("category").alias("_known"))
-    )
-    joined = keywords.join(names, F.lower("keyword") == F.col("_name"), "left")
-    category = F.coalesce(by_rule, F.col("_known"), F.lit(DEFAULT_CATEGORY))
-    return joined.withColumn("category", category).drop("_name", "_known")
+    if isinstance(known, DataFrame):
+        names = known.groupBy(F.lower("keyword").alias("_name")).agg(
+            F.min("category").alias("_known")
+        )
+        keywords = keywords.join(names, F.lower("keyword") == F.col("_name"), "left")
+        by_name = F.col("_known")
+    elif known:
+        pairs = [F.lit(text) for name in known for text in (name.lower(), known[name])]
+        by_name = F.try_element_at(F.create_map(*pairs), F.lower("keyword"))
+    else:
+        by_name = F.lit(None)
+    category = F.coalesce(by_rule, by_name, F.lit(DEFAULT_CATEGORY))
+    return keywords.withColumn("category", category).drop("_name", "_known")
 
 
 def category_distribution(classified: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ from searchtide.operators.ranking import number_rows
 from searchtide.schema import MONTHS, favourite_column
 
 
-
 def best_first() -> list[Column]:
     return [F.desc("search_count"), F.asc_nulls_last("keyword")]
 

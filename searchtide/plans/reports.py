@@ -16,7 +16,7 @@ from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.schema import CLASSIFIED, MONTHS, REPLIES
+from searchtide.schema import MONTHS, REPLIES
 from searchtide.sources import parquet_log, tables
 
 
@@ -98,8 +98,7 @@ def classification(
     """
     spark = keywords.sparkSession
     if classifier is None:
-        known = spark.createDataFrame(KNOWN_KEYWORDS, CLASSIFIED)
-        found = C.classify_by_rules(C.distinct_keywords(keywords), known=known)
+        found = C.classify_by_rules(C.distinct_keywords(keywords), known=KNOWN_KEYWORDS)
     else:
         asked = C.ask(C.cut_batches(keywords), classifier, **options)
         tables.write_json(asked, f"{out}/replies")

@@ -194,14 +194,18 @@ def test_default_rules(spark, keyword, category):
 
 
 def test_rules_then_names_then_default(spark):
-    known = spark.createDataFrame(KNOWN_KEYWORDS, CLASSIFIED)
     keywords = positioned(spark, ["NARUTO", "ARGEN", "love", "clip", "S.W.A.T."])
-    found = C.classify_by_rules(keywords, known=known)
-    assert bag(found, "keyword", "category") == [
-        ("ARGEN", "Sports"), ("NARUTO", "Animation"), ("S.W.A.T.", "Action"),
-        ("clip", "Other"), ("love", "Romance"),
-    ]
-    assert {c for _, c in KNOWN_KEYWORDS} <= set(CATEGORIES)
+    table = spark.createDataFrame([(k.upper(), c) for k, c in KNOWN_KEYWORDS.items()], CLASSIFIED)
+    for known in (KNOWN_KEYWORDS, table):
+        found = C.classify_by_rules(keywords, known=known)
+        assert found.columns == ["keyword", "pos", "category"]
+        assert bag(found, "keyword", "category") == [
+            ("ARGEN", "Sports"), ("NARUTO", "Animation"), ("S.W.A.T.", "Action"),
+            ("clip", "Other"), ("love", "Romance"),
+        ]
+    bare = C.classify_by_rules(keywords)
+    assert bag(bare, "keyword", "category")[1] == ("NARUTO", "Other")
+    assert set(KNOWN_KEYWORDS.values()) <= set(CATEGORIES)
 
 
 def test_distribution(spark):
