@@ -7,6 +7,7 @@ The queries run on a search log made of order lines (see
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,9 @@ from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.sources import parquet_log
+from searchtide.schema import REPLIES
+from searchtide.session import checkpoint_folder
+from searchtide.sources import parquet_log, tables
 from searchtide.sources.star_log import search_log, table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -157,6 +160,32 @@ def _parsed_parts(spark, d):
     )
 
 
+def _new_folder(spark) -> str:
+    """A folder of its own in the shared place for checkpoints."""
+    return f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
+def _csv_round_trip(spark, d):
+    path = _new_folder(spark)
+    top = T.top_n_keywords(_log(spark, d, "user_id", "keyword"), 3)
+    tables.write_csv(T.in_report_order(top), path)
+    return tables.read_csv(spark, path, top.schema)
+
+
+def _csv_load_report(spark, d):
+    path = _new_folder(spark)
+    counts = N.user_keyword_counts(_log(spark, d, "user_id", "keyword", dirty=True))
+    tables.write_csv(counts, path)
+    report = tables.load_report(spark, path, counts.schema)
+    return report.agg(F.sum("parsed").alias("parsed"), F.sum("skipped").alias("skipped"))
+
+
+def _json_round_trip(spark, d):
+    path = _new_folder(spark)
+    tables.write_json(_answered(spark, d), path)
+    return C.look_up(tables.read_json(spark, path, REPLIES))
+
+
 def _union_days(spark, d):
     events = table(spark, d, "events")
     noon = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
@@ -194,6 +223,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_day": lambda s, d: parquet_log.read_day(s, d, "events.parquet"),
         "union_days": _union_days,
         "source_inventory": lambda s, d: parquet_log.file_inventory(s, d, "lineitem.parquet"),
+        "source_rows": lambda s, d: parquet_log.file_inventory(s, d, "lineitem.parquet").select(
+            "file_name", "n_rows"
+        ),
+        "csv_round_trip": _csv_round_trip,
+        "csv_load_report": _csv_load_report,
+        "json_round_trip": _json_round_trip,
         "schema_profile": lambda s, d: P.schema_profile(table(s, d, "lineitem")),
         "table_profile": lambda s, d: P.table_profile(_log(s, d)),
         "preview": lambda s, d: P.preview(_log(s, d)),
@@ -218,6 +253,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_month_keyword_count": lambda s, d: N.user_month_keyword_counts(
             _log(s, d, "user_id", "datetime", "keyword")
         ),
+        "user_keyword_count_by_month": lambda s, d: N.user_keyword_counts_by_month(
+            _log(s, d, "user_id", "datetime", "keyword")
+        ),
         "keyword_frequency": lambda s, d: N.keyword_counts(_log(s, d, "keyword")),
         "distinct_category": lambda s, d: N.distinct_values(_log(s, d, "category"), "category"),
         # ranks and top-n
@@ -441,6 +479,14 @@ def oracle_sql() -> dict[str, str]:
         "scan_day": "SELECT * FROM events",
         "union_days": """SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16'
             UNION ALL SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+        "source_rows": """SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows
+            FROM lineitem""",
+        "csv_round_trip": f"""WITH {_PLAIN}, {_RANKED}
+            SELECT {top3} FROM ranked WHERE place <= 3""",
+        "csv_load_report": f"""WITH {_DIRTY}
+            SELECT count(*) AS parsed, CAST(0 AS BIGINT) AS skipped
+            FROM (SELECT DISTINCT user_id, keyword FROM log)""",
+        "json_round_trip": f"WITH {_PLACED} SELECT batch, pos, keyword, category FROM batched",
         "schema_profile": _schema_sql(),
         "table_profile": _profile_sql(),
         "derive_month": f"""WITH {_PLAIN} SELECT user_id, CAST(datetime AS DATE) AS date,
@@ -465,6 +511,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, keyword, count(*) AS search_count FROM log GROUP BY ALL""",
         "user_month_keyword_count": f"""WITH {_PLAIN}, {_MONTHLY}
             SELECT user_id, month, keyword, search_count FROM monthly""",
+        "user_keyword_count_by_month": f"""WITH {_PLAIN}
+            SELECT user_id, keyword, count(*) AS search_count,
+              count(*) FILTER (WHERE month(datetime) = 6) AS count_t6,
+              count(*) FILTER (WHERE month(datetime) = 7) AS count_t7
+            FROM log GROUP BY user_id, keyword""",
         "keyword_frequency": f"""WITH {_PLAIN}
             SELECT keyword, count(*) AS search_count FROM log GROUP BY ALL""",
         "distinct_category": f"WITH {_PLAIN} SELECT DISTINCT category FROM log",

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchtide.functions import text
-from searchtide.functions.dates import with_month
+from searchtide.functions.dates import search_date, with_month
+from searchtide.schema import MONTHS, count_column
 
 
 def drop_null_keywords(df: DataFrame) -> DataFrame:
@@ -42,6 +43,19 @@ def user_month_keyword_counts(log: DataFrame) -> DataFrame:
     return count_searches(with_month(log), ["user_id", "month", "keyword"])
 
 
+def user_keyword_counts_by_month(log: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
+    """Searches per user and keyword: all of them, and those of each asked month.
+
+    One shuffle's worth of counts for the top keywords over all months and for
+    the monthly favourites alike.
+    """
+    month = F.month(search_date(log))
+    per_month = [F.count_if(month == m).alias(count_column(m)) for m in months]
+    return log.groupBy("user_id", "keyword").agg(
+        F.count("*").alias("search_count"), *per_month
+    )
+
+
 def keyword_counts(log: DataFrame) -> DataFrame:
     return count_searches(log, ["keyword"])
 

@@ -11,23 +11,25 @@ from searchtide.operators.counts import (
     drop_blank_keywords,
     drop_null_keywords,
     roll_up,
+    user_keyword_counts_by_month,
 )
 from searchtide.operators.ranking import number_rows
-from searchtide.schema import MONTHS, favourite_column
+from searchtide.schema import MONTHS, count_column, favourite_column
 
 
 def best_first() -> list[Column]:
     return [F.desc("search_count"), F.asc_nulls_last("keyword")]
 
 
-def _best(when: Column | None = None) -> Column:
+def _best(count: str = "search_count") -> Column:
     """The best (count, keyword) of a group as an aggregate of its rows."""
+    found = F.col(count)
     row = F.struct(
-        (-F.col("search_count")).alias("minus"),
+        (-found).alias("minus"),
         F.col("keyword").isNull().alias("missing"),
         F.col("keyword").alias("keyword"),
     )
-    return F.min(row if when is None else F.when(when, row))
+    return F.min(F.when(found > 0, row))
 
 
 def rank_keywords(counts: DataFrame, by: Sequence[str], n: int | None = None) -> DataFrame:
@@ -89,15 +91,14 @@ def first_of_top(top: DataFrame) -> DataFrame:
     return top.where(F.col("rank") == 1)
 
 
-def pivot_favourites(counts: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
+def favourites(counts: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
     """One row per user, the best keyword of each month side by side.
 
-    Ranking and pivot are one aggregate on the user. Users with no search in
-    these months keep a row of nulls.
+    Takes counts by user and keyword with a column per month; ranking and pivot
+    are one aggregate on the user. Users with no search in these months keep a
+    row of nulls.
     """
-    cells = [
-        _best(F.col("month") == m)["keyword"].alias(favourite_column(m)) for m in months
-    ]
+    cells = [_best(count_column(m))["keyword"].alias(favourite_column(m)) for m in months]
     return counts.groupBy("user_id").agg(*cells)
 
 
@@ -121,14 +122,9 @@ def monthly_favourites(
     rows = drop_blank_keywords(log) if clean else log
     if year is not None:
         rows = of_year(rows, year)
-    month = F.month(search_date(rows))
-    wanted = month.isin(*months)
-    slim = rows.select(
-        "user_id",
-        F.when(wanted, month).alias("month"),
-        F.when(wanted, F.col("keyword")).alias("keyword"),
-    )
-    return pivot_favourites(count_searches(slim, ["user_id", "month", "keyword"]), months)
+    wanted = F.month(search_date(rows)).isin(*months)
+    folded = rows.withColumn("keyword", F.when(wanted, F.col("keyword")))
+    return favourites(user_keyword_counts_by_month(folded, months), months)
 
 
 def top_user_rows(top1: DataFrame, n: int = 30) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from searchtide.functions.dates import with_month
 from searchtide.functions.rules import KNOWN_KEYWORDS
 from searchtide.operators import classify as C
 from searchtide.operators import counts as N
@@ -25,18 +26,18 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_counts(log: DataFrame, out: str, clean: bool = False) -> DataFrame:
-    """Searches per user, month and keyword; the only stage that reads the log."""
+def store_counts(
+    log: DataFrame, out: str, months: Sequence[int] = MONTHS, clean: bool = False
+) -> DataFrame:
+    """Searches per user and keyword, in all and by month; the stage that reads the log."""
     rows = N.drop_blank_keywords(log) if clean else log
-    return _stored(N.user_month_keyword_counts(rows), f"{out}/counts")
+    return _stored(N.user_keyword_counts_by_month(rows, months), f"{out}/counts")
 
 
 def top_keywords(counts: DataFrame, out: str, n: int = 3) -> tuple[DataFrame, DataFrame]:
     """Top n and top 1 keywords per user, over all months."""
-    per_user = N.roll_up(counts, ["user_id", "keyword"])
-    ranked = T.rank_keywords(per_user, ["user_id"], n)
-    columns = ["user_id", "keyword", "search_count", "rank"]
-    top = _stored(ranked.select(*columns), f"{out}/top{n}_keywords")
+    ranked = T.rank_keywords(counts.select("user_id", "keyword", "search_count"), ["user_id"], n)
+    top = _stored(ranked, f"{out}/top{n}_keywords")
     first = T.first_of_top(top)
     tables.write_csv(T.in_report_order(top), f"{out}/csv/top{n}_keywords")
     tables.write_csv(T.in_report_order(first), f"{out}/csv/top1_keywords")
@@ -47,15 +48,15 @@ def top_keyword_by_month(
     counts: DataFrame, out: str, months: Sequence[int] = MONTHS
 ) -> DataFrame:
     """Favourite keyword per user, the months side by side."""
-    wide = _stored(T.pivot_favourites(counts, months), f"{out}/top_keyword_by_month")
+    wide = _stored(T.favourites(counts, months), f"{out}/top_keyword_by_month")
     tables.write_csv(wide, f"{out}/csv/top_keyword_by_month")
     return wide
 
 
-def top_per_month(counts: DataFrame, out: str, n: int = 3) -> DataFrame:
-    """Top n keywords per user and month, in long form."""
-    ranked = T.rank_keywords(counts, ["user_id", "month"], n)
-    return _stored(ranked, f"{out}/top{n}_keywords_by_month")
+def top_per_month(log: DataFrame, out: str, n: int = 3, clean: bool = False) -> DataFrame:
+    """Top n keywords per user and month, in long form, for every month of the log."""
+    top = T.top_n_keywords(with_month(log), n, ["user_id", "month"], clean)
+    return _stored(top, f"{out}/top{n}_keywords_by_month")
 
 
 def figures(
@@ -125,7 +126,7 @@ def search_report(
     **options,
 ) -> dict[str, DataFrame]:
     """All reports of a log. ``whole_log`` classifies every keyword, not the top 30 rows."""
-    counts = store_counts(parquet_log.read_log(spark, log_path), out, clean)
+    counts = store_counts(parquet_log.read_log(spark, log_path), out, months, clean)
     top3, top1 = top_keywords(counts, out)
     wide = top_keyword_by_month(counts, out, months)
     stored = {"top3_keywords": top3, "top1_keywords": top1, "top_keyword_by_month": wide}

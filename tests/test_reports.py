@@ -12,6 +12,7 @@ from searchtide.functions.rules import CATEGORIES
 from searchtide.plans import reports
 from searchtide.schema import CLASSIFIED, LOG, TOP_KEYWORDS, wide_schema
 from searchtide.sources import tables
+from searchtide.sources.parquet_log import read_log
 from tests.helpers import bag, tuples
 
 WORDS = ["NARUTO", "vtv1", "love song", "bolero", "phim hay", 'x "y", z', None, " "]
@@ -90,9 +91,7 @@ def test_clean_report_of_every_keyword_by_rules(spark, log_dir, tmp_path):
 
 
 def test_long_form_per_month(spark, log_dir, tmp_path):
-    counts = spark.read.option("recursiveFileLookup", "true").parquet(log_dir)
-    stored = reports.store_counts(counts, str(tmp_path))
-    top = reports.top_per_month(stored, str(tmp_path), 1)
+    top = reports.top_per_month(read_log(spark, log_dir), str(tmp_path), 1)
     june = Counter((r[2], r[3]) for r in searches() if r[1].month == 6)
     expected = [(u, *best(june, u, 1)[0]) for u in {u for u, _ in june}]
     assert bag(top.where("month = 6"), "user_id", "keyword", "search_count") == sorted(

@@ -103,8 +103,13 @@ def test_month_columns(dated):
 
 
 def test_month_columns_from_stored_counts(dated):
-    counts = N.user_month_keyword_counts(dated)
-    assert bag(T.pivot_favourites(counts)) == sorted(WIDE, key=repr)
+    counts = N.user_keyword_counts_by_month(dated)
+    assert bag(T.favourites(counts)) == sorted(WIDE, key=repr)
+    assert bag(counts.where("user_id IN (4, 5)")) == [
+        (4, "may only", 1, 0, 0), (5, "a", 2, 2, 0), (5, "b", 1, 1, 0),
+    ]
+    total = counts.select("user_id", "keyword", "search_count")
+    assert bag(total) == bag(N.user_keyword_counts(dated))
 
 
 def test_month_columns_from_ranked_rows(dated):
