@@ -7,12 +7,16 @@ The queries run on a search log made of order lines (see
 from __future__ import annotations
 
 import json
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from searchtide.functions import replies, text
 from searchtide.functions.dates import with_month
 from searchtide.functions.rules import KNOWN_KEYWORDS
@@ -97,9 +101,12 @@ def _answered(spark, d):
     return C.with_parsed_answers(_replied(_batches(spark, d), _not_hot))
 
 
-def _local_classifier(keywords: list[str]) -> str:
-    named = {k: "Drama" if "widget" in k else "News" for k in keywords if "hot " not in k.lower()}
-    return "Sure: " + json.dumps(named)
+def _local_classifier() -> Callable[[list[str]], str]:
+    def reply(keywords: list[str]) -> str:
+        cold = [k for k in keywords if "hot " not in k.lower()]
+        return "Sure: " + json.dumps({k: "Drama" if "widget" in k else "News" for k in cold})
+
+    return reply
 
 
 def _spelled(spark, d):
@@ -314,14 +321,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classify_missing": lambda s, d: C.not_answered(_clean_counts(s, d), _answered(s, d)),
         "classify_merge": _merged,
         "classify_function": lambda s, d: C.classify(
-            C.with_positions(_clean_counts(s, d)), _local_classifier
+            C.with_positions(_clean_counts(s, d)), _local_classifier()
         ),
         "classify_rules": lambda s, d: _ruled(s, d).select("keyword", "search_count", "category"),
         "classify_default_rules": lambda s, d: C.classify_by_rules(
             _titles(s, d), known=KNOWN_KEYWORDS
         ),
         "classify_top30": lambda s, d: C.classify(
-            T.top_user_rows(_top1(s, d)), _local_classifier, attempts=1
+            T.top_user_rows(_top1(s, d)), _local_classifier(), attempts=1
         ),
         "category_distribution": lambda s, d: _rounded(C.category_distribution(_ruled(s, d))),
     }

@@ -19,6 +19,7 @@ from searchtide.functions.rules import CATEGORIES, category_by_rules, default_ru
 from searchtide.operators.ranking import number_rows
 from searchtide.operators.trend import share_of
 from searchtide.schema import REPLIES
+from searchtide.session import ship_package
 
 BATCH_SIZE = 10
 OUTCOME = ("reply", "answers", "status", "attempts")
@@ -147,6 +148,7 @@ def ask(
             outcome = pd.DataFrame(asked, columns=list(OUTCOME), index=frame.index)
             yield pd.concat([frame, outcome], axis=1)
 
+    ship_package(batches.sparkSession)
     tasks = parallel or batches.sparkSession.sparkContext.defaultParallelism
     wanted = batches.select("batch", "positions", "keywords").repartition(tasks, "batch")
     return wanted.mapInPandas(per_task, REPLIES)

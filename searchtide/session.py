@@ -1,6 +1,8 @@
-"""Session helpers: where reliable checkpoints go."""
+"""Session helpers: where reliable checkpoints go, and the package on the workers."""
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,3 +26,19 @@ def checkpoint_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="searchtide-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver runs.
+
+    Nothing is done if it was shipped before, or runs out of an archive, as with
+    ``--py-files``.
+    """
+    package = Path(__file__).parent
+    context = spark.sparkContext
+    archive = f"{package.name}.zip"
+    if not package.is_dir() or any(name.endswith(archive) for name in context.listFiles):
+        return
+    folder = Path(tempfile.mkdtemp(prefix="searchtide-code-"))
+    shutil.make_archive(str(folder / package.name), "zip", package.parent, package.name)
+    context.addPyFile(str(folder / archive))
