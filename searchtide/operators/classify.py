@@ -6,10 +6,12 @@ answers are parsed and merged by column expressions.
 """
 
 import json
+import sys
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,13 @@ from searchtide.functions.rules import CATEGORIES, category_by_rules, default_ru
 from searchtide.operators.ranking import number_rows
 from searchtide.operators.trend import share_of
 from searchtide.schema import REPLIES
-from searchtide.session import ship_package
 
 BATCH_SIZE = 10
 OUTCOME = ("reply", "answers", "status", "attempts")
 
+# Tasks carry the functions below with them: workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def distinct_keywords(positioned: DataFrame) -> DataFrame:
     """Each keyword once, at its first position."""
@@ -148,7 +152,6 @@ def ask(
             outcome = pd.DataFrame(asked, columns=list(OUTCOME), index=frame.index)
             yield pd.concat([frame, outcome], axis=1)
 
-    ship_package(batches.sparkSession)
     tasks = parallel or batches.sparkSession.sparkContext.defaultParallelism
     wanted = batches.select("batch", "positions", "keywords").repartition(tasks, "batch")
     return wanted.mapInPandas(per_task, REPLIES)
