@@ -160,6 +160,7 @@ def _parsed_parts(spark, d):
     answers = replies.parse_reply(F.col("reply"))
     return _part_replies(spark, d).select(
         "p_partkey",
+        replies.preview(F.col("reply")).alias("preview"),
         replies.object_text(F.col("reply")).alias("object_text"),
         F.coalesce(F.size(answers), F.lit(0)).alias("n_keys"),
         answers.isNotNull().alias("is_valid"),
@@ -245,6 +246,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "drop_null_keyword": lambda s, d: N.drop_null_keywords(_log(s, d, dirty=True)),
         "drop_blank_keyword": lambda s, d: N.drop_blank_keywords(_log(s, d, dirty=True)),
+        "strip_keyword": lambda s, d: _log(s, d, "user_id", "keyword", dirty=True).select(
+            "user_id", text.strip(F.col("keyword")).alias("keyword")
+        ),
         "normalize_keyword": lambda s, d: N.normalize_keywords(
             _log(s, d, "user_id", "keyword", dirty=True)
         ),
@@ -500,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(month(datetime) AS INTEGER) AS month FROM log""",
         "drop_null_keyword": f"WITH {_DIRTY} SELECT * FROM log WHERE keyword IS NOT NULL",
         "drop_blank_keyword": f"WITH {_DIRTY} SELECT * FROM log WHERE trim(keyword) <> ''",
+        "strip_keyword": f"WITH {_DIRTY} SELECT user_id, trim(keyword) AS keyword FROM log",
         "normalize_keyword": f"""WITH {_DIRTY}, plain AS (
             SELECT user_id, {_normalized_sql("keyword")} AS keyword FROM log)
             SELECT * FROM plain WHERE keyword <> ''""",
@@ -581,19 +586,25 @@ def oracle_sql() -> dict[str, str]:
         "classify_batches": f"WITH {_PLACED} SELECT batch, payload FROM payloads",
         "classify_prompts": _prompt_sql(),
         "extract_json": """WITH replies AS (
-              SELECT p_partkey, p_type, '{"' || p_name || '": ' AS head FROM part)
-            SELECT p_partkey,
-              CASE p_type WHEN 'ECONOMY' THEN head || '"Drama"}'
-                WHEN 'LARGE' THEN head || '"Action",' || chr(10) || ' "x": "News"}'
-                WHEN 'MEDIUM' THEN NULL WHEN 'PROMO' THEN head || '"Music"}'
-                WHEN 'SMALL' THEN '{}' ELSE head || '"Drama"} or {"x": "News"}'
-              END AS object_text,
-              CASE p_type WHEN 'LARGE' THEN 2 WHEN 'ECONOMY' THEN 1 WHEN 'PROMO' THEN 1
-                ELSE 0 END AS n_keys,
-              p_type IN ('ECONOMY', 'LARGE', 'PROMO') AS is_valid,
-              CASE p_type WHEN 'ECONOMY' THEN 'Drama' WHEN 'LARGE' THEN 'Action'
-                WHEN 'PROMO' THEN 'Music' ELSE 'Other' END AS category
-            FROM replies""",
+              SELECT p_partkey, p_name, CASE p_type
+                WHEN 'ECONOMY' THEN 'Here: {"' || p_name || '": "Drama"} bye'
+                WHEN 'LARGE' THEN '{"' || p_name || '": "Action",' || chr(10) || ' "x": "News"}'
+                WHEN 'MEDIUM' THEN 'no object for ' || p_name
+                WHEN 'PROMO' THEN '[{"' || p_name || '": "Music"}]'
+                WHEN 'SMALL' THEN '{}'
+                ELSE '{"' || p_name || '": "Drama"} or {"x": "News"}' END AS reply
+              FROM part
+            ), cut AS (
+              SELECT *, nullif(regexp_extract(reply, '(?s)\\{.*\\}', 0), '') AS object_text FROM replies
+            ), parsed AS (
+              SELECT *, CASE WHEN json_valid(object_text) AND len(json_keys(object_text)) > 0
+                THEN object_text END AS object FROM cut
+            )
+            SELECT p_partkey, substr(reply, 1, 500) AS preview, object_text,
+              CAST(coalesce(len(json_keys(object)), 0) AS INTEGER) AS n_keys,
+              object IS NOT NULL AS is_valid,
+              coalesce(json_extract_string(object, '$."' || p_name || '"'), 'Other') AS category
+            FROM parsed""",
         "classify_lookup": f"WITH {_PLACED} SELECT batch, pos, keyword, category FROM batched",
         "classify_missing": f"""WITH {_PLACED}
             SELECT keyword FROM placed WHERE lower(keyword) LIKE '%hot %'""",
@@ -609,6 +620,6 @@ def oracle_sql() -> dict[str, str]:
               CAST(min(pos) AS BIGINT) AS pos
             FROM firsts GROUP BY keyword""",
         "category_distribution": f"""WITH {_RULED}
-            SELECT category, n, round({share}, 6) AS pct
+            SELECT category, n AS count, round({share}, 6) AS pct
             FROM (SELECT category, count(*) AS n FROM ruled GROUP BY category)""",
     }

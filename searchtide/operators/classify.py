@@ -216,7 +216,8 @@ def classify_by_rules(
 
 def category_distribution(classified: DataFrame) -> DataFrame:
     """Keywords per category and their share in percent."""
-    return share_of(classified.where("category IS NOT NULL"), "category")
+    known = classified.where(F.col("category").isNotNull())
+    return share_of(known, "category").withColumnRenamed("n", "count")
 
 
 def classify(

@@ -108,7 +108,7 @@ def classification(
     ordered = classified.orderBy("pos", "keyword").select("keyword", "category")
     tables.write_csv(ordered, f"{out}/csv/keyword_classified", single_file=True)
     tables.write_csv(
-        C.category_distribution(classified).orderBy(F.desc("n"), "category"),
+        C.category_distribution(classified).orderBy(F.desc("count"), "category"),
         f"{out}/csv/category_distribution",
         single_file=True,
     )

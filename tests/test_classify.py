@@ -213,4 +213,5 @@ def test_distribution(spark):
     df = spark.createDataFrame(rows, CLASSIFIED)
     spread = bag(C.category_distribution(df))
     assert spread == [("Drama", 2, 50.0), ("News", 1, 25.0), ("Other", 1, 25.0)]
+    assert C.category_distribution(df).columns == ["category", "count", "pct"]
     assert sum(r[2] for r in spread) == pytest.approx(100)
