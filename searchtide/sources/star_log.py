@@ -11,9 +11,22 @@ from pyspark.sql import functions as F
 
 COLUMNS = ("user_id", "datetime", "keyword", "category")
 
+# Types of the columns in use; giving them saves a job per table that would look
+# for them in the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_type string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string,"
+    " value double, props string",
+    "documents": "doc_id long, text string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def search_log(
