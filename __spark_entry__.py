@@ -162,7 +162,7 @@ def _parsed_parts(spark, d):
         "p_partkey",
         replies.preview(F.col("reply")).alias("preview"),
         replies.object_text(F.col("reply")).alias("object_text"),
-        F.coalesce(F.size(answers), F.lit(0)).alias("n_keys"),
+        F.when(answers.isNull(), 0).otherwise(F.size(answers)).alias("n_keys"),
         answers.isNotNull().alias("is_valid"),
         replies.lookup(answers, F.col("p_name")).alias("category"),
     )

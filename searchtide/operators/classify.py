@@ -6,12 +6,10 @@ answers are parsed and merged by column expressions.
 """
 
 import json
-import sys
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +21,7 @@ from searchtide.operators.trend import share_of
 from searchtide.schema import REPLIES
 
 BATCH_SIZE = 10
-OUTCOME = ("reply", "answers", "status", "attempts")
-
-# Tasks carry the functions below with them: workers need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+OUTCOME = ("reply", "answers", "status", "attempts", "error")
 
 
 def distinct_keywords(positioned: DataFrame) -> DataFrame:
@@ -85,34 +80,48 @@ def prompt_parts(
     return head, tail
 
 
+def prompt(keywords: Sequence[str], **parts) -> str:
+    """The prompt of one batch, for use inside a classifier function."""
+    head, tail = prompt_parts(**parts)
+    payload = json.dumps(list(keywords), ensure_ascii=False, separators=(",", ":"))
+    return head + payload + tail
+
+
 def with_prompts(batches: DataFrame, **parts) -> DataFrame:
+    """The prompt of every batch, as a column."""
     head, tail = prompt_parts(**parts)
     return batches.withColumn("prompt", F.concat(F.lit(head), F.col("payload"), F.lit(tail)))
 
 
-def _storable(text: str) -> str:
-    """Half a surrogate pair, which JSON allows, cannot be stored as UTF-8."""
-    return text.encode("utf-8", "replace").decode("utf-8")
+def reply_reader() -> tuple[Callable[[str], str], Callable[[str], dict | None]]:
+    """Two functions for tasks: a text fit for storage, and the answers in a reply.
 
+    Inner functions travel to the workers by themselves, so these need not have
+    this package.
+    """
+
+    def storable(text: str) -> str:
+        # Half a surrogate pair, which JSON allows, cannot be stored as UTF-8.
+        return text.encode("utf-8", "replace").decode("utf-8")
 
-def _as_text(value) -> str | None:
-    if value is None:
-        return None
-    if not isinstance(value, str):
-        value = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-    return _storable(value)
+    def as_text(value) -> str | None:
+        if value is None:
+            return None
+        if not isinstance(value, str):
+            value = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+        return storable(value)
 
+    def answers_in(reply: str) -> dict | None:
+        first, last = reply.find("{"), reply.rfind("}")
+        if first < 0 or last < first:
+            return None
+        try:
+            found = json.loads(reply[first : last + 1])
+        except (ValueError, RecursionError):
+            return None
+        return {storable(key): as_text(value) for key, value in found.items()} or None
 
-def _answers_in(reply: str) -> dict | None:
-    """The one non-empty JSON object of a reply, as text values."""
-    first, last = reply.find("{"), reply.rfind("}")
-    if first < 0 or last < first:
-        return None
-    try:
-        found = json.loads(reply[first : last + 1])
-    except (ValueError, RecursionError):
-        return None
-    return {_storable(key): _as_text(value) for key, value in found.items()} or None
+    return storable, answers_in
 
 
 def ask(
@@ -125,26 +134,29 @@ def ask(
     """One reply per batch, with up to ``attempts`` tries.
 
     A reply that is not one JSON object is asked for again at once; after an
-    exception there is a wait first. ``status`` ends as ok, invalid or failed.
+    exception there is a wait first. ``status`` ends as ok, invalid or failed,
+    and ``error`` holds the last exception.
     A task that is lost repeats its calls, so store the result before reading
     it more than once.
     """
 
+    storable, answers_in = reply_reader()
+
     def answer(keywords: list[str]) -> tuple:
-        reply, status = None, "failed"
+        reply, status, error = None, "failed", None
         for attempt in range(1, attempts + 1):
             try:
-                reply = _storable(classifier(keywords))
-                answers = _answers_in(reply)
-            except Exception:
-                status = "failed"
+                reply = storable(classifier(keywords))
+                answers = answers_in(reply)
+            except Exception as problem:
+                status, error = "failed", storable(repr(problem))
                 if attempt < attempts:
                     time.sleep(wait_seconds)
                 continue
             if answers:
-                return reply, answers, "ok", attempt
+                return reply, answers, "ok", attempt, error
             status = "invalid"
-        return reply, None, status, attempts
+        return reply, None, status, attempts, error
 
     def per_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

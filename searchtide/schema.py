@@ -39,6 +39,7 @@ REPLIES = T.StructType(
         T.StructField("answers", T.MapType(T.StringType(), T.StringType())),
         T.StructField("status", T.StringType()),
         T.StructField("attempts", T.IntegerType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 

@@ -50,7 +50,7 @@ def test_reply(spark, reply, category):
 
 @pytest.mark.parametrize("reply,category", [r for r in REPLIES if r[0] is not None])
 def test_classifier_loop_reads_replies_the_same_way(reply, category):
-    answers = C._answers_in(reply)
+    answers = C.reply_reader()[1](reply)
     assert (answers is not None) == (category is not None)
     if answers:
         assert (answers.get("a") or "Other") == category
@@ -72,7 +72,7 @@ def test_both_readers_agree_on_any_text(spark):
     parsed = replies.parse_reply(F.col("reply"))
     found = tuples(df, "reply", parsed.isNotNull(), replies.lookup(parsed, F.lit("a")))
     for text, valid, category in found:
-        answers = C._answers_in(text)
+        answers = C.reply_reader()[1](text)
         assert valid == (answers is not None), text
         said = (answers or {}).get("a")
         assert category == ("Other" if said is None else said), text
@@ -108,6 +108,13 @@ def test_prompt_names_everything(spark):
     assert all(category in prompt for category in CATEGORIES)
 
 
+def test_prompt_inside_a_classifier_is_the_same(spark):
+    words = ["đại", 'say "hi"', "a/b", "x\\y", "100%"]
+    batches = C.with_prompts(C.cut_batches(positioned(spark, words)))
+    (answer,) = tuples(C.ask(batches, lambda keywords: C.prompt(keywords), attempts=1), "reply")
+    assert answer[0] == batches.first()["prompt"] == C.prompt(words)
+
+
 def test_positions_by_popularity(spark):
     counts = spark.createDataFrame(
         [("b", 2), ("a", 2), ("c", 9)], "keyword string, search_count long"
@@ -141,7 +148,7 @@ def test_exceptions_then_a_reply(spark):
         return '{"a": "News"}'
 
     asked = outcome(spark, shaky)
-    assert tuples(asked, "status", "attempts") == [("ok", 3)]
+    assert tuples(asked, "status", "attempts", "error") == [("ok", 3, "OSError('no answer')")]
 
 
 def test_exceptions_only(spark):
@@ -149,7 +156,9 @@ def test_exceptions_only(spark):
         raise OSError("no answer")
 
     asked = outcome(spark, broken, attempts=2)
-    assert tuples(asked, "status", "attempts", "reply") == [("failed", 2, None)]
+    assert tuples(asked, "status", "attempts", "reply", "error") == [
+        ("failed", 2, None, "OSError('no answer')")
+    ]
     assert bag(C.look_up(asked), "category") == [("Other",), ("Other",)]
 
 

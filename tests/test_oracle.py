@@ -51,5 +51,27 @@ def test_query(spark, duck, name):
     assert rows(result.columns, found) == rows(columns, cursor.fetchall())
 
 
+SETTINGS = {
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.session.timeZone": "America/New_York",
+}
+
+
+@pytest.mark.parametrize(
+    "name", ["extract_json", "rank_user_month_keyword", "month_growth", "merge_aliases", "derive_month"]
+)
+def test_query_under_other_settings(spark, duck, name):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    try:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
+        test_query(spark, duck, name)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_sql_only_for_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
