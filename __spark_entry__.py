@@ -196,10 +196,9 @@ def _json_round_trip(spark, d):
 
 def _union_days(spark, d):
     events = table(spark, d, "events")
-    noon = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    return parquet_log.unite(
-        events.where(F.col("ts") < noon), events.where(F.col("ts") >= noon).select(*events.columns[::-1])
-    )
+    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    late = events.where(F.col("ts") >= middle).select(*reversed(events.columns))
+    return parquet_log.unite(events.where(F.col("ts") < middle), late)
 
 
 def _merged(spark, d):

@@ -1,4 +1,4 @@
-"""Command line: ``python -m searchtide report LOG OUT`` or ``day LOG DAY OUT``."""
+"""Command line: ``python -m searchtide report|months|day ...``."""
 
 import argparse
 import importlib
@@ -6,6 +6,7 @@ import importlib
 from pyspark.sql import SparkSession
 
 from searchtide.plans import reports
+from searchtide.sources.parquet_log import read_log
 
 
 def _function(name: str):
@@ -25,6 +26,11 @@ def main(arguments: list[str] | None = None) -> None:
     report.add_argument(
         "--classifier", type=_function, help="module:function from keywords to a reply"
     )
+    months = commands.add_parser("months", help="top keywords per user and month, in long form")
+    months.add_argument("log")
+    months.add_argument("out")
+    months.add_argument("--top", type=int, default=3)
+    months.add_argument("--clean", action="store_true", help="drop null and blank keywords first")
     day = commands.add_parser("day", help="a look at one day's folder")
     day.add_argument("log")
     day.add_argument("day")
@@ -34,6 +40,9 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("searchtide").getOrCreate()
     if given.command == "day":
         reports.day_report(spark, given.log, given.day, given.out)
+    elif given.command == "months":
+        log = read_log(spark, given.log)
+        reports.top_per_month(log, given.out, given.top, given.clean)
     else:
         reports.search_report(
             spark,

@@ -104,6 +104,10 @@ def test_command_line(spark, log_dir, tmp_path):
     rows = [r for r in searches() if r[1].month == 6]
     top = spark.read.csv(str(tmp_path / "day/csv/top_keywords"), header=True, escape='"')
     assert int(top.first()["search_count"]) == max(Counter(r[3] for r in rows).values())
+    command.main(["months", log_dir, str(tmp_path / "months"), "--top", "2", "--clean"])
+    long = spark.read.parquet(str(tmp_path / "months/top2_keywords_by_month"))
+    assert {r[0] for r in tuples(long, "rank")} == {1, 2}
+    assert {r[0] for r in tuples(long, "month")} == {5, 6, 7}
     command.main(["report", log_dir, str(tmp_path / "all"), "--months", "5", "6"])
     wide = tables.read_csv(spark, str(tmp_path / "all/csv/top_keyword_by_month"), wide_schema((5, 6)))
     assert wide.count() == len({r[2] for r in searches()})
