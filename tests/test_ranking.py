@@ -1,5 +1,6 @@
 """Distributed row numbers against brute force, with heavy groups."""
 
+import datetime
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from searchtide.operators import topn as T
+from searchtide.operators import trend as M
 from searchtide.operators.ranking import number_rows
 from tests.helpers import bag, tuples
 
@@ -70,3 +72,39 @@ def test_top_n_against_brute_force(spark, n, rows):
     assert bag(T.top_n_keywords(log, n)) == expected
     if n == 1:
         assert bag(T.top_keyword_per_user(log)) == sorted((r[:3] for r in expected), key=repr)
+
+
+months = st.lists(
+    st.tuples(
+        st.sampled_from([None, 1, 2]),
+        st.sampled_from([5, 6, 7, None]),
+        st.sampled_from([None, "a", "b", "c"]),
+    ),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=months)
+def test_monthly_tables_against_brute_force(spark, rows):
+    dated = [(u, None if m is None else datetime.datetime(2022, m, 2), k) for u, m, k in rows]
+    wide = T.monthly_favourites(
+        spark.createDataFrame(dated, "user_id long, datetime timestamp, keyword string")
+    )
+
+    def best(user, month):
+        mine = [k for u, m, k in rows if (u, m) == (user, month)]
+        return min(mine, key=lambda k: (-mine.count(k), k is None, k or ""), default=None)
+
+    expected = [(u, best(u, 6), best(u, 7)) for u in {r[0] for r in rows}]
+    assert bag(wide) == sorted(expected, key=repr)
+    both = [r for r in expected if r[1] is not None and r[2] is not None]
+    kept = sum(r[1] == r[2] for r in both)
+    shares = {r[0]: (r[1], round(r[2], 9)) for r in tuples(M.retention(wide))}
+    assert shares == {
+        same: (n, round(n / len(both) * 100, 9))
+        for same, n in ((True, kept), (False, len(both) - kept))
+        if n
+    }
+    cells = [c for r in expected for c in r[1:] if c is not None]
+    assert sum(r[1] + r[2] for r in tuples(M.compare_months(wide))) == len(cells)
