@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from searchtide.functions.dates import of_year, with_month
@@ -10,7 +11,7 @@ from searchtide.operators import counts as N
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
 from searchtide.sources import star_log
-from tests.helpers import plan
+from tests.helpers import bag, plan
 
 SF_DIR = "/root/testdata/sf0.001"
 USES_PYTHON = {"classify_function", "classify_top30"}
@@ -68,6 +69,40 @@ def test_no_python_and_no_cross_join(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+SPLIT_EARLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.files.openCostInBytes": "0",
+    "spark.sql.files.maxPartitionBytes": "20KB",
+}
+
+
+def test_a_heavy_part_is_split_between_tasks(spark, tmp_path):
+    for name in ("lineitem", "orders", "part"):
+        df = star_log.table(spark, SF_DIR, name)
+        if name == "lineitem":
+            heavy = F.when(F.col("l_quantity") < 18, 7).otherwise(F.col("l_partkey"))
+            df = df.withColumn("l_partkey", heavy.cast("long")).repartition(16)
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    expected = bag(N.keyword_counts(star_log.search_log(spark, str(tmp_path), ["keyword"])))
+    before = {key: spark.conf.get(key, None) for key in SPLIT_EARLY}
+    try:
+        for key, value in SPLIT_EARLY.items():
+            spark.conf.set(key, value)
+        counts = N.keyword_counts(star_log.search_log(spark, str(tmp_path), ["keyword"]))
+        assert bag(counts) == expected
+        assert "SortMergeJoin(skew=true)" in plan(counts)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["user_id", "most_search_t6", "most_search_t7"] and df.count() > 0
