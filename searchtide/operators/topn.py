@@ -45,7 +45,9 @@ def rank_keywords(counts: DataFrame, by: Sequence[str], n: int | None = None) ->
         window = Window.partitionBy(*by).orderBy(*best_first())
         return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
     ranked = number_rows(counts, best_first(), by)
-    return ranked if n is None else ranked.where(F.col("rank") <= n)
+    if n is None:
+        return ranked
+    return ranked.where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("int"))
 
 
 def best_keyword(counts: DataFrame, by: Sequence[str]) -> DataFrame:
