@@ -6,6 +6,7 @@ The queries run on a search log made of order lines (see
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
 import sys
@@ -32,6 +33,21 @@ from searchtide.sources.star_log import search_log, table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+
+
+def _optional(name: str):
+    """A module that may have been taken away; only its own absence is accepted."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "searchtide.llm"):
+            raise
+        return None
+
+
+_LLM = _optional("searchtide.llm.queries")
+_PIPELINE = _optional("corpus_pipeline")
+
 # Rules on the words of the log's own keywords, first match wins.
 WORD_RULES = [
     ("widget|gizmo", "Animation"),
@@ -224,6 +240,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or report; each takes (spark, sf_dir)."""
+    found = _log_queries()
+    if _LLM:
+        found |= _LLM.QUERIES
+    if _PIPELINE:
+        found["pipeline"] = _PIPELINE.run
+    return found
+
+
+def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources
         "scan_log": lambda s, d: parquet_log.read_log(s, d, pattern="lineitem.parquet"),
@@ -481,7 +506,16 @@ def _normalized_sql(column: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL for each query, but for those that list files or take any rows."""
+    """The SQL for each query, but for those that SQL cannot express."""
+    found = _log_sql()
+    if _LLM:
+        found |= _LLM.ORACLE_SQL
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        found["pipeline"] = _PIPELINE.ORACLE_SQL
+    return found
+
+
+def _log_sql() -> dict[str, str]:
     top3 = "user_id, keyword, search_count, CAST(place AS INTEGER) AS rank"
     share = "CAST(n AS DOUBLE) / sum(n) OVER () * 100"
     return {
