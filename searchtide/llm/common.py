@@ -1,6 +1,11 @@
 """Helpers shared by the corpus operators."""
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +17,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application.
+
+    Nothing is done where ``PYTHONPATH`` names its folder or it runs out of an
+    archive, as with ``--py-files``.
+    """
+    package = Path(__file__).resolve().parents[1]
+    named = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if not package.is_dir() or str(package.parent) in named or context.applicationId in _SHIPPED:
+        return
+    # The driver hands the archive out as long as it runs.
+    folder = tempfile.mkdtemp(prefix=f"{package.name}-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared checkpoint folder and read again.
 

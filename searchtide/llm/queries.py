@@ -1,10 +1,27 @@
 """The corpus queries by name, and their SQL where SQL can express them."""
 
-from searchtide.llm import mixing, sharding, url_filter
+from pyspark.sql import functions as F
+
+from searchtide.llm import graph, kdtree, mixing, packing, sharding, url_filter
 from searchtide.llm.common import read
 
+
+def word_tokenizer() -> str:
+    """Where the public word tokenizer's file is; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _asked():
+    return F.col("vec_id") % 100 == 0
+
+
 QUERIES = {
     "op1_url_filter": lambda s, d: url_filter.filtered_crawl(read(s, d, "pages")),
+    "op2_kd_tree": lambda s, d: kdtree.top_k(read(s, d, "embeddings"), _asked()),
+    "op3_pruned_graph": lambda s, d: graph.nearest(read(s, d, "embeddings"), _asked()),
+    "op4_packing": lambda s, d: packing.pack(read(s, d, "documents"), word_tokenizer()),
     "op9_mixing": lambda s, d: mixing.mixed_digest(read(s, d, "documents")),
     "op10_sharding": lambda s, d: sharding.shard_digest(read(s, d, "documents")),
 }
@@ -133,4 +150,24 @@ SELECT doc_id, source, n_tokens, weight, epoch, block,
 FROM used WHERE cut IS NULL OR reached <= cut
 """
 
-ORACLE_SQL = {"op1_url_filter": _URL_SQL, "op9_mixing": _MIX_SQL}
+_TOP_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+      CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (
+      PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {
+    "op1_url_filter": _URL_SQL,
+    "op2_kd_tree": _TOP_SQL,
+    "op9_mixing": _MIX_SQL,
+}
