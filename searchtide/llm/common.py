@@ -5,10 +5,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from searchtide.session import checkpoint_folder
 
@@ -70,3 +74,61 @@ def plus(df: DataFrame, *added: str) -> list[Column]:
 def hex_number(digest: Column, start: int = 1, digits: int = 8) -> Column:
     """A number out of the hexadecimal digits of a digest."""
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
+
+
+def with_text_columns(
+    df: DataFrame,
+    compute: Callable[[list[str]], list[list]],
+    added: str,
+    text: str = "text",
+    chars: int = 4_000_000,
+) -> DataFrame:
+    """Columns worked out in Arrow batches from whole texts, the others passed through.
+
+    ``compute`` takes texts (null as empty) of about ``chars`` characters at a time,
+    and at least one text, and returns a list of values for each column of the
+    schema ``added``. Columns of those names that are there already are replaced.
+    """
+    ship_package(df.sparkSession)
+    new = T._parse_datatype_string(added)
+    kept = df.drop(*new.names)
+    schema = T.StructType([*kept.schema.fields, *new.fields])
+    at = kept.columns.index(text)
+    kinds = to_arrow_schema(new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, size = 0, 0
+            texts: list[str] = []
+            for i, value in enumerate(batch.column(at)):
+                texts.append(value.as_py() or "")
+                size += len(texts[-1])
+                if size >= chars or i == batch.num_rows - 1:
+                    found = compute(texts)
+                    own = batch.slice(start, len(texts))
+                    values = [pa.array(v, f.type) for v, f in zip(found, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*own.columns, *values], schema.names)
+                    start, size, texts = i + 1, 0, []
+
+    return kept.mapInArrow(run, schema)
+
+
+def sampled(df: DataFrame, column: str, size: int, seed: int = 0) -> DataFrame:
+    """About ``size`` rows of each value of a column, all of them where there are fewer.
+
+    Rows are picked by a hash of their doc_id at a rate that follows from the
+    counts, so nothing is sorted or brought together. Null values are left out.
+    """
+    known = df.where(F.col(column).isNotNull())
+    counts = known.groupBy(column).agg(F.count("*").alias("n_rows"))
+    rates = counts.select(
+        F.col(column).alias("sampled_value"),
+        (F.lit(1_000_000.0) * size / F.col("n_rows")).alias("rate"),
+    )
+    spread = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
+    # One row per value of the column.
+    return (
+        known.join(F.broadcast(rates), F.col(column) == F.col("sampled_value"))
+        .where(spread < F.col("rate"))
+        .drop("sampled_value", "rate")
+    )
