@@ -2,7 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from searchtide.llm import graph, kdtree, language, mixing, packing, secrets, sharding, url_filter
+from searchtide.llm import (
+    graph,
+    kdtree,
+    language,
+    mixing,
+    packing,
+    secrets,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from searchtide.llm.common import read
 
 
@@ -22,6 +32,7 @@ QUERIES = {
     "op2_kd_tree": lambda s, d: kdtree.top_k(read(s, d, "embeddings"), _asked()),
     "op3_pruned_graph": lambda s, d: graph.nearest(read(s, d, "embeddings"), _asked()),
     "op4_packing": lambda s, d: packing.pack(read(s, d, "documents"), word_tokenizer()),
+    "op6_toxicity": lambda s, d: toxicity.scored(read(s, d, "documents"), read(s, d, "labels")),
     "op7_language_id": lambda s, d: language.predicted(read(s, d, "documents")),
     "op8_secret_scan": lambda s, d: secrets.digest(read(s, d, "documents")),
     "op9_mixing": lambda s, d: mixing.mixed_digest(read(s, d, "documents")),
