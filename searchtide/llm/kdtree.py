@@ -165,19 +165,26 @@ def top_k(
     """
     ship_package(embeddings.sparkSession)
     vectors, n_shards = sharded(embeddings, shard_rows, usable(F.col("embedding")))
-    asked = vectors.where(queries).withColumn("floor", F.lit(None).cast("long"))
+    # Other names, as queries and points come from one table.
+    asked = vectors.where(queries).select(
+        F.col("vec_id").alias("query_id"),
+        F.col("embedding").alias("query"),
+        F.col("dim").alias("query_dim"),
+        F.col("shard").alias("query_shard"),
+        F.lit(None).cast("long").alias("floor"),
+    )
 
     def searched(key, points: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple[int, int, int]] = []
         if len(points) and len(asks):
-            both = as_integers(matrix(pd.concat([points["embedding"], asks["embedding"]])))
+            both = as_integers(matrix(pd.concat([points["embedding"], asks["query"]])))
             cut = len(points)
             tree = build(both[:cut], points["vec_id"].to_numpy(), leaf_size)
             for start in range(0, len(asks), block):
                 part = asks.iloc[start : start + block]
                 vecs = both[cut + start : cut + start + len(part)]
                 reach = bounds(tree, vecs)
-                for i, (query, floor) in enumerate(zip(part["vec_id"], part["floor"], strict=True)):
+                for i, (query, floor) in enumerate(zip(part["query_id"], part["floor"], strict=True)):
                     least = None if pd.isna(floor) else int(floor)
                     for score, vec_id in search(tree, vecs[i], reach[i], k, least, query):
                         rows.append((query, vec_id, min(max(int(score), -LONG), LONG - 1)))
@@ -186,7 +193,7 @@ def top_k(
     def wave(asks: DataFrame) -> DataFrame:
         return (
             vectors.groupBy("dim", "shard")
-            .cogroup(asks.groupBy("dim", "shard"))
+            .cogroup(asks.groupBy("query_dim", "query_shard"))
             .applyInPandas(searched, FOUND)
         )
 
@@ -195,15 +202,14 @@ def top_k(
     kth = (
         home.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") == k)
-        .select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+        # A cut score is no safe bound.
+        .select("query_id", F.when(F.abs("score") < F.lit(2**62), F.col("score")).alias("floor"))
     )
-    # A cut score is no safe bound.
-    safe = F.when(F.abs("floor") < F.lit(2**62), F.col("floor"))
-    others = F.array_except(F.sequence(F.lit(0), F.lit(n_shards - 1)), F.array("shard"))
+    others = F.array_except(F.sequence(F.lit(0), F.lit(n_shards - 1)), F.array("query_shard"))
     away = (
         asked.drop("floor")
-        .join(kth.select("vec_id", safe.alias("floor")), "vec_id", "left")
-        .select("vec_id", "embedding", "dim", F.explode(others).alias("shard"), "floor")
+        .join(kth, "query_id", "left")
+        .select("query_id", "query", "query_dim", F.explode(others).alias("query_shard"), "floor")
     )
     found = home.unionByName(wave(away)) if n_shards > 1 else home
     return (
