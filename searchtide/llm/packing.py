@@ -31,83 +31,113 @@ PIECES = (
 #: Blanks at which the tokenizer cuts in any case.
 _WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]")
-#: A letter, then marks that no contraction starts with: two words to the tokenizer.
-_MARKED = re.compile(r"(.*[^\W\d_])([.,;:!?]+)", re.DOTALL)
+#: What it cuts lower-case text of one-byte characters into: a contraction's end,
+#: letters, one digit, or other marks.
+_LETTERS, _DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_PIECES = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+"
+)
 #: Characters of text whose words are held at once, and words remembered.
-SEGMENT, REMEMBERED, LONGEST = 1_000_000, 300_000, 64
+SEGMENT, REMEMBERED, LONGEST = 1_000_000, 400_000, 64
 
 
 class WordTokenizer:
     """Token ids of texts, as little-endian 32-bit numbers.
 
     The tokenizer cuts at blanks whatever stands around them, so a text's ids are
-    those of its words, and a word that was seen lately need not be cut again. The
-    tokenizer has no capitals: texts of one-byte characters, whose lower case is
-    plain, are put into lower case first.
+    those of its words, and a word that was seen lately need not be cut again. It
+    has no capitals: texts of one-byte characters, whose lower case is plain, are
+    put into lower case first, and cut into the smallest pieces it knows.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        text = " ".join(words)
-        encoded = self.tokenizer.encode(text, add_special_tokens=False)
+    def _learn(self, words: list[str], pieces: bool) -> dict[str, bytes]:
+        """Ids of words, or of pieces that the tokenizer does not cut."""
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(encoded.ids, dtype="<u4")
-        starts = np.fromiter((span[0] for span in encoded.offsets), np.int64, len(ids))
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1)
-        cuts = np.searchsorted(starts, ends, side="left") * 4
+        if pieces:
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        else:
+            starts = np.fromiter((span[0] for span in encoded.offsets), np.int64, len(ids))
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+            cuts = np.searchsorted(starts, ends, side="left") * 4
         data, first, learnt = ids.tobytes(), 0, {}
         for word, last in zip(words, cuts.tolist(), strict=True):
             learnt[word] = data[first:last]
             first = last
         return learnt
 
-    def ids(self, text: str) -> bytes:
-        if "<|" not in text and (text.isascii() or max(text) <= "\xff"):
-            text = text.lower()
-        parts, at = [], 0
-        while at < len(text):
-            end = at + SEGMENT
-            blank = _BLANK.search(text, end) if end < len(text) else None
-            end = blank.start() if blank else len(text)
-            parts.append(self._segment(_WORDS.findall(text, at, end)))
-            at = end
-        return b"".join(parts)
-
-    def _look_up(self, words: list[str]) -> dict[str, bytes]:
-        """Words that are not among the recent ones, out of the older ones or anew."""
+    def _spelled(self, groups: list[list[str]], pieces: bool) -> list[bytes]:
+        """Ids of each group of words."""
         recent, older = self.recent, self.older
-        known = {w: older[w] for w in words if w in older}
-        new = [w for w in words if w not in known]
-        marked = {w: m.groups() for w in new if (m := _MARKED.fullmatch(w))}
-        if not marked:
-            return known | (self._learn(new) if new else {})
-        parts = dict.fromkeys(p for pair in marked.values() for p in pair)
-        plain = self._look_up([p for p in parts if p not in recent])
-        rest = [w for w in new if w not in marked and w not in plain]
-        known |= plain | (self._learn(rest) if rest else {})
-        for word, pair in marked.items():
-            known[word] = b"".join([recent[p] if p in recent else known[p] for p in pair])
-        return known
-
-    def _segment(self, words: list[str]) -> bytes:
-        recent = self.recent
-        try:
-            return b"".join(map(recent.__getitem__, words))
-        except KeyError:
-            pass
-        known = self._look_up([w for w in dict.fromkeys(words) if w not in recent])
-        found = b"".join([recent[w] if w in recent else known[w] for w in words])
-        if len(recent) + len(known) > REMEMBERED:
+        unseen = set().union(*groups).difference(recent)
+        known = {w: older[w] for w in unseen if w in older}
+        new = list(unseen.difference(known))
+        recent.update(known)
+        recent.update(self._learn(new, pieces) if new else {})
+        found = [b"".join(map(recent.__getitem__, words)) for words in groups]
+        for word in new:
+            if len(word) > LONGEST:
+                del recent[word]
+        if len(recent) > REMEMBERED:
             self.older, self.recent = recent, {}
-        self.recent.update((w, i) for w, i in known.items() if len(w) <= LONGEST)
         return found
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words of about SEGMENT characters are held at a time."""
+        found: list[list[bytes]] = [[] for _ in texts]
+        plain = [_plain(text) for text in texts]
+        for kind, pattern in ((True, _PIECES), (False, _WORDS)):
+            groups, owners, size = [], [], 0
+            for i, text in enumerate(texts):
+                if plain[i] != kind:
+                    continue
+                low = text.lower() if kind else text
+                for start, end in _segments(low):
+                    groups.append(pattern.findall(low, start, end))
+                    owners.append(i)
+                    size += end - start
+                    if size >= SEGMENT:
+                        for owner, ids in zip(owners, self._spelled(groups, kind), strict=True):
+                            found[owner].append(ids)
+                        groups, owners, size = [], [], 0
+            if groups:
+                for owner, ids in zip(owners, self._spelled(groups, kind), strict=True):
+                    found[owner].append(ids)
+        return [b"".join(parts) for parts in found]
+
+
+def _plain(text: str) -> bool:
+    """True for texts of one-byte characters that ``_PIECES`` cuts like the tokenizer.
+
+    Not those with anything like a special token, or with the four separators that
+    are blanks in Python alone.
+    """
+    if any(odd in text for odd in ("<|", "\x1c", "\x1d", "\x1e", "\x1f")):
+        return False
+    return text.isascii() or max(text) <= "\xff"
+
+
+def _segments(text: str) -> Iterator[tuple[int, int]]:
+    """Parts of a text that end at blanks, of SEGMENT characters or little more."""
+    at = 0
+    while at < len(text):
+        end = at + SEGMENT
+        blank = _BLANK.search(text, end) if end < len(text) else None
+        end = blank.start() if blank else len(text)
+        yield at, end
+        at = end
+
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
@@ -227,20 +257,30 @@ def pack(
             rows, waiting = [], 0
             return frame
 
-        for frame in frames:
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = tokenizer.ids(text or "") + end
-                n, start = len(ids) // 4, 0
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                while start < n:
-                    left = n - start
-                    size = capacity if left >= capacity else min(left, piece)
-                    crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + size)])
-                    rows.append((doc_id, start, size, crc, n))
-                    start += size
-                waiting += n
-                if waiting >= block_tokens:
-                    yield closed()
+        def documents() -> Iterator[tuple]:
+            for frame in frames:
+                some, size = [], 0
+                for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+                    some.append((doc_id, text or ""))
+                    size += len(some[-1][1])
+                    if size >= 2 * SEGMENT:
+                        yield from zip(some, tokenizer.ids([t for _, t in some]), strict=True)
+                        some, size = [], 0
+                yield from zip(some, tokenizer.ids([t for _, t in some]), strict=True)
+
+        for (doc_id, _), own in documents():
+            ids = own + end
+            n, start = len(ids) // 4, 0
+            doc_id = None if pd.isna(doc_id) else int(doc_id)
+            while start < n:
+                left = n - start
+                size = capacity if left >= capacity else min(left, piece)
+                crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + size)])
+                rows.append((doc_id, start, size, crc, n))
+                start += size
+            waiting += n
+            if waiting >= block_tokens:
+                yield closed()
         if rows:
             yield closed()
 
