@@ -82,15 +82,18 @@ def with_text_columns(
     added: str,
     text: str = "text",
     chars: int = 4_000_000,
+    prefix: str = "",
 ) -> DataFrame:
     """Columns worked out in Arrow batches from whole texts, the others passed through.
 
     ``compute`` takes texts (null as empty) of about ``chars`` characters at a time,
     and at least one text, and returns a list of values for each column of the
-    schema ``added``. Columns of those names that are there already are replaced.
+    schema ``added``, whose names get ``prefix``. Columns of those names that are
+    there already are replaced.
     """
     ship_package(df.sparkSession)
-    new = T._parse_datatype_string(added)
+    fields = T._parse_datatype_string(added)
+    new = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in fields])
     kept = df.drop(*new.names)
     schema = T.StructType([*kept.schema.fields, *new.fields])
     at = kept.columns.index(text)
@@ -113,6 +116,14 @@ def with_text_columns(
     return kept.mapInArrow(run, schema)
 
 
+def spare_prefix(df: DataFrame) -> str:
+    """A beginning that no column's name has."""
+    prefix = "found_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def sampled(df: DataFrame, column: str, size: int, seed: int = 0) -> DataFrame:
     """About ``size`` rows of each value of a column, all of them where there are fewer.
 

@@ -15,7 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import held_out, sampled, ship_package, with_text_columns
+from searchtide.llm.common import (
+    held_out,
+    sampled,
+    ship_package,
+    spare_prefix,
+    with_text_columns,
+)
 from searchtide.llm.letters import N_SCRIPTS, letters, scripts, words_of
 
 UNKNOWN = "und"
@@ -189,18 +195,20 @@ def labelled(texts: list[str], model: Model, penalty: float) -> list[list]:
     return [langs, shares, spans]
 
 
-def identify(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
+def identify(docs: DataFrame, model: Model, penalty: float = 12.0, prefix: str = "") -> DataFrame:
     """The documents with ``lang_pred``, ``score`` and ``spans`` (code points, end open).
 
     The score is the share of a text's letters that lie in spans of its language;
     ties go to the name that sorts first. A null or empty text, one without
     letters, and any text under a model that has learned nothing are ``und`` with
-    score 0 and no spans. Input columns named like the new ones are replaced.
+    score 0 and no spans. Input columns named like the new ones, which begin with
+    ``prefix``, are replaced.
     """
+
     def compute(texts: list[str]) -> list[list]:
         return labelled(texts, model, penalty)
 
-    return with_text_columns(docs, compute, ADDED, chars=12_000_000)
+    return with_text_columns(docs, compute, ADDED, chars=12_000_000, prefix=prefix)
 
 
 def learned(docs: DataFrame) -> Model:
@@ -217,5 +225,6 @@ def predicted(docs: DataFrame) -> DataFrame:
 
 def known_language(docs: DataFrame) -> DataFrame:
     """The documents that are in some language; those that are ``und`` go."""
-    found = identify(docs.select("*", F.lit(None).alias("lang_pred")), learned(docs))
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    prefix = spare_prefix(docs)
+    found = identify(docs, learned(docs), prefix=prefix)
+    return found.where(F.col(f"{prefix}lang_pred") != UNKNOWN).select(*docs.columns)

@@ -109,9 +109,14 @@ def source_weights(
         power = _bisected(logs, lambda a: _entropy(logs, a) >= goal - 1e-12, True)
     elif max_repetition is not None:
         units = wanted / F.col("all_tokens")
-        power = _bisected(
-            logs, lambda a: _repetition(logs, a, units) <= max_repetition + 1e-12, False
-        )
+
+        def rarely(power: Column) -> Column:
+            # Where the largest source is used once, only the spread of sizes counts.
+            least = F.exp((1 - power) * (F.array_max(logs) - F.array_min(logs)))
+            most = F.greatest(least, _repetition(logs, power, units)) if cover else _repetition(logs, power, units)
+            return most <= max_repetition + 1e-12
+
+        power = _bisected(logs, rarely, False)
     else:
         power = F.lit(1.0)
     one = one.withColumn("power", power)
@@ -260,10 +265,8 @@ def apply_mix(docs: DataFrame, mix: Mix) -> DataFrame:
         _digest(mix.seed, F.col("row.doc_id")).alias("digest"),
     )
     used = _in_blocks(rows, mix.weights).join(mix.uses, ["key", "block"])
-    whole_blocks = used.where("cut IS NULL")
-    cut_blocks = used.where("cut IS NOT NULL").join(mix.kept, ["key", "digest"], "left_semi")
-    columns = ["row", "epoch", "block", "block_rank"]
-    uses = whole_blocks.select(*columns).unionByName(cut_blocks.select(*columns))
+    kept = mix.kept.withColumn("is_kept", F.lit(True))
+    uses = used.join(kept, ["key", "digest"], "left").where("cut IS NULL OR is_kept")
     return uses.select(*plus(uses, "epoch", "block", "block_rank"))
 
 
@@ -280,3 +283,14 @@ def mixed_digest(docs: DataFrame, target_entropy: float = 0.999) -> DataFrame:
         .join(weights, "key")
         .select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "block_rank")
     )
+
+
+def mixed_sources(docs: DataFrame, max_repetition: float = 2.0) -> DataFrame:
+    """Documents as often as their source's weight asks: all once, small sources more often.
+
+    Weights are as even as they can be while no source is used more often than
+    ``max_repetition`` times; the largest is used once.
+    """
+    tokens = word_count(F.col("text"))
+    mix = plan_mix(docs, tokens, max_repetition=max_repetition, cover=True)
+    return apply_mix(docs, mix).select(*docs.columns)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from searchtide.llm import (
     graph,
+    jaccard,
     kdtree,
     language,
     mixing,
@@ -32,6 +33,7 @@ QUERIES = {
     "op2_kd_tree": lambda s, d: kdtree.top_k(read(s, d, "embeddings"), _asked()),
     "op3_pruned_graph": lambda s, d: graph.nearest(read(s, d, "embeddings"), _asked()),
     "op4_packing": lambda s, d: packing.pack(read(s, d, "documents"), word_tokenizer()),
+    "op5_ngram_jaccard": lambda s, d: jaccard.digest(read(s, d, "documents")),
     "op6_toxicity": lambda s, d: toxicity.scored(read(s, d, "documents"), read(s, d, "labels")),
     "op7_language_id": lambda s, d: language.predicted(read(s, d, "documents")),
     "op8_secret_scan": lambda s, d: secrets.digest(read(s, d, "documents")),

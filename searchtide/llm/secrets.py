@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import sampled, ship_package, with_text_columns
+from searchtide.llm.common import sampled, ship_package, spare_prefix, with_text_columns
 
 # The patterns of the three base kinds.
 ASSIGN = re.compile(
@@ -186,18 +186,18 @@ def _without(text: str, spans: list[tuple[int, int, int, int]]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def scan(docs: DataFrame, model: Model) -> DataFrame:
+def scan(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
     """The documents with ``spans`` and ``redacted``, the text without secret values.
 
     Spans (code points, end open) come by start, then kind. ``redacted`` is null
     where nothing was found; null and empty texts have no spans. Input columns
-    named like the new ones are replaced.
+    named like the new ones, which begin with ``prefix``, are replaced.
     """
 
     def compute(texts: list[str]) -> list[list]:
         return scanned(texts, model)
 
-    return with_text_columns(docs, compute, ADDED)
+    return with_text_columns(docs, compute, ADDED, prefix=prefix)
 
 
 def learned(docs: DataFrame) -> Model:
@@ -228,13 +228,11 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """All documents, secret values replaced by a mask and ``n_chars`` counted anew."""
-    marked = docs.select("*", F.lit(None).alias("redacted"), F.lit(None).alias("spans"))
-    found = scan(marked, learned(docs))
-    changed = F.col("redacted").isNotNull()
+    prefix = spare_prefix(docs)
+    found = scan(docs, learned(docs), prefix)
+    redacted = F.col(f"{prefix}redacted")
     columns = {
-        "text": F.coalesce("redacted", "text"),
-        "n_chars": F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("n_chars")),
+        "text": F.coalesce(redacted, "text"),
+        "n_chars": F.when(redacted.isNotNull(), F.length(redacted).cast("long")).otherwise(F.col("n_chars")),
     }
     return found.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
-
-
