@@ -125,7 +125,7 @@ def _within(vectors: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def nearest(
     embeddings: DataFrame,
-    queries: Column,
+    queries: Column | str,
     k: int = 10,
     shard_rows: int = 2048,
     degree: int = 24,

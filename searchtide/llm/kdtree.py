@@ -149,7 +149,7 @@ def search(
 
 def top_k(
     embeddings: DataFrame,
-    queries: Column,
+    queries: Column | str,
     k: int = 10,
     shard_rows: int = 4096,
     leaf_size: int = 64,

@@ -1,0 +1,98 @@
+import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+CLASHING = [
+    "score", "spans", "lang_pred", "redacted", "epoch", "block", "block_rank", "shard", "slot",
+    "grown_shard", "class", "row", "key", "tile", "guest", "digest", "found_score", "rank", "blocked",
+]
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+LONG = "the of and thing " * 30_000
+
+
+def documents():
+    """Rows that are hard to take: nulls, blanks, repeats, one very long text."""
+    plain = "He went to the house of the old man and said that it was a thing of the past again. "
+    rows = [
+        (1, plain * 3, "en", "a"),
+        (2, plain * 3, "en", "a"),
+        (2, plain * 3, "en", "a"),
+        (3, (plain * 3).upper(), "en", None),
+        (4, None, "en", "a"),
+        (5, "", None, "b"),
+        (6, " \t\n", "fr", "b"),
+        (7, "12 34 !!", "fr", "b"),
+        (8, "une chose que la maison était à côté de l'école et du marché", "fr", None),
+        (9, LONG, "en", "a"),
+        (10, 'x api_key = "abcdef123456" y', "en", "c"),
+        (None, "der Mann ging nicht in das Haus und sagte nichts", "de", "c"),
+        (None, None, None, None),
+        (11, "one two", "", "c"),
+        (12, "one  TWO", "de", "c"),
+        (13, "日本語のテキスト 한국어 привет мир", None, "d"),
+        (-14, "\x1c\x85\xa0 odd\x00 blanks <|endoftext|> it's", None, "d"),
+    ]
+    return [(*r, None if r[1] is None else len(r[1])) for r in rows]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    return spark.createDataFrame(documents(), DOCUMENTS)
+
+
+@pytest.fixture(scope="session")
+def clashing_docs(spark):
+    """The same rows with columns that have the names of working columns."""
+    more = ", ".join(f"`{c}` string" for c in CLASHING)
+    rows = [(*r, *[f"own {c}" for c in CLASHING]) for r in documents()]
+    return spark.createDataFrame(rows, f"{DOCUMENTS}, {more}")
+
+
+SCHEMAS = {
+    "documents": DOCUMENTS,
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
+@pytest.fixture(scope="session")
+def empty_tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    for name, schema in SCHEMAS.items():
+        spark.createDataFrame([], T._parse_datatype_string(schema)).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="session")
+def odd_tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("odd")
+    rows = {
+        "documents": documents(),
+        "embeddings": [
+            (0, [1.0, 2.0], 1), (100, [1.0, 2.0], 1), (1, [1.0, None], 1), (2, None, 1), (3, [], 1),
+            (4, [0.0, 0.0], 1), (5, [float("nan"), 1.0], 1), (6, [float("inf"), 1.0], 1),
+            (7, [-3.0, 0.5], None), (7, [-3.0, 0.5], None), (8, [1.0, 2.0, 3.0], 1), (None, [1.0, 1.0], 1),
+            (200, [3e38, -3e38], 1), (9, [3e38, 3e38], 1),
+        ],
+        "pages": [
+            (1, "http://a.example.org/x/y?q", None), (1, "http://a.example.org/x/y?q", None), (2, None, ""),
+            (None, "https://u@A.Example.org.:80", ""), (3, "no url", ""), (4, "http:///x", ""), (5, "", None),
+        ],
+        "labels": [(1, 1, 0), (2, 1, 1), (2, 0, 0), (None, 1, 1), (3, None, None), (99, 1, 1)],
+        "benchmark": [(1, "x")],
+        "conversations": [(1, 1, "user", "x")],
+    }
+    for name, schema in SCHEMAS.items():
+        spark.createDataFrame(rows[name], schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.fixture
+def day():
+    return lambda n: datetime.datetime(2024, 1, n)

@@ -1,0 +1,53 @@
+"""Validity intervals and the as-of join on hand-made lists."""
+
+from searchtide.llm import url_filter
+from tests.helpers import bag, tuples
+
+
+def test_intervals(spark, day):
+    rows = [
+        ("l", "A.org ", "block", True, day(1)), ("l", "a.org", "block", False, day(5)), ("l", "a.org", "allow", True, day(9)),
+        ("l", "b.org", "block", True, day(3)), ("l", "b.org", "block", True, day(3)), ("l", "b.org", "block", False, day(3)),
+        (None, "c.org", "block", True, day(1)), ("l", "c.org", "block", True, None), ("m", "a.org", "block", True, day(2)),
+    ]
+    entries = spark.createDataFrame(rows, "list string, pattern string, action string, added boolean, at timestamp_ntz")
+    found = bag(url_filter.intervals(entries), "list", "pattern", "action", "valid_from", "valid_to")
+    assert [(r[0], r[1], r[2], r[3].day, r[4] and r[4].day) for r in found] == [
+        ("l", "a.org", "allow", 9, None), ("l", "a.org", "block", 1, 5), ("m", "a.org", "block", 2, None),
+    ]
+
+
+def test_patterns(spark):
+    rows = [("http://u@Www.A.org.:80/X/y?q#f",), ("https://a",), ("nothing",), (None,), ("http:///x",)]
+    urls = spark.createDataFrame(rows, "url string")
+    found = [r[0] and sorted(r[0]) for r in tuples(urls.select(url_filter.patterns_of(urls["url"])))]
+    assert found == [
+        ["a.org", "org", "www.a.org", "www.a.org/x", "www.a.org/x/y"], ["a"], None, None, None,
+    ]
+
+
+def test_as_of(spark, day):
+    entries = [
+        ("l", "a.org", "block", True, day(10)), ("l", "a.org", "block", False, day(20)), ("l", "a.org", "block", True, day(25)),
+        ("l", "a.org/ok", "allow", True, day(1)), ("m", "a.org/ok", "block", True, day(15)), ("l", "sub.a.org", "allow", True, day(1)),
+    ]
+    listed = spark.createDataFrame(entries, "list string, pattern string, action string, added boolean, at timestamp_ntz")
+    rows = [
+        ("http://a.org/x", 9, False, None, 0), ("http://a.org/x", 10, True, "a.org", 1), ("http://a.org/x", 20, False, None, 0),
+        ("http://a.org/x", 26, True, "a.org", 1), ("http://b.a.org", 10, True, "a.org", 1), ("http://sub.a.org", 12, False, "sub.a.org", 2),
+        ("http://a.org/ok/1", 12, False, "a.org/ok", 2), ("http://a.org/ok/1", 16, True, "a.org/ok", 3),
+        ("http://a.org/x", 26, True, "a.org", 1), (None, 3, False, None, 0), ("http://a.org/x", None, False, None, 0),
+    ]
+    captures = spark.createDataFrame(
+        [(i, url, d and day(d), "own") for i, (url, d, *_) in enumerate(rows)],
+        "page_id long, url string, fetched_at timestamp_ntz, blocked string",
+    )
+    found = sorted(tuples(url_filter.filter_captures(captures, url_filter.intervals(listed)), "page_id", "blocked", "pattern", "n_active"))
+    assert found == [(i, b, p, n) for i, (_, _, b, p, n) in enumerate(rows)]
+
+
+def test_an_empty_list_blocks_nothing(spark, day):
+    nothing = spark.createDataFrame([], "list string, pattern string, action string, added boolean, at timestamp_ntz")
+    captures = spark.createDataFrame([("http://a.org", day(1))], "url string, fetched_at timestamp_ntz")
+    found = url_filter.filter_captures(captures, url_filter.intervals(nothing))
+    assert tuples(found, "blocked", "pattern", "list", "n_active") == [(False, None, None, 0)]
