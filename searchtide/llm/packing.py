@@ -31,11 +31,11 @@ PIECES = (
 #: Blanks at which the tokenizer cuts in any case.
 _WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]")
-#: What it cuts lower-case text of one-byte characters into: a contraction's end,
-#: letters, one digit, or other marks.
+#: What it cuts lower-case text of one-byte characters into: letters, a contraction's
+#: end, one digit, or other marks.
 _LETTERS, _DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 _PIECES = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+"
+    rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+"
 )
 #: Characters of text whose words are held at once, and words remembered.
 SEGMENT, REMEMBERED, LONGEST = 1_000_000, 400_000, 64
@@ -125,7 +125,13 @@ def _plain(text: str) -> bool:
     """
     if any(odd in text for odd in ("<|", "\x1c", "\x1d", "\x1e", "\x1f")):
         return False
-    return text.isascii() or max(text) <= "\xff"
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _segments(text: str) -> Iterator[tuple[int, int]]:
