@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 # Category of a keyword the classifier says nothing about.
 DEFAULT_CATEGORY = "Other"
 
+# The object of a reply: as much as can stand between a pair of braces.
+OBJECT = r"(?s)\{.*\}"
+
 
 def object_text(reply: Column) -> Column:
     """From the first ``{`` to the last ``}``; null if there is no such span."""
-    return F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit(""))
+    return F.nullif(F.regexp_extract(reply, OBJECT, 0), F.lit(""))
 
 
 def parse_reply(reply: Column) -> Column:
@@ -17,9 +20,10 @@ def parse_reply(reply: Column) -> Column:
 
     Spark ignores what follows a complete value. So the span is parsed once as
     the only element of an array and once as the only field of an object: no
-    text after it can go on in both.
+    text after it can go on in both. Numbers that JSON does not have, such as
+    NaN, make a reply invalid.
     """
-    strict = {"allowSingleQuotes": "false"}
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
     span = object_text(reply)
     items = F.from_json(
         F.concat(F.lit("["), span, F.lit("]")), "array<map<string,string>>", strict

@@ -6,6 +6,7 @@ answers are parsed and merged by column expressions.
 """
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -17,10 +18,13 @@ from searchtide.functions import replies
 from searchtide.functions.replies import DEFAULT_CATEGORY
 from searchtide.functions.rules import CATEGORIES, category_by_rules, default_rules
 from searchtide.operators.ranking import number_rows
+from searchtide.operators.topn import best_first
 from searchtide.operators.trend import share_of
 from searchtide.schema import REPLIES
 
 BATCH_SIZE = 10
+#: Batches that a task asks for at most; a lost task repeats no more than these.
+BATCHES_PER_TASK = 50
 OUTCOME = ("reply", "answers", "status", "attempts", "error")
 
 
@@ -31,8 +35,7 @@ def distinct_keywords(positioned: DataFrame) -> DataFrame:
 
 def with_positions(counts: DataFrame) -> DataFrame:
     """Place of every keyword by popularity, however many there are."""
-    order = [F.desc("search_count"), F.asc_nulls_last("keyword")]
-    return number_rows(counts, order, name="pos")
+    return number_rows(counts, best_first(), name="pos")
 
 
 def cut_batches(positioned: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
@@ -96,30 +99,33 @@ def with_prompts(batches: DataFrame, **parts) -> DataFrame:
 def reply_reader() -> tuple[Callable[[str], str], Callable[[str], dict | None]]:
     """Two functions for tasks: a text fit for storage, and the answers in a reply.
 
-    Inner functions travel to the workers by themselves, so these need not have
-    this package.
+    The same reading as ``replies.parse_reply``, by a decoder that takes no constants. Inner
+    functions travel to the workers by themselves, so these need not have this
+    package.
     """
+    pattern = replies.OBJECT
 
     def storable(text: str) -> str:
         # Half a surrogate pair, which JSON allows, cannot be stored as UTF-8.
         return text.encode("utf-8", "replace").decode("utf-8")
 
-    def as_text(value) -> str | None:
-        if value is None:
-            return None
-        if not isinstance(value, str):
-            value = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-        return storable(value)
+    def refuse(number: str):
+        raise ValueError(f"{number} is no JSON")
+
+    def written(value) -> str:
+        plain = value if isinstance(value, str) else json.dumps(
+            value, ensure_ascii=False, separators=(",", ":")
+        )
+        return storable(plain)
 
     def answers_in(reply: str) -> dict | None:
-        first, last = reply.find("{"), reply.rfind("}")
-        if first < 0 or last < first:
-            return None
+        span = re.search(pattern, reply)
         try:
-            found = json.loads(reply[first : last + 1])
+            found = json.loads(span[0], parse_constant=refuse) if span else {}
         except (ValueError, RecursionError):
             return None
-        return {storable(key): as_text(value) for key, value in found.items()} or None
+        answers = {storable(k): None if v is None else written(v) for k, v in found.items()}
+        return answers or None
 
     return storable, answers_in
 
@@ -129,15 +135,16 @@ def ask(
     classifier: Callable[[list[str]], str],
     attempts: int = 3,
     wait_seconds: float = 3.0,
-    parallel: int | None = None,
+    batches_per_task: int = BATCHES_PER_TASK,
 ) -> DataFrame:
     """One reply per batch, with up to ``attempts`` tries.
 
     A reply that is not one JSON object is asked for again at once; after an
     exception there is a wait first. ``status`` ends as ok, invalid or failed,
     and ``error`` holds the last exception.
-    A task that is lost repeats its calls, so store the result before reading
-    it more than once.
+    The batches are counted first and dealt to as many tasks as it takes for
+    ``batches_per_task`` each, and to no fewer than run at once. A task that is lost
+    repeats its calls, so store the result before reading it more than once.
     """
 
     storable, answers_in = reply_reader()
@@ -160,11 +167,14 @@ def ask(
 
     def per_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            asked = [answer(list(keywords)) for keywords in frame["keywords"]]
-            outcome = pd.DataFrame(asked, columns=list(OUTCOME), index=frame.index)
-            yield pd.concat([frame, outcome], axis=1)
-
-    tasks = parallel or batches.sparkSession.sparkContext.defaultParallelism
+            for i in range(len(frame)):
+                one = frame.iloc[i : i + 1]
+                outcome = [answer(list(one["keywords"].iloc[0]))]
+                found = pd.DataFrame(outcome, columns=list(OUTCOME), index=one.index)
+                yield pd.concat([one, found], axis=1)
+
+    at_once = batches.sparkSession.sparkContext.defaultParallelism
+    tasks = max(at_once, -(-batches.count() // batches_per_task))
     wanted = batches.select("batch", "positions", "keywords").repartition(tasks, "batch")
     return wanted.mapInPandas(per_task, REPLIES)
 
@@ -174,6 +184,19 @@ def with_parsed_answers(stored: DataFrame, column: str = "reply") -> DataFrame:
     return stored.withColumn("answers", replies.parse_reply(F.col(column)))
 
 
+def not_asked(batches: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batches for whose keywords no good reply is stored."""
+    good = stored.where("status = 'ok'").select(F.to_json("keywords").alias("payload")).distinct()
+    return batches.join(good, "payload", "left_anti")
+
+
+def with_stored_answers(batches: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batches with the stored answers to their keywords, a good reply before others."""
+    best = F.max_by("answers", F.struct(F.col("status") == "ok", F.col("reply")))
+    known = stored.groupBy(F.to_json("keywords").alias("payload")).agg(best.alias("answers"))
+    return batches.join(known, "payload", "left")
+
+
 def look_up(answered: DataFrame) -> DataFrame:
     """Category of every keyword of every batch; the default if the reply lacks it."""
     entries = F.arrays_zip(F.col("positions").alias("pos"), F.col("keywords").alias("keyword"))

@@ -1,53 +1,81 @@
-"""Exact row numbers without a task that holds a whole group."""
+"""Row numbers without a bound, for groups of any size."""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchtide.session import checkpoint_folder
+#: One row in so many, picked by a hash, is looked at for the borders of a group.
+SAMPLE = 4096
+#: Sampled rows from which on a group is split, and most parts that it gets.
+SPLIT_FROM, PARTS = 32, 256
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name: str = "rank"
+    df: DataFrame,
+    keys: Sequence[Column],
+    by: Sequence[str] = (),
+    name: str = "rank",
+    sample: int = SAMPLE,
 ) -> DataFrame:
-    """Add 1, 2, 3, ... in the given order, within each group of ``by``.
+    """Number the rows of each group from 1 by ascending ``keys``; no task holds a heavy group.
 
-    ``row_number`` alone sends a group to one task. Here the rows are cut into
-    ranges of (group, order) first, numbered inside their range, and moved up
-    by the size of the group's earlier ranges. ``order`` must be total within a
-    group. The ranges are checkpointed: their borders come from a sample, and
-    sizes and rows have to agree on them even if an executor is lost.
+    A heavy group is cut at borders: some of its own rows, picked by a hash. Which
+    part a row is in follows from its keys, so the rows are shuffled once, by group
+    and part, and numbered there; a part's numbers start after the sizes of the
+    parts before it. Groups that are not heavy have one part and no border. Rows
+    must be distinct, and keys that leave ties are better avoided.
+
+    Borders and sizes are worked out from ``df`` too. They ask for all of its
+    columns, so where it ends in a shuffle, as counts do, that shuffle is read
+    again and the work before it is not repeated.
     """
-    checkpoint_folder(df.sparkSession)
-    keys = [F.asc(c) for c in by]
-    ranges = (
-        df.repartitionByRange(*keys, *order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
+    group = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)] or [F.lit(0).alias("_by0")]
+    groups = [f"_by{i}" for i in range(len(group))]
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    rows = df.select("*", *group, key.alias("_key"))
+
+    picked = F.pmod(F.xxhash64(*df.columns), F.lit(sample)) == 0
+    some = F.size("_some")
+    parts = F.least(F.lit(PARTS), F.floor(some / (SPLIT_FROM / 2)).cast("int"))
+    borders = (
+        rows.where(picked)
+        .groupBy(*groups)
+        .agg(F.array_sort(F.collect_list("_key")).alias("_some"))
+        .where(some >= SPLIT_FROM)
+        .select(
+            *[F.col(c).alias(f"_of{c}") for c in groups],
+            F.transform(
+                F.sequence(F.lit(1), parts - 1),
+                lambda i: F.element_at("_some", (F.floor(i * some / parts) + 1).cast("int")),
+            ).alias("_borders"),
+        )
     )
-    parts = [*by, "_range"]
-    local = ranges.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    passed = F.filter("_borders", lambda border: border <= F.col("_key"))
+    placed = rows.join(borders, _same(groups, "_of"), "left").select(
+        *df.columns, *groups, "_key", F.coalesce(F.size(passed), F.lit(-1)).alias("_part")
     )
-    earlier = (
-        Window.partitionBy(*by)
-        .orderBy("_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
+
+    local = placed.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*groups, "_part").orderBy("_key"))
     )
-    # One row per group and range; a group goes on into a range only across a
-    # border, so at most one shift per border is left to broadcast.
-    shifts = (
-        ranges.groupBy(*parts)
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each part of a heavy group.
+    starts = (
+        placed.where("_part >= 0")
+        .groupBy(*groups, "_part")
         .agg(F.count("*").alias("_size"))
-        .withColumn("_shift", F.sum("_size").over(earlier))
-        .where("_shift > 0")
-        .select(*[F.col(c).alias(f"_shift_{c}") for c in parts], "_shift")
-    )
-    same = F.lit(True)
-    for c in parts:
-        same = same & F.col(c).eqNullSafe(F.col(f"_shift_{c}"))
-    number = F.col("_local") + F.coalesce("_shift", F.lit(0))
-    return local.join(F.broadcast(shifts), same, "left").select(
-        *df.columns, number.cast("long").alias(name)
+        .withColumn("_start", F.sum("_size").over(earlier))
+        .select(*[F.col(c).alias(f"_in{c}") for c in groups], F.col("_part").alias("_in_part"), "_start")
     )
+    same = _same(groups, "_in") & (F.col("_part") == F.col("_in_part"))
+    number = F.col("_local") + F.coalesce("_start", F.lit(0))
+    return local.join(starts, same, "left").select(*df.columns, number.cast("long").alias(name))
+
+
+def _same(groups: Sequence[str], prefix: str) -> Column:
+    """Equal groups, null like any other value."""
+    equal = F.lit(True)
+    for c in groups:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return equal

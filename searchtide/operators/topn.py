@@ -18,7 +18,8 @@ from searchtide.schema import MONTHS, count_column, favourite_column
 
 
 def best_first() -> list[Column]:
-    return [F.desc("search_count"), F.asc_nulls_last("keyword")]
+    """Ascending keys: highest count first, then by keyword, null last."""
+    return [-F.col("search_count"), F.col("keyword").isNull(), F.col("keyword")]
 
 
 def _best(count: str = "search_count") -> Column:
@@ -32,22 +33,20 @@ def _best(count: str = "search_count") -> Column:
     return F.min(F.when(found > 0, row))
 
 
-def rank_keywords(counts: DataFrame, by: Sequence[str], n: int | None = None) -> DataFrame:
-    """Rank the keywords of each group by search count; all, or the first n.
+def rank_keywords(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rank all keywords of each group by search count; heavy groups are split."""
+    return number_rows(counts, best_first(), by)
 
-    With a bound, Spark cuts each map task's rows to n per group before the
-    shuffle. That rule has a limit of its own; beyond it, and with no bound,
-    the ranks come from ``number_rows``, which splits heavy groups.
+
+def first_ranked(counts: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """The first n keywords of each group by search count, with their rank.
+
+    Made for a small n: Spark cuts each map task's rows to n per group before the
+    shuffle, up to its own limit for n (1,000 unless set otherwise). For a larger
+    n filter ``rank_keywords``.
     """
-    spark = counts.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n is not None and n <= limit:
-        window = Window.partitionBy(*by).orderBy(*best_first())
-        return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
-    ranked = number_rows(counts, best_first(), by)
-    if n is None:
-        return ranked
-    return ranked.where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("int"))
+    window = Window.partitionBy(*by).orderBy(*best_first())
+    return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
 
 
 def best_keyword(counts: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -79,7 +78,7 @@ def top_n_keywords(
     first.
     """
     rows = drop_blank_keywords(log) if clean else log
-    ranked = rank_keywords(count_searches(rows, [*by, "keyword"]), by, n)
+    ranked = first_ranked(count_searches(rows, [*by, "keyword"]), by, n)
     return ranked.select(*by, "keyword", "search_count", "rank")
 
 

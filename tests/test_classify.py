@@ -30,6 +30,9 @@ REPLIES = [
     ('{"a": "Drama", "a": "News"}', "News"),
     ('{"a": "Drama",}', None),
     ('{"a": 3}', "3"),
+    ('{"a": NaN}', None),
+    ('{"a": "X", "b": -Infinity}', None),
+    ('{"a": [Infinity]}', None),
     ('{"a": {"b": [1, "x"]}}', '{"b":[1,"x"]}'),
     ('{"a": "X"}] more }', None),
     ('{"a": "X"},{}] more }', None),
@@ -57,7 +60,7 @@ def test_classifier_loop_reads_replies_the_same_way(reply, category):
 
 
 FRAGMENTS = [
-    "{", "}", "[", "]", ",", ":", '"a"', '"b"', '"Drama"', "null", "true", "3", "-", "\n", " ", "text",
+    "{", "}", "[", "]", ",", ":", "NaN", "-Infinity", "Infinity", '"a"', '"b"', '"Drama"', "null", "true", "3", "-", "\n", " ", "text",
     '"', "\\", "\\u0041", '"a":"N"', '"đ"', "// c", "\t", "\x01", "'a'", "01", '{"a":"X"}', '""',
 ]
 
@@ -162,6 +165,14 @@ def test_exceptions_only(spark):
     assert bag(C.look_up(asked), "category") == [("Other",), ("Other",)]
 
 
+def test_tasks_have_few_batches(spark):
+    words = [f"w{i}" for i in range(95)]
+    asked = outcome(spark, lambda keywords: "{}", words, attempts=1, batches_per_task=1)
+    assert asked.rdd.getNumPartitions() == 10
+    usual = outcome(spark, lambda keywords: "{}", words, attempts=1)
+    assert usual.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_last_batch_wins(spark):
     rows = [(0, 1, "k", "Drama"), (2, 21, "k", "Action"), (1, 11, "k", "News"), (0, 2, "m", "Music")]
     looked_up = spark.createDataFrame(rows, "batch long, pos long, keyword string, category string")

@@ -8,10 +8,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from searchtide.operators import counts as N
+from searchtide.operators import ranking
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
 from searchtide.operators.ranking import number_rows
-from tests.helpers import bag, tuples
+from tests.helpers import bag, plan, tuples
 
 SCHEMA = "user_id long, keyword string, search_count long"
 
@@ -26,25 +28,72 @@ def brute(rows):
     return sorted(numbered, key=repr)
 
 
-def test_heavy_group_is_numbered_across_ranges(spark):
+def heavy_rows():
+    """A third of the rows in one group, whose keywords share their beginning, most with one count."""
     draw = random.Random(7)
-    rows = [(None if i % 3 == 0 else i % 40, f"k{i:04}", draw.randint(1, 5)) for i in range(4000)]
-    rows += [(None, None, 3), (5, None, 1)]
+    rows = [
+        (None if i % 3 == 0 else i % 40, f"the same long beginning {i:04}", draw.choice([1, 1, 1, 2, 5]))
+        for i in range(4000)
+    ]
+    return [*rows, (None, None, 3), (5, None, 1)]
+
+
+def test_heavy_group_is_numbered_across_parts(spark, monkeypatch):
+    rows = heavy_rows()
     counts = spark.createDataFrame(rows, SCHEMA).repartition(7)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ranked = number_rows(counts, T.best_first(), ["user_id"], sample=4)
+    assert bag(ranked) == brute(rows)
+    placed = number_rows(counts, [*T.best_first(), F.col("user_id")], sample=4)
+    assert [r[0] for r in sorted(tuples(placed, "rank"))] == list(range(1, len(rows) + 1))
+    assert bag(T.rank_keywords(counts, ["user_id"])) == brute(rows)
+
+
+def test_no_part_is_near_a_heavy_group(spark, monkeypatch):
+    """The parts of the heavy group are many and even, whatever its keywords begin with."""
+    monkeypatch.setattr(ranking, "PARTS", 16)
+    counts = spark.createDataFrame(heavy_rows(), SCHEMA).repartition(3)
+    numbered = number_rows(counts, T.best_first(), ["user_id"], sample=2)
+    heavy = sum(r[0] is None for r in heavy_rows())
+    text = plan(numbered)
+    assert "_part" in text
+    sizes = parts_of(counts, 2)
+    assert len(sizes) == 16 and max(sizes) < 0.2 * heavy
+
+
+def parts_of(counts, sample):
+    """Sizes of the heavy group's parts: rows that share a start of their numbers."""
+    seen = []
+    original = type(counts).withColumn
+
+    def noted(df, name, value):
+        if name == "_local":
+            seen.append(df)
+        return original(df, name, value)
+
+    type(counts).withColumn = noted
     try:
-        ranked = T.rank_keywords(counts, ["user_id"])
-        assert bag(ranked) == brute(rows)
-        placed = number_rows(counts, [F.desc("search_count"), F.asc_nulls_last("keyword"), F.col("user_id")])
-        assert [r[0] for r in sorted(tuples(placed, "rank"))] == list(range(1, len(rows) + 1))
+        number_rows(counts, T.best_first(), ["user_id"], sample=sample)
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        type(counts).withColumn = original
+    placed = seen[0].where("_part >= 0").groupBy("_by0", "_part").count()
+    return [r["count"] for r in placed.collect() if r["_by0"] is None]
+
+
+def test_counts_are_shuffled_once_more(spark, tmp_path):
+    """One shuffle for the counts, one for the numbers; the log is read once."""
+    spark.createDataFrame(heavy_rows(), SCHEMA).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    ranked = T.rank_keywords(N.user_keyword_counts(log), ["user_id"])
+    ranked.collect()
+    text = plan(ranked).split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1 or text.count("ReusedExchange") >= text.count("FileScan") - 1
+    assert "checkpoint" not in text.lower()
 
 
 def test_order_over_the_whole_table(spark):
     rows = [(1, f"k{i}", i) for i in range(500)]
     placed = number_rows(
-        spark.createDataFrame(rows, SCHEMA).repartition(5), [F.desc("search_count")], name="pos"
+        spark.createDataFrame(rows, SCHEMA).repartition(5), [-F.col("search_count")], name="pos", sample=3
     )
     assert bag(placed, "keyword", "pos") == sorted(
         [(f"k{i}", 500 - i) for i in range(500)], key=repr

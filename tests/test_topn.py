@@ -5,6 +5,8 @@ import datetime
 import pytest
 
 from searchtide.functions.dates import with_month
+from pyspark.sql import functions as F
+
 from searchtide.operators import counts as N
 from searchtide.operators import topn as T
 from tests.helpers import bag, tuples
@@ -86,18 +88,11 @@ def test_report_order(log):
     assert [r[0] for r in top] == [2, 1, 6, None, 3]
 
 
-def test_ranks_beyond_the_group_limit(spark, log):
+def test_first_ranks_are_the_head_of_all_ranks(spark, log):
     counts = N.user_keyword_counts(log)
-    name = "spark.sql.optimizer.windowGroupLimitThreshold"
-    before = spark.conf.get(name)
-    usual = T.rank_keywords(counts, ["user_id"], 2)
-    expected = bag(usual)
-    try:
-        spark.conf.set(name, "1")
-        beyond = T.rank_keywords(counts, ["user_id"], 2)
-        assert bag(beyond) == expected and beyond.dtypes == usual.dtypes
-    finally:
-        spark.conf.set(name, before)
+    for n in (1, 2, 5000):
+        head = T.rank_keywords(counts, ["user_id"]).where(F.col("rank") <= n)
+        assert bag(T.first_ranked(counts, ["user_id"], n)) == bag(head)
 
 
 def test_month_columns(dated):
