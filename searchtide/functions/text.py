@@ -18,9 +18,13 @@ def is_blank(text: Column) -> Column:
 
 
 def normalize(text: Column) -> Column:
-    """Lower case, letters, digits and accents only, single blanks between words."""
-    kept = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}\p{Z}\s]", "")
-    return F.trim(F.regexp_replace(kept, r"[\p{Z}\s]+", " "))
+    """Lower case, letters, digits and accents only, single blanks between words.
+
+    Blanks of every kind part words, marks are dropped.
+    """
+    parted = F.regexp_replace(F.lower(text), rf"(?U)[\p{{Z}}{BLANK[1:-1]}]+", " ")
+    kept = F.regexp_replace(parted, r"[^\p{L}\p{M}\p{N} ]", "")
+    return F.trim(F.regexp_replace(kept, " +", " "))
 
 
 def fold(text: Column, collation: str = "UNICODE_CI_AI") -> Column:

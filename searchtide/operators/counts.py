@@ -103,13 +103,37 @@ def fold_keywords(counts: DataFrame, collation: str = "UNICODE_CI_AI") -> DataFr
     )
 
 
+def fold_counts(counts: DataFrame, by: Sequence[str], collation: str = "UNICODE_CI_AI") -> DataFrame:
+    """Finer counts, such as those of users, under the spelling that stands for each keyword.
+
+    All other columns are counts and add up. The spellings, one row per keyword, are
+    joined; a keyword of many users is a heavy key whose partition Spark splits.
+    """
+    sums = [c for c in counts.columns if c not in (*by, "keyword")]
+    spellings = roll_up(counts, ["keyword"]).withColumn("folded", text.fold(F.col("keyword"), collation))
+    best = F.min(F.struct(-F.col("search_count"), F.col("keyword").alias("keyword")))
+    chosen = spellings.groupBy("folded").agg(best["keyword"].alias("chosen"))
+    names = spellings.join(chosen, "folded").select("keyword", "chosen")
+    return (
+        counts.join(names, "keyword", "left")
+        .groupBy(*by, F.col("chosen").alias("keyword"))
+        .agg(*[F.sum(c).alias(c) for c in sums])
+    )
+
+
 def merge_aliases(counts: DataFrame, aliases: DataFrame) -> DataFrame:
     """Count the variants of an alias table (variant, canonical) as one keyword.
 
-    Takes counted keywords, one row each, so no join key is heavy; whether the
-    alias table is small enough to broadcast is left to its measured size.
+    A variant that is listed repeatedly stands for the first of its names in
+    order, so no search counts twice; rows without a name are left out. Takes
+    counted keywords, one row each, so no join key is heavy; whether the alias
+    table is small enough to broadcast is left to its measured size.
     """
-    names = aliases.select(F.col("variant").alias("keyword"), "canonical")
+    names = (
+        aliases.where(F.col("canonical").isNotNull())
+        .groupBy(F.col("variant").alias("keyword"))
+        .agg(F.min("canonical").alias("canonical"))
+    )
     return (
         roll_up(counts, ["keyword"])
         .join(names, "keyword", "left")

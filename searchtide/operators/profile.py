@@ -1,5 +1,7 @@
 """What is in a table: its columns, size and missing values."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,6 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return profile.select("position", "column_name", "data_type", "nullable", "n_values")
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any n rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first n rows in an order, or any n rows."""
+    return (df.orderBy(*order) if order else df).limit(n)

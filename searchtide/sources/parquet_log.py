@@ -14,11 +14,16 @@ def missing_files(error: AnalysisException) -> bool:
     return str(error.getCondition()).startswith(NO_FILES)
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """The files below a path, by name and size; file contents are not read."""
+def list_files(
+    spark: SparkSession, path: str, pattern: str = "*.parquet", recursive: bool = True
+) -> DataFrame:
+    """The files below a path, by name and size; file contents are not read.
+
+    Without ``recursive`` only those right inside the folder.
+    """
     found = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", str(recursive).lower())
         .option("pathGlobFilter", pattern)
         .load(path)
     )

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchtide.session import checkpoint_folder
 from searchtide.sources.parquet_log import list_files, missing_files
 
 CSV = {
@@ -21,11 +20,13 @@ CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+CSV_FILES = "*.csv"
+
 # A private-use character that ends a line for counting its fields.
 END = "\ue000"
 
-# A single file is written by one task; more rows than this go to many files.
-SINGLE_FILE_ROWS = 100_000
+# Rows of one file at most. A file with quoted line breaks is read by one task.
+FILE_ROWS = 1_000_000
 
 
 def _parsed(
@@ -51,6 +52,7 @@ def _parsed(
             **CSV,
             multiLine=multiline,
             enforceSchema="true",
+            pathGlobFilter=CSV_FILES,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord="_corrupt",
         )
@@ -66,9 +68,10 @@ def read_csv(
     """A headed CSV table with columns named by position.
 
     Lines with too many fields are skipped, missing fields and empty ones are
-    null, a value that does not fit its type is null. A folder without CSV
-    files is an error. ``multiline`` allows line breaks inside quotes, at the
-    price of one task per file; large files without them are better split.
+    null, a value that does not fit its type is null. Only files named ``*.csv``
+    right inside the folder are read; a folder without any is an error.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per
+    file, so ``write_csv`` keeps files short.
     """
     if not csv_exists(spark, path):
         raise FileNotFoundError(f"no CSV file in {path}")
@@ -79,26 +82,32 @@ def read_csv(
 
 
 def csv_exists(spark: SparkSession, path: str) -> bool:
+    """True for a CSV file, or a folder with one right inside it."""
     try:
-        return not list_files(spark, path, "*.csv").isEmpty()
+        return not list_files(spark, path, CSV_FILES, recursive=False).isEmpty()
     except AnalysisException as error:
         if missing_files(error):
             return False
         raise
 
 
-def load_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def load_report(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+) -> DataFrame:
     """Lines, parsed rows and skipped lines of each CSV file.
 
     Lines are physical ones, so a line break inside quotes counts as skipped.
+    ``multiline`` is that of the reader.
     """
+    if not csv_exists(spark, path):
+        raise FileNotFoundError(f"no CSV file in {path}")
     name = F.col("_metadata.file_path").alias("file_path")
     lines = (
-        spark.read.option("pathGlobFilter", "*.csv").text(path).select(name)
+        spark.read.option("pathGlobFilter", CSV_FILES).text(path).select(name)
         .groupBy("file_path").agg(F.count("*").alias("lines"))
     )
     parsed = (
-        _parsed(spark, path, schema).select(name)
+        _parsed(spark, path, schema, multiline).select(name)
         .groupBy("file_path").agg(F.count("*").alias("parsed"))
     )
     rows = F.coalesce("parsed", F.lit(0))
@@ -121,23 +130,24 @@ def or_empty(
     return spark.createDataFrame([], schema)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(
+    df: DataFrame, path: str, single_file: bool = False, file_rows: int = FILE_ROWS
+) -> None:
     """Replace a folder by a headed CSV table.
 
-    ``single_file`` is for short reports: the table is computed in parallel
-    first, and goes into one file if it has few enough rows for one task.
-    Longer tables keep one file per task, in order.
+    ``single_file`` is for tables whose size is bounded by what they are, such as
+    a top 20: one task writes them. Others have a file per task, in order, and
+    more than one where a task has more than ``file_rows`` rows.
     """
-    if single_file:
-        checkpoint_folder(df.sparkSession)
-        df = df.checkpoint()
-        if df.count() <= SINGLE_FILE_ROWS:
-            df = df.coalesce(1)
-    df.write.mode("overwrite").options(**CSV).csv(path)
+    rows = df.coalesce(1) if single_file else df
+    writer = rows.write.mode("overwrite").options(**CSV)
+    if not single_file:
+        writer = writer.option("maxRecordsPerFile", file_rows)
+    writer.csv(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

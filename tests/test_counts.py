@@ -38,6 +38,27 @@ def test_normalize(spark):
     )
 
 
+def test_blanks_of_every_kind_part_words(spark):
+    blanks = ["\x85", "\x1c", "\x1f", "\u00a0", "\u3000", "\u2028", "\t", "\x0b"]
+    df = frame(spark, [f"a{b}{i}" for i, b in enumerate(blanks)])
+    assert bag(N.normalize_keywords(df)) == sorted([(f"a {i}",) for i in range(len(blanks))], key=repr)
+
+
+def test_a_repeated_alias_counts_once(spark):
+    counts = spark.createDataFrame([("x", 5), ("y", 2)], "keyword string, search_count long")
+    rows = [("x", "z"), ("x", "b"), ("x", None), ("x", "b"), ("y", None), (None, "q")]
+    aliases = spark.createDataFrame(rows, "variant string, canonical string")
+    assert bag(N.merge_aliases(counts, aliases)) == [("b", 5), ("y", 2)]
+
+
+def test_folded_counts_of_users_add_up(spark):
+    rows = [(1, "love", 2, 1), (1, "LOVE", 1, 0), (2, "LÖVE", 1, 1), (2, None, 3, 0), (3, "x", 1, 1)]
+    counts = spark.createDataFrame(rows, "user_id long, keyword string, search_count long, count_t6 long")
+    assert bag(N.fold_counts(counts, ["user_id"])) == sorted(
+        [(1, "love", 3, 1), (2, "love", 1, 1), (2, None, 3, 0), (3, "x", 1, 1)], key=repr
+    )
+
+
 def test_fold_unites_case_and_accents(spark):
     rows = [("đại", 1), ("dai", 2), ("Đại", 4), ("NARUTO", 1), ("narúto", 1), (None, 5)]
     counts = spark.createDataFrame(rows, "keyword string, search_count long")

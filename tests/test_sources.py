@@ -98,7 +98,7 @@ def test_csv_round_trip(spark, tmp_path):
     assert bag(tables.read_csv(spark, path, TOP_KEYWORDS)) == sorted(rows, key=repr)
 
 
-def test_single_file_keeps_order(spark, tmp_path, monkeypatch):
+def test_single_file_keeps_order(spark, tmp_path):
     rows = [(f"u{i}", "k", i, 1) for i in range(50)]
     df = spark.createDataFrame(rows, TOP_KEYWORDS).repartition(4).orderBy(F.desc("search_count"))
     path = tmp_path / "one"
@@ -106,11 +106,42 @@ def test_single_file_keeps_order(spark, tmp_path, monkeypatch):
     (part,) = path.glob("*.csv")
     assert part.read_text().splitlines()[:2] == ["user_id,keyword,search_count,rank", "u49,k,49,1"]
     assert [r[2] for r in tuples(tables.read_csv(spark, str(path), TOP_KEYWORDS))] == list(range(49, -1, -1))
-    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 10)
-    spread = spark.createDataFrame(rows, TOP_KEYWORDS).repartition(4)
-    tables.write_csv(spread, str(path), single_file=True)
-    assert len(list(path.glob("*.csv"))) > 1
-    assert tables.read_csv(spark, str(path), TOP_KEYWORDS).count() == 50
+
+
+@pytest.mark.parametrize("n", [1, 200_000])
+def test_layout_does_not_depend_on_the_number_of_rows(spark, tmp_path, n):
+    df = spark.range(n).selectExpr("string(id) AS keyword", "'c' AS category").repartition(3)
+    tables.write_csv(df, str(tmp_path / "one"), single_file=True)
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+    tables.write_csv(df, str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").glob("*.csv"))) == min(n, 3)
+    assert tables.read_csv(spark, str(tmp_path / "many"), CLASSIFIED).count() == n
+
+
+def test_files_stay_short(spark, tmp_path):
+    df = spark.range(95).selectExpr("string(id) AS keyword", "'c' AS category").coalesce(1)
+    tables.write_csv(df, str(tmp_path), file_rows=10)
+    assert len(list(tmp_path.glob("*.csv"))) == 10
+    assert tables.read_csv(spark, str(tmp_path), CLASSIFIED).count() == 95
+
+
+def test_other_files_are_not_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,c\na,News\n")
+    (tmp_path / "notes.txt").write_text("k,c\nnot,a table\n")
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "b.csv").write_text("k,c\nb,News\n")
+    for multiline in (True, False):
+        assert tuples(tables.read_csv(spark, str(tmp_path), CLASSIFIED, multiline)) == [("a", "News")]
+        report = tables.load_report(spark, str(tmp_path), CLASSIFIED, multiline)
+        assert tuples(report, "lines", "parsed", "skipped") == [(2, 1, 0)]
+
+
+def test_csv_in_a_folder_below_only(spark, tmp_path):
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "b.csv").write_text("k,c\nb,News\n")
+    for read in (tables.read_csv, tables.load_report):
+        with pytest.raises(FileNotFoundError):
+            read(spark, str(tmp_path), CLASSIFIED)
 
 
 BAD = "user_id,keyword,extra\n1,x\n2,y,EXTRA\n3\n4,y,,\n5,,\n6,\n\n7,\"q\nr\"\n8,a,b,c,d\n"
