@@ -10,7 +10,6 @@ import importlib
 import json
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +25,9 @@ from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.schema import REPLIES
-from searchtide.session import checkpoint_folder
+from searchtide.plans import reports
+from searchtide.schema import CLASSIFIED, REPLIES
+from searchtide.session import scratch_path
 from searchtide.sources import parquet_log, tables
 from searchtide.sources.star_log import search_log, table
 
@@ -59,6 +59,15 @@ WORD_RULES = [
 # are tried.
 TITLE_WORDS = [
     ("old widget", "NARUTO"),
+    ("small widget", "fairy tail"),
+    ("large widget", "đại chiến titan"),
+    ("hot widget", "ARGEN"),
+    ("cold widget", "pent"),
+    ("blue widget", "những người thừa kế"),
+    ("red widget", "bolero"),
+    ("new widget", "S.W.A.T."),
+    ("old anvil", "Bigfoot"),
+    ("new anvil", "YOUTUBE"),
     ("ring", "LOVE"),
     ("rod", "Master Key 2"),
     ("gear", "vtv3"),
@@ -132,16 +141,23 @@ def _spelled(spark, d):
     return N.keyword_counts(log.withColumn("keyword", loud))
 
 
+def _loud_counts(spark, d):
+    """Counts by user, the keyword in capitals where the category is PROMO."""
+    log = _log(spark, d, "user_id", "keyword", "category")
+    loud = F.when(F.col("category") == "PROMO", F.upper("keyword")).otherwise(F.col("keyword"))
+    return N.user_keyword_counts(log.withColumn("keyword", loud))
+
+
 def _aliases(spark, d):
-    names = table(spark, d, "part").select(F.col("p_name").alias("variant")).distinct()
+    """A name for every part, listed as often as parts have it."""
+    names = table(spark, d, "part").select(F.col("p_name").alias("variant"))
     return names.withColumn("canonical", F.element_at(F.split("variant", " "), -1))
 
 
 def _known(spark, d):
-    old = table(spark, d, "part").where(F.col("p_name").startswith("old "))
-    return old.select(F.upper("p_name").alias("keyword")).distinct().withColumn(
-        "category", F.lit("Drama")
-    )
+    """Every part's name with its type as the category, some names more than once."""
+    part = table(spark, d, "part").select("p_name", "p_type")
+    return part.select(F.upper("p_name").alias("keyword"), F.concat(F.lit("of "), "p_type").alias("category"))
 
 
 def _titles(spark, d):
@@ -184,37 +200,106 @@ def _parsed_parts(spark, d):
     )
 
 
-def _new_folder(spark) -> str:
-    """A folder of its own in the shared place for checkpoints."""
-    return f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
-
-
 def _csv_round_trip(spark, d):
-    path = _new_folder(spark)
+    path = scratch_path(spark, "top3")
     top = T.top_n_keywords(_log(spark, d, "user_id", "keyword"), 3)
     tables.write_csv(T.in_report_order(top), path)
     return tables.read_csv(spark, path, top.schema)
 
 
+def _csv_with_mark(spark, d):
+    """A CSV table whose files start with a byte-order mark, by position."""
+    path = scratch_path(spark, "marked")
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    tables.write_csv(part.withColumnRenamed("p_partkey", "\ufeffp_partkey"), path)
+    return tables.read_csv(spark, path, part.schema)
+
+
 def _csv_load_report(spark, d):
-    path = _new_folder(spark)
+    path = scratch_path(spark, "counts")
     counts = N.user_keyword_counts(_log(spark, d, "user_id", "keyword", dirty=True))
     tables.write_csv(counts, path)
     report = tables.load_report(spark, path, counts.schema)
     return report.agg(F.sum("parsed").alias("parsed"), F.sum("skipped").alias("skipped"))
 
 
+def _classification_csv(spark, d):
+    path = scratch_path(spark, "classified")
+    keywords = C.with_positions(_clean_counts(spark, d))
+    reports.classification(keywords, path, names=_known(spark, d))
+    return tables.read_csv(spark, f"{path}/csv/keyword_classified", CLASSIFIED)
+
+
 def _json_round_trip(spark, d):
-    path = _new_folder(spark)
+    path = scratch_path(spark, "answers")
     tables.write_json(_answered(spark, d), path)
     return C.look_up(tables.read_json(spark, path, REPLIES))
 
 
+def _missing_input(spark, d):
+    """Events beside a log that is missing, which counts as an empty one."""
+    events = table(spark, d, "events")
+    gone = tables.or_empty(
+        lambda: parquet_log.read_log(spark, f"{d}/no-such-log"), spark, events.schema
+    )
+    return parquet_log.unite(events, gone)
+
+
+def _error_of(read: Callable[[], DataFrame]) -> str:
+    try:
+        read()
+    except FileNotFoundError as error:
+        return type(error).__name__
+    return "none"
+
+
+def _missing_errors(spark, d):
+    """What reading raises: a tree without such files, a folder without CSV."""
+    parquet = _error_of(lambda: parquet_log.read_log(spark, d, pattern="no-such-*.parquet"))
+    csv = _error_of(lambda: tables.read_csv(spark, d, CLASSIFIED))
+    found = _error_of(lambda: parquet_log.read_log(spark, d, pattern="events.parquet"))
+    return table(spark, d, "events").agg(
+        F.count("*").alias("n_rows"),
+        F.lit(parquet).alias("no_parquet"),
+        F.lit(csv).alias("no_csv"),
+        F.lit(found).alias("events"),
+    )
+
+
 def _union_days(spark, d):
     events = table(spark, d, "events")
     middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    late = events.where(F.col("ts") >= middle).select(*reversed(events.columns))
-    return parquet_log.unite(events.where(F.col("ts") < middle), late)
+    early = F.coalesce(F.col("ts") < middle, F.lit(False))
+    late = events.where(~early).select(*reversed(events.columns))
+    return parquet_log.unite(events.where(early), late)
+
+
+def _failing_classifier() -> Callable[[list[str]], str]:
+    """Fails in a fixed way, by the first keyword of a batch."""
+
+    def reply(keywords: list[str]) -> str:
+        if "gizmo" in keywords[0]:
+            raise OSError("no answer")
+        if "bolt" in keywords[0]:
+            return "no object"
+        return json.dumps({k: "Drama" for k in keywords})
+
+    return reply
+
+
+def _retries(spark, d):
+    asked = C.ask(_batches(spark, d), _failing_classifier(), attempts=2, wait_seconds=0)
+    return asked.select("batch", "status", "attempts", "error", F.size("answers").alias("n_answers"))
+
+
+def _text_words(spark, d):
+    """First words of the documents, whose letters have accents, composed and decomposed."""
+    word = F.split_part(F.col("text"), F.lit(" "), F.lit(1))
+    texts = table(spark, d, "documents").where("text IS NOT NULL")
+    loud = F.when(F.col("doc_id") % 3 == 0, F.upper(word)).otherwise(word)
+    apart = F.replace(loud, F.lit("é"), F.lit("e\u0301"))
+    spelled = F.when(F.col("doc_id") % 2 == 0, apart).otherwise(loud)
+    return N.keyword_counts(texts.select(spelled.alias("keyword")))
 
 
 def _merged(spark, d):
@@ -240,7 +325,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or report; each takes (spark, sf_dir)."""
-    found = _log_queries()
+    found = log_queries()
     if _LLM:
         found |= _LLM.QUERIES
     if _PIPELINE:
@@ -248,22 +333,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return found
 
 
-def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources
         "scan_log": lambda s, d: parquet_log.read_log(s, d, pattern="lineitem.parquet"),
         "scan_day": lambda s, d: parquet_log.read_day(s, d, "events.parquet"),
         "union_days": _union_days,
+        "missing_input": _missing_input,
+        "missing_errors": _missing_errors,
         "source_inventory": lambda s, d: parquet_log.file_inventory(s, d, "lineitem.parquet"),
         "source_rows": lambda s, d: parquet_log.file_inventory(s, d, "lineitem.parquet").select(
             "file_name", "n_rows"
         ),
         "csv_round_trip": _csv_round_trip,
+        "csv_with_mark": _csv_with_mark,
         "csv_load_report": _csv_load_report,
         "json_round_trip": _json_round_trip,
         "schema_profile": lambda s, d: P.schema_profile(table(s, d, "lineitem")),
         "table_profile": lambda s, d: P.table_profile(_log(s, d)),
-        "preview": lambda s, d: P.preview(_log(s, d)),
+        "preview": lambda s, d: P.preview(_log(s, d), 5, _log(s, d).columns),
         # cleaning and derived columns
         "derive_month": lambda s, d: with_month(_log(s, d, "user_id", "datetime")).select(
             "user_id", "date", "month"
@@ -280,6 +368,10 @@ def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "doc_id", text.normalize(F.col("text")).alias("keyword")
         ),
         "fold_keyword": lambda s, d: N.fold_keywords(_spelled(s, d)),
+        "fold_accents": lambda s, d: N.fold_keywords(_text_words(s, d)).select(
+            "search_count", "spellings"
+        ),
+        "fold_user_counts": lambda s, d: N.fold_counts(_loud_counts(s, d), ["user_id"]),
         "merge_aliases": lambda s, d: N.merge_aliases(
             N.keyword_counts(_log(s, d, "keyword")), _aliases(s, d)
         ),
@@ -351,6 +443,8 @@ def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classify_function": lambda s, d: C.classify(
             C.with_positions(_clean_counts(s, d)), _local_classifier()
         ),
+        "classify_retries": _retries,
+        "classification_csv": _classification_csv,
         "classify_rules": lambda s, d: _ruled(s, d).select("keyword", "search_count", "category"),
         "classify_default_rules": lambda s, d: C.classify_by_rules(
             _titles(s, d), known=KNOWN_KEYWORDS
@@ -439,9 +533,10 @@ _RULED = f"""{_PLAIN}, ruled AS (
       CASE WHEN keyword LIKE '%widget%' OR keyword LIKE '%gizmo%' THEN 'Animation'
         WHEN keyword LIKE '% ring' THEN 'Romance'
         WHEN keyword LIKE '%gear%' OR keyword LIKE '%bolt%' THEN 'Sports'
-        WHEN keyword LIKE 'old %' THEN 'Drama'
-        ELSE 'Other' END AS category
-    FROM log WHERE keyword IS NOT NULL GROUP BY keyword
+        ELSE coalesce(min(kind), 'Other') END AS category
+    FROM log LEFT JOIN (SELECT lower(p_name) AS name, min('of ' || p_type) AS kind
+      FROM part GROUP BY 1) ON lower(keyword) = name
+    WHERE keyword IS NOT NULL GROUP BY keyword
 )"""
 
 
@@ -477,8 +572,27 @@ def _schema_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
+# The prompt's text, written out.
+_PROMPT_HEAD = """You sort search keywords of a video service into content categories.
+Keywords may be misspelt, lack Vietnamese accents or run words together; read them as the title, person, team or topic most likely meant.
+Categories: Action, Romance, Comedy, Horror, Animation, Drama, C Drama, K Drama, Sports, Music, Reality Show, TV Channel, News, Other.
+Hints (regular expression: category):
+  vtv|htv|channel: TV Channel
+  \\b(running|master key|reality|idol|show|challenge)\\b: Reality Show
+  \\b(romantic|love|kiss)\\b: Romance
+  \\b(potter|hogwarts|wizard|magic)\\b: Drama
+  \\b(fight|gun|hero|war)\\b: Action
+  \\b(breaking|live|news)\\b: News
+Countries, clubs and matches are Sports; names from Chinese or Korean series are C Drama or K Drama; cartoon and anime names are Animation.
+Use Other only when nothing else fits.
+Keywords:
+"""
+_PROMPT_TAIL = """
+Answer with one JSON object and nothing else: each keyword exactly as given, and its category."""
+
+
 def _prompt_sql() -> str:
-    head, tail = (part.replace("'", "''") for part in C.prompt_parts())
+    head, tail = (part.replace("'", "''") for part in (_PROMPT_HEAD, _PROMPT_TAIL))
     return f"WITH {_PLACED} SELECT batch, '{head}' || payload || '{tail}' AS prompt FROM payloads"
 
 
@@ -496,13 +610,20 @@ def _titles_sql() -> str:
             WHEN keyword LIKE '%wizard' THEN 'Drama'
             WHEN keyword LIKE '%war' THEN 'Action'
             WHEN keyword LIKE '%breaking' THEN 'News'
-            WHEN keyword = 'NARUTO' THEN 'Animation'
+            WHEN keyword IN ('NARUTO', 'fairy tail', 'đại chiến titan') THEN 'Animation'
+            WHEN keyword = 'ARGEN' THEN 'Sports'
+            WHEN keyword = 'pent' THEN 'C Drama'
+            WHEN keyword = 'những người thừa kế' THEN 'K Drama'
+            WHEN keyword = 'bolero' THEN 'Music'
+            WHEN keyword = 'Bigfoot' THEN 'Horror'
+            WHEN keyword = 'S.W.A.T.' THEN 'Action'
             ELSE 'Other' END AS category FROM titles"""
 
 
 def _normalized_sql(column: str) -> str:
-    kept = f"regexp_replace(lower({column}), '[^\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Z}}\\s]', '', 'g')"
-    return f"trim(regexp_replace({kept}, '[\\p{{Z}}\\s]+', ' ', 'g'))"
+    parted = f"regexp_replace(lower({column}), '[\\p{{Z}}\\s\\x0b\\x1c-\\x1f\\x85]+', ' ', 'g')"
+    kept = f"regexp_replace({parted}, '[^\\p{{L}}\\p{{M}}\\p{{N}} ]', '', 'g')"
+    return f"trim(regexp_replace({kept}, ' +', ' ', 'g'))"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -521,8 +642,53 @@ def _log_sql() -> dict[str, str]:
     return {
         "scan_log": "SELECT * FROM lineitem",
         "scan_day": "SELECT * FROM events",
-        "union_days": """SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16'
-            UNION ALL SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+        "union_days": """SELECT * FROM events WHERE coalesce(ts < TIMESTAMP '2024-01-16', false)
+            UNION ALL SELECT * FROM events WHERE NOT coalesce(ts < TIMESTAMP '2024-01-16', false)""",
+        "missing_input": "SELECT * FROM events",
+        "missing_errors": """SELECT count(*) AS n_rows, 'FileNotFoundError' AS no_parquet,
+            'FileNotFoundError' AS no_csv, 'none' AS events FROM events""",
+        "csv_with_mark": "SELECT p_partkey, p_name FROM part",
+        "preview": f"""WITH {_PLAIN} SELECT * FROM log
+            ORDER BY user_id NULLS FIRST, datetime NULLS FIRST, keyword NULLS FIRST,
+              category NULLS FIRST LIMIT 5""",
+        "fold_accents": """WITH words AS (
+              SELECT split_part(text, ' ', 1) AS word, doc_id FROM documents WHERE text IS NOT NULL
+            ), loud AS (
+              SELECT CASE WHEN doc_id % 3 = 0 THEN upper(word) ELSE word END AS word, doc_id FROM words
+            ), spelled AS (
+              SELECT CASE WHEN doc_id % 2 = 0 THEN replace(word, 'é', 'e' || chr(769)) ELSE word END
+                AS word, count(*) AS n FROM loud GROUP BY 1
+            )
+            SELECT CAST(sum(n) AS BIGINT) AS search_count, count(*) AS spellings FROM spelled
+            GROUP BY replace(strip_accents(nfc_normalize(lower(word))), 'ß', 'ss')""",
+        "fold_user_counts": f"""WITH {_PLAIN}, counted AS (
+              SELECT user_id, count(*) AS n,
+                CASE WHEN category = 'PROMO' THEN upper(keyword) ELSE keyword END AS keyword
+              FROM log GROUP BY ALL
+            ), spelled AS (SELECT keyword, sum(n) AS n FROM counted GROUP BY keyword
+            ), chosen AS (
+              SELECT lower(keyword) AS folded, first(keyword ORDER BY n DESC, keyword) AS keyword
+              FROM spelled WHERE keyword IS NOT NULL GROUP BY 1
+            )
+            SELECT user_id, chosen.keyword, CAST(sum(n) AS BIGINT) AS search_count
+            FROM counted LEFT JOIN chosen ON lower(counted.keyword) = folded GROUP BY ALL""",
+        "classify_retries": f"""WITH {_PLACED}, firsts AS (
+              SELECT batch, first(keyword ORDER BY pos) AS keyword,
+                count(DISTINCT keyword) AS n FROM batched GROUP BY batch
+            )
+            SELECT batch,
+              CASE WHEN keyword LIKE '%gizmo%' THEN 'failed' WHEN keyword LIKE '%bolt%'
+                THEN 'invalid' ELSE 'ok' END AS status,
+              CAST(CASE WHEN keyword LIKE '%gizmo%' OR keyword LIKE '%bolt%' THEN 2 ELSE 1 END
+                AS INTEGER) AS attempts,
+              CASE WHEN keyword LIKE '%gizmo%' THEN 'OSError(''no answer'')' END AS error,
+              CAST(CASE WHEN keyword LIKE '%gizmo%' OR keyword LIKE '%bolt%' THEN NULL ELSE n END
+                AS INTEGER) AS n_answers
+            FROM firsts""",
+        "classification_csv": f"""WITH {_PLACED}, names AS (
+              SELECT lower(p_name) AS name, min('of ' || p_type) AS category FROM part GROUP BY 1)
+            SELECT keyword, coalesce(names.category, 'Other') AS category
+            FROM placed LEFT JOIN names ON lower(keyword) = name""",
         "source_rows": """SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows
             FROM lineitem""",
         "csv_round_trip": f"""WITH {_PLAIN}, {_RANKED}

@@ -5,8 +5,11 @@ import importlib
 
 from pyspark.sql import SparkSession
 
+from searchtide.functions.rules import KNOWN_KEYWORDS
 from searchtide.plans import reports
+from searchtide.schema import CLASSIFIED
 from searchtide.sources.parquet_log import read_log
+from searchtide.sources.tables import read_csv
 
 
 def _function(name: str):
@@ -14,6 +17,14 @@ def _function(name: str):
     return getattr(importlib.import_module(module), attribute)
 
 
+def _preparing(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--clean", action="store_true", help="drop null and blank keywords first")
+    command.add_argument(
+        "--normalize", action="store_true", help="put keywords into their plain form first"
+    )
+    command.add_argument("--year", type=int, help="searches of one year only")
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="searchtide")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -21,8 +32,11 @@ def main(arguments: list[str] | None = None) -> None:
     report.add_argument("log")
     report.add_argument("out")
     report.add_argument("--months", type=int, nargs=2, default=list(reports.MONTHS))
-    report.add_argument("--clean", action="store_true", help="drop null and blank keywords first")
-    report.add_argument("--whole-log", action="store_true", help="classify every keyword")
+    _preparing(report)
+    report.add_argument("--fold", action="store_true", help="count the spellings of a keyword as one")
+    report.add_argument("--top", type=int, help="classify the first rows only, not every keyword")
+    report.add_argument("--names", help="CSV table of keywords and their categories")
+    report.add_argument("--allow-missing", action="store_true", help="take a missing log for an empty one")
     report.add_argument(
         "--classifier", type=_function, help="module:function from keywords to a reply"
     )
@@ -30,7 +44,7 @@ def main(arguments: list[str] | None = None) -> None:
     months.add_argument("log")
     months.add_argument("out")
     months.add_argument("--top", type=int, default=3)
-    months.add_argument("--clean", action="store_true", help="drop null and blank keywords first")
+    _preparing(months)
     day = commands.add_parser("day", help="a look at one day's folder")
     day.add_argument("log")
     day.add_argument("day")
@@ -40,19 +54,23 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("searchtide").getOrCreate()
     if given.command == "day":
         reports.day_report(spark, given.log, given.day, given.out)
-    elif given.command == "months":
-        log = read_log(spark, given.log)
-        reports.top_per_month(log, given.out, given.top, given.clean)
-    else:
-        reports.search_report(
-            spark,
-            given.log,
-            given.out,
-            months=given.months,
-            clean=given.clean,
-            classifier=given.classifier,
-            whole_log=given.whole_log,
-        )
+        return
+    prepared = {"clean": given.clean, "normalize": given.normalize, "year": given.year}
+    if given.command == "months":
+        reports.top_per_month(read_log(spark, given.log), given.out, given.top, **prepared)
+        return
+    names = read_csv(spark, given.names, CLASSIFIED) if given.names else KNOWN_KEYWORDS
+    reports.search_report(
+        spark,
+        given.log,
+        given.out,
+        months=given.months,
+        classifier=given.classifier,
+        names=names,
+        top=given.top,
+        allow_missing=given.allow_missing,
+        counting=prepared | {"fold": given.fold},
+    )
 
 
 if __name__ == "__main__":

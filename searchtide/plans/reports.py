@@ -5,19 +5,19 @@ lost executor costs a stage and no report counts the log again. What people
 read goes beside it as CSV, under ``csv``.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.functions.dates import with_month
+from searchtide.functions.dates import of_year, with_month
 from searchtide.functions.rules import KNOWN_KEYWORDS
 from searchtide.operators import classify as C
 from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.schema import MONTHS, REPLIES
+from searchtide.schema import LOG, MONTHS, REPLIES
 from searchtide.sources import parquet_log, tables
 
 
@@ -26,17 +26,31 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def prepared(
+    log: DataFrame, clean: bool = False, normalize: bool = False, year: int | None = None
+) -> DataFrame:
+    """The log of one year, or all, with clean or normalised keywords as asked."""
+    rows = log if year is None else of_year(log, year)
+    if normalize:
+        return N.normalize_keywords(rows)
+    return N.drop_blank_keywords(rows) if clean else rows
+
+
 def store_counts(
-    log: DataFrame, out: str, months: Sequence[int] = MONTHS, clean: bool = False
+    log: DataFrame, out: str, months: Sequence[int] = MONTHS, fold: bool = False, **options
 ) -> DataFrame:
-    """Searches per user and keyword, in all and by month; the stage that reads the log."""
-    rows = N.drop_blank_keywords(log) if clean else log
-    return _stored(N.user_keyword_counts_by_month(rows, months), f"{out}/counts")
+    """Searches per user and keyword, in all and by month; the stage that reads the log.
+
+    ``fold`` counts the spellings of a keyword as one, ``options`` are those of
+    ``prepared``.
+    """
+    counts = _stored(N.user_keyword_counts_by_month(prepared(log, **options), months), f"{out}/counts")
+    return _stored(N.fold_counts(counts, ["user_id"]), f"{out}/folded") if fold else counts
 
 
 def top_keywords(counts: DataFrame, out: str, n: int = 3) -> tuple[DataFrame, DataFrame]:
     """Top n and top 1 keywords per user, over all months."""
-    ranked = T.rank_keywords(counts.select("user_id", "keyword", "search_count"), ["user_id"], n)
+    ranked = T.first_ranked(counts.select("user_id", "keyword", "search_count"), ["user_id"], n)
     top = _stored(ranked, f"{out}/top{n}_keywords")
     first = T.first_of_top(top)
     tables.write_csv(T.in_report_order(top), f"{out}/csv/top{n}_keywords")
@@ -53,9 +67,9 @@ def top_keyword_by_month(
     return wide
 
 
-def top_per_month(log: DataFrame, out: str, n: int = 3, clean: bool = False) -> DataFrame:
+def top_per_month(log: DataFrame, out: str, n: int = 3, **options) -> DataFrame:
     """Top n keywords per user and month, in long form, for every month of the log."""
-    top = T.top_n_keywords(with_month(log), n, ["user_id", "month"], clean)
+    top = T.top_n_keywords(with_month(prepared(log, **options)), n, ["user_id", "month"])
     return _stored(top, f"{out}/top{n}_keywords_by_month")
 
 
@@ -90,23 +104,28 @@ def classification(
     keywords: DataFrame,
     out: str,
     classifier: Callable[[list[str]], str] | None = None,
+    names: DataFrame | Mapping[str, str] = KNOWN_KEYWORDS,
     **options,
 ) -> DataFrame:
     """A category for each of the positioned keywords, and how they spread.
 
-    Without a classifier the written rules decide. Replies are stored as JSON
-    before anything reads them, so no batch is asked for twice.
+    Without a classifier the written rules decide, and then ``names``, keywords
+    with their categories. Replies are stored as JSON and kept: a later run into
+    the same folder asks only for batches that have no good reply yet.
     """
     spark = keywords.sparkSession
     if classifier is None:
-        found = C.classify_by_rules(C.distinct_keywords(keywords), known=KNOWN_KEYWORDS)
+        found = C.classify_by_rules(C.distinct_keywords(keywords), known=names)
     else:
-        asked = C.ask(C.cut_batches(keywords), classifier, **options)
-        tables.write_json(asked, f"{out}/replies")
-        found = C.merge_answers(C.look_up(tables.read_json(spark, f"{out}/replies", REPLIES)))
+        replies = f"{out}/replies"
+        batches = _stored(C.cut_batches(keywords), f"{out}/batches")
+        stored = tables.or_empty(lambda: tables.read_json(spark, replies, REPLIES), spark, REPLIES)
+        tables.write_json(C.ask(C.not_asked(batches, stored), classifier, **options), replies, "append")
+        answered = C.with_stored_answers(batches, tables.read_json(spark, replies, REPLIES))
+        found = C.merge_answers(C.look_up(answered))
     classified = _stored(found.select("keyword", "category", "pos"), f"{out}/classified")
     ordered = classified.orderBy("pos", "keyword").select("keyword", "category")
-    tables.write_csv(ordered, f"{out}/csv/keyword_classified", single_file=True)
+    tables.write_csv(ordered, f"{out}/csv/keyword_classified")
     tables.write_csv(
         C.category_distribution(classified).orderBy(F.desc("count"), "category"),
         f"{out}/csv/category_distribution",
@@ -115,28 +134,41 @@ def classification(
     return classified
 
 
+def read_input(spark: SparkSession, path: str, allow_missing: bool = False) -> DataFrame:
+    """The log below a path; if allowed, an empty one where there is none."""
+    if allow_missing:
+        return tables.or_empty(lambda: parquet_log.read_log(spark, path), spark, LOG)
+    return parquet_log.read_log(spark, path)
+
+
 def search_report(
     spark: SparkSession,
     log_path: str,
     out: str,
     months: Sequence[int] = MONTHS,
-    clean: bool = False,
     classifier: Callable[[list[str]], str] | None = None,
-    whole_log: bool = False,
+    names: DataFrame | Mapping[str, str] = KNOWN_KEYWORDS,
+    top: int | None = None,
+    allow_missing: bool = False,
+    counting: dict | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """All reports of a log. ``whole_log`` classifies every keyword, not the top 30 rows."""
-    counts = store_counts(parquet_log.read_log(spark, log_path), out, months, clean)
+    """All reports of a log. Every keyword is classified, or the first ``top`` user rows.
+
+    ``counting`` has the options of ``store_counts``, ``options`` are those of
+    ``classify.ask``. Everything that is written goes below ``out``.
+    """
+    log = read_input(spark, log_path, allow_missing)
+    counts = store_counts(log, out, months, **(counting or {}))
     top3, top1 = top_keywords(counts, out)
     wide = top_keyword_by_month(counts, out, months)
     stored = {"top3_keywords": top3, "top1_keywords": top1, "top_keyword_by_month": wide}
     results = stored | figures(top1, wide, out, months)
-    if whole_log:
-        popular = N.drop_blank_keywords(N.roll_up(counts, ["keyword"]))
-        keywords = C.with_positions(popular)
+    if top is None:
+        keywords = C.with_positions(N.drop_blank_keywords(N.roll_up(counts, ["keyword"])))
     else:
-        keywords = T.top_user_rows(top1)
-    stored["keyword_classified"] = classification(keywords, out, classifier, **options)
+        keywords = T.top_user_rows(top1, top)
+    stored["keyword_classified"] = classification(keywords, out, classifier, names, **options)
     return results | stored | {"profiles": profiles(stored, out)}
 
 
@@ -151,7 +183,9 @@ def day_report(spark: SparkSession, root: str, day: str, out: str) -> dict[str,
         "top_keywords": N.top_keywords(N.roll_up(counts, ["keyword"]), 10),
     }
     for name, df in results.items():
-        tables.write_csv(df, f"{out}/csv/{name}", single_file=True)
+        # Files and categories are as many as the day has.
+        bounded = name in ("columns", "top_keywords")
+        tables.write_csv(df, f"{out}/csv/{name}", single_file=bounded)
     results["top1_keywords"] = T.in_report_order(T.best_keyword(counts, ["user_id"]))
     tables.write_csv(results["top1_keywords"], f"{out}/csv/top1_keywords")
     return results

@@ -35,3 +35,16 @@ def test_from_elsewhere(tmp_path):
     counts = dict(line.split() for line in done.stdout.splitlines() if " " in line)
     assert done.returncode == 0, done.stderr[-3000:]
     assert int(counts["classify_function"]) > 100 and int(counts["rank_user_keyword"]) > 1000
+
+
+def test_union_keeps_rows_without_a_time(spark, tmp_path):
+    import __spark_entry__ as contract
+
+    rows = [(1, "2024-01-02 00:00:00"), (2, None), (3, "2024-01-20 00:00:00")]
+    events = spark.createDataFrame(rows, "event_id long, time string").selectExpr(
+        "event_id", "to_timestamp_ntz(time) AS ts", "1L AS user_id", "'e' AS event_type",
+        "1.0D AS value", "'' AS props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = contract.queries()["union_days"](spark, str(tmp_path)).select("event_id").collect()
+    assert sorted(r[0] for r in found) == [1, 2, 3]

@@ -62,7 +62,7 @@ def test_unused_tables_are_not_joined(spark):
     assert plan(star_log.search_log(spark, SF_DIR, ["user_id", "keyword"])).count("FileScan") == 3
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - USES_PYTHON))
+@pytest.mark.parametrize("name", sorted(set(contract.log_queries()) - USES_PYTHON))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     assert "Python" not in text and "InPandas" not in text

@@ -47,7 +47,9 @@ def test_search_report(spark, log_dir, tmp_path):
     def classifier(keywords):
         return "Sure: " + json.dumps({k: "Drama" for k in keywords if k != "bolero"})
 
-    results = reports.search_report(spark, log_dir, out, classifier=classifier, wait_seconds=0)
+    results = reports.search_report(
+        spark, log_dir, out, classifier=classifier, wait_seconds=0, top=30
+    )
 
     counter = Counter((r[2], r[3]) for r in searches())
     users = {u for u, _ in counter}
@@ -80,7 +82,7 @@ def test_search_report(spark, log_dir, tmp_path):
 
 def test_clean_report_of_every_keyword_by_rules(spark, log_dir, tmp_path):
     out = str(tmp_path / "report")
-    results = reports.search_report(spark, log_dir, out, clean=True, whole_log=True)
+    results = reports.search_report(spark, log_dir, out, counting={"clean": True})
     found = dict(bag(results["keyword_classified"], "keyword", "category"))
     assert found == {
         "NARUTO": "Animation", "vtv1": "TV Channel", "love song": "Romance", "bolero": "Music",
@@ -111,3 +113,83 @@ def test_command_line(spark, log_dir, tmp_path):
     command.main(["report", log_dir, str(tmp_path / "all"), "--months", "5", "6"])
     wide = tables.read_csv(spark, str(tmp_path / "all/csv/top_keyword_by_month"), wide_schema((5, 6)))
     assert wide.count() == len({r[2] for r in searches()})
+
+
+def test_a_second_run_asks_nothing(spark, tmp_path):
+    words = spark.createDataFrame([(f"k{i:02}", i) for i in range(1, 26)], "keyword string, pos long")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    answering = [False]
+
+    def classifier():
+        good = answering[0]
+
+        def reply(keywords):
+            (asked / keywords[0]).write_text("")
+            return json.dumps({k: "Drama" for k in keywords}) if good or keywords[0] == "k01" else "no"
+
+        return reply
+
+    def run():
+        for path in asked.glob("*"):
+            path.unlink()
+        found = reports.classification(words, str(tmp_path / "out"), classifier(), wait_seconds=0)
+        return dict(bag(found, "keyword", "category")), sorted(p.name for p in asked.glob("*"))
+
+    first, names = run()
+    assert names == ["k01", "k11", "k21"] and set(first.values()) == {"Drama", "Other"}
+    answering[0] = True
+    second, names = run()
+    assert names == ["k11", "k21"] and set(second.values()) == {"Drama"} and len(second) == 25
+    assert run() == (second, [])
+
+
+SPELLED = [
+    ("u1", 2022, "Love"), ("u1", 2022, "love!"), ("u1", 2022, "LOVE"), ("u1", 2021, "old"), ("u1", 2021, "old"),
+    ("u1", 2021, "old"), ("u1", 2021, "old"), ("u2", 2022, "bolero"), ("u2", 2022, " "),
+]
+
+
+@pytest.fixture(scope="module")
+def spelled_dir(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("spelled") / "day")
+    rows = [("e", datetime.datetime(y, 6, 3), u, k, "c", "p", "n") for u, y, k in SPELLED]
+    spark.createDataFrame(rows, LOG).write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize(
+    "options,expected",
+    [
+        ([], [("u1", "old", 4), ("u2", " ", 1)]),
+        (["--year", "2022", "--clean"], [("u1", "LOVE", 1), ("u2", "bolero", 1)]),
+        (["--year", "2022", "--normalize"], [("u1", "love", 3), ("u2", "bolero", 1)]),
+        (["--year", "2022", "--clean", "--fold"], [("u1", "LOVE", 2), ("u2", "bolero", 1)]),
+    ],
+)
+def test_options_of_the_report(spark, spelled_dir, tmp_path, options, expected):
+    (tmp_path / "names.csv").write_text("keyword,category\nBOLERO,Music of old\nlove,Nothing\n")
+    command.main(["report", spelled_dir, str(tmp_path / "out"), "--names", str(tmp_path / "names.csv"), *options])
+    first = spark.read.parquet(str(tmp_path / "out/top3_keywords")).where("rank = 1")
+    assert bag(first, "user_id", "keyword", "search_count") == expected
+    found = dict(bag(spark.read.parquet(str(tmp_path / "out/classified")), "keyword", "category"))
+    assert found["bolero"] == "Music of old"
+    assert {found[k] for k in found if k.lower() == "love"} == {"Romance"}
+
+
+def test_year_of_the_months(spark, spelled_dir, tmp_path):
+    command.main(["months", spelled_dir, str(tmp_path / "out"), "--year", "2021"])
+    assert bag(spark.read.parquet(str(tmp_path / "out/top3_keywords_by_month")), "keyword") == [("old",)]
+
+
+def test_a_missing_log(spark, tmp_path):
+    gone = str(tmp_path / "gone")
+    with pytest.raises(FileNotFoundError):
+        command.main(["report", gone, str(tmp_path / "out")])
+    command.main(["report", gone, str(tmp_path / "out"), "--allow-missing"])
+    assert spark.read.parquet(str(tmp_path / "out/top_keyword_by_month")).count() == 0
+
+
+def test_first_rows_only(spark, log_dir, tmp_path):
+    command.main(["report", log_dir, str(tmp_path / "out"), "--top", "2", "--clean"])
+    assert 1 <= spark.read.parquet(str(tmp_path / "out/classified")).count() <= 2

@@ -1,9 +1,16 @@
 """Where checkpoints go."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from searchtide.session import checkpoint_folder
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF_DIR = "/root/testdata/sf0.001"
+
 
 class Session:
     """Just enough of a session to ask for a folder."""
@@ -45,3 +52,34 @@ def test_a_cluster_without_one_is_an_error():
 def test_real_session(spark):
     wanted = spark.conf.get("spark.checkpoint.dir")
     assert wanted in checkpoint_folder(spark)
+
+
+LEAVES_NOTHING = """
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as contract
+from pyspark.sql import SparkSession
+
+builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+spark = builder.config("spark.sql.shuffle.partitions", "4"){more}.getOrCreate()
+for name in ("csv_round_trip", "json_round_trip", "rank_user_keyword"):
+    assert contract.queries()[name](spark, {sf!r}).count() > 0
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+@pytest.mark.parametrize("shared", [True, False])
+def test_nothing_is_left_after_a_run(tmp_path, shared):
+    folder, temporary = tmp_path / "shared", tmp_path / "tmp"
+    folder.mkdir()
+    temporary.mkdir()
+    more = f'.config("spark.checkpoint.dir", "file://{folder}")' if shared else ""
+    script = LEAVES_NOTHING.format(root=ROOT, more=more, sf=SF_DIR)
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env={**os.environ, "TMPDIR": str(temporary)},
+        capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    tables = [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names]
+    assert tables == []
+    assert not list(temporary.glob("searchtide*"))
