@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 SAMPLE = 4096
 #: Sampled rows from which on a group is split, and most parts that it gets.
 SPLIT_FROM, PARTS = 32, 256
+#: Most groups that are split, the heaviest; any other has less than this share of the rows.
+HEAVIEST = 1_000
 
 
 def number_rows(
@@ -28,9 +30,12 @@ def number_rows(
 
     Borders and sizes are worked out from ``df`` too. They ask for all of its
     columns, so where it ends in a shuffle, as counts do, that shuffle is read
-    again and the work before it is not repeated.
+    again and the work before it is not repeated. Both are broadcast: HEAVIEST
+    groups of PARTS parts are the most there can be.
     """
-    group = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)] or [F.lit(0).alias("_by0")]
+    # Without groups, all rows are one; a plain constant would make a join without a key.
+    everything = F.pmod(F.xxhash64(*df.columns), F.lit(1))
+    group = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)] or [everything.alias("_by0")]
     groups = [f"_by{i}" for i in range(len(group))]
     key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     rows = df.select("*", *group, key.alias("_key"))
@@ -43,6 +48,8 @@ def number_rows(
         .groupBy(*groups)
         .agg(F.array_sort(F.collect_list("_key")).alias("_some"))
         .where(some >= SPLIT_FROM)
+        .orderBy(F.desc(some))
+        .limit(HEAVIEST)
         .select(
             *[F.col(c).alias(f"_of{c}") for c in groups],
             F.transform(
@@ -52,12 +59,12 @@ def number_rows(
         )
     )
     passed = F.filter("_borders", lambda border: border <= F.col("_key"))
-    placed = rows.join(borders, _same(groups, "_of"), "left").select(
+    placed = rows.join(F.broadcast(borders), _same(groups, "_of"), "left").select(
         *df.columns, *groups, "_key", F.coalesce(F.size(passed), F.lit(-1)).alias("_part")
     )
 
     local = placed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*groups, "_part").orderBy("_key"))
+        "_local", F.row_number().over(Window.partitionBy(*groups, "_part").orderBy(*keys))
     )
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each part of a heavy group.
@@ -70,7 +77,7 @@ def number_rows(
     )
     same = _same(groups, "_in") & (F.col("_part") == F.col("_in_part"))
     number = F.col("_local") + F.coalesce("_start", F.lit(0))
-    return local.join(starts, same, "left").select(*df.columns, number.cast("long").alias(name))
+    return local.join(F.broadcast(starts), same, "left").select(*df.columns, number.cast("long").alias(name))
 
 
 def _same(groups: Sequence[str], prefix: str) -> Column:

@@ -14,7 +14,7 @@ from searchtide.sources import star_log
 from tests.helpers import bag, plan
 
 SF_DIR = "/root/testdata/sf0.001"
-USES_PYTHON = {"classify_function", "classify_top30"}
+USES_PYTHON = {"classify_function", "classify_top30", "classify_retries"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -37,6 +37,15 @@ def test_top_n_cuts_groups_before_the_shuffle(log):
     assert exchanges(T.top_n_keywords(log, 3)) == 2
 
 
+def test_ranks_take_one_shuffle_beside_the_counts(log):
+    ranked = T.rank_keywords(N.user_keyword_counts(log), ["user_id"])
+    ranked.collect()
+    final, initial = plan(ranked).split("== Initial Plan ==")
+    # No group is heavy here, so the joins with borders and sizes fall away.
+    assert final.count("Exchange hashpartitioning") == 2 and final.count("FileScan") == 1
+    assert "Join" not in final and "SortMergeJoin" not in initial and "Scan ExistingRDD" not in initial
+
+
 def test_month_columns_take_two_shuffles(log):
     wide = T.monthly_favourites(log)
     assert exchanges(wide) == 2 and "Window" not in plan(wide)
