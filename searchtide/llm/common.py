@@ -4,7 +4,6 @@ import atexit
 import os
 import shutil
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from searchtide.session import checkpoint_folder
+from searchtide.session import scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +45,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared checkpoint folder and read again.
 
     Later jobs read the files, so a lost executor costs tasks and not the work
-    before, and rows with random or positional parts stay as they were.
+    before, and rows with random or positional parts stay as they were. The files
+    are deleted when the driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -76,6 +76,25 @@ def hex_number(digest: Column, start: int = 1, digits: int = 8) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
 
 
+def text_groups(
+    batches: Iterator[pa.RecordBatch], at: int, chars: int
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of Arrow batches with their texts (null as empty), the column ``at``.
+
+    A part has about ``chars`` characters, and at least one text, so that a task
+    never holds a whole batch as Python strings.
+    """
+    for batch in batches:
+        start, size = 0, 0
+        texts: list[str] = []
+        for i, value in enumerate(batch.column(at)):
+            texts.append(value.as_py() or "")
+            size += len(texts[-1])
+            if size >= chars or i == batch.num_rows - 1:
+                yield batch.slice(start, len(texts)), texts
+                start, size, texts = i + 1, 0, []
+
+
 def with_text_columns(
     df: DataFrame,
     compute: Callable[[list[str]], list[list]],
@@ -100,18 +119,10 @@ def with_text_columns(
     kinds = to_arrow_schema(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start, size = 0, 0
-            texts: list[str] = []
-            for i, value in enumerate(batch.column(at)):
-                texts.append(value.as_py() or "")
-                size += len(texts[-1])
-                if size >= chars or i == batch.num_rows - 1:
-                    found = compute(texts)
-                    own = batch.slice(start, len(texts))
-                    values = [pa.array(v, f.type) for v, f in zip(found, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*own.columns, *values], schema.names)
-                    start, size, texts = i + 1, 0, []
+        for own, texts in text_groups(batches, at, chars):
+            found = compute(texts)
+            values = [pa.array(v, f.type) for v, f in zip(found, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*own.columns, *values], schema.names)
 
     return kept.mapInArrow(run, schema)
 
@@ -124,20 +135,27 @@ def spare_prefix(df: DataFrame) -> str:
     return prefix
 
 
+#: Most values of a column that a sample is taken by; each gets a part of a model.
+MOST_VALUES = 1_000
+
+
 def sampled(df: DataFrame, column: str, size: int, seed: int = 0) -> DataFrame:
     """About ``size`` rows of each value of a column, all of them where there are fewer.
 
     Rows are picked by a hash of their doc_id at a rate that follows from the
-    counts, so nothing is sorted or brought together. Null values are left out.
+    counts, so nothing is sorted or brought together. Null values are left out. The
+    rates, one row per value, are broadcast; more than MOST_VALUES are an error, as
+    the column is meant for labels.
     """
     known = df.where(F.col(column).isNotNull())
-    counts = known.groupBy(column).agg(F.count("*").alias("n_rows"))
-    rates = counts.select(
-        F.col(column).alias("sampled_value"),
-        (F.lit(1_000_000.0) * size / F.col("n_rows")).alias("rate"),
+    counts = known.groupBy(column).count().limit(MOST_VALUES + 1).collect()
+    if len(counts) > MOST_VALUES:
+        raise ValueError(f"{column} has more than {MOST_VALUES} values")
+    kind = df.schema[column].dataType.simpleString()
+    rates = df.sparkSession.createDataFrame(
+        [(row[0], 1e6 * size / row[1]) for row in counts], f"sampled_value {kind}, rate double"
     )
     spread = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
-    # One row per value of the column.
     return (
         known.join(F.broadcast(rates), F.col(column) == F.col("sampled_value"))
         .where(spread < F.col("rate"))

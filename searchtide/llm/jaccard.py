@@ -26,22 +26,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import ship_package, stored
+from searchtide.llm.common import ship_package, stored, text_groups
 from searchtide.llm.components import components
 
-#: Bytes of text that are hashed at once.
-PART = 2_000_000
+#: Bytes of text that are hashed at once, and characters of texts that a task holds.
+PART, CHARS = 400_000, 4_000_000
 #: Signatures of a document without common n-grams; and those by the plain order.
 LOWEST, PLAIN = 48, 40
 #: Signatures that two linked documents share at least, if they have as many.
 SHARED = 4
 #: Classes that may have an n-gram before it is common, and that are paired at once.
 COMMON = 32
-#: Bits of the filter of common n-grams.
-FILTER_BITS = 24
+#: Bits of the number of a cell in a filter, and of its place in a part of it.
+FILTER_BITS, PART_BITS = 24, 12
 TILE = 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -191,17 +192,29 @@ def signatures(grams: np.ndarray, common: np.ndarray, percent: int) -> np.ndarra
 def _filter(hashes: DataFrame) -> np.ndarray:
     """Packed bits of a filter of fixed size over the first bits of (hash).
 
-    Others may share a cell with what is in it, so it can only save work.
+    Others may share a cell with what is in it, so it can only save work. The bits
+    are set where the cells are; what comes to the driver has the filter's size.
     """
+    n_bits = 1 << PART_BITS
     cells = (
         hashes.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("cell"))
-        .groupBy(F.shiftright("cell", 12).alias("part"))
-        .agg(F.collect_set((F.col("cell") % 4096).cast("int")).alias("cells"))
+        .groupBy(F.shiftright("cell", PART_BITS).alias("part"))
+        .agg(F.collect_set((F.col("cell") % n_bits).cast("int")).alias("cells"))
     )
-    table = np.zeros(1 << FILTER_BITS, bool)
-    for row in cells.toLocalIterator():
-        table[(row["part"] << 12) + np.array(row["cells"])] = True
-    return np.packbits(table)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for own in batch.column(1):
+                table = np.zeros(n_bits, bool)
+                table[own.values.to_numpy()] = True
+                bits.append(np.packbits(table).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["part", "bits"])
+
+    table = np.zeros((1 << FILTER_BITS) // 8, np.uint8).reshape(-1, n_bits // 8)
+    for row in cells.mapInArrow(packed, "part long, bits binary").collect():
+        table[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return table.ravel()
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
@@ -215,39 +228,46 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, size, class, keys) of every document; keys of the empty set are none."""
 
-    def lowest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_groups(batches, 1, CHARS):
             seen, some = set(), []
-            for grams in gram_sets(frame["text"].tolist(), n):
+            for grams in gram_sets(texts, n):
                 own = _fingerprint(grams)
                 if own not in seen:
                     seen.add(own)
                     some.append(grams[:LOWEST])
-            if some:
-                hashes, counts = np.unique(np.concatenate(some), return_counts=True)
-                yield pd.DataFrame({"hash": hashes.view(np.int64), "n": counts})
+            hashes, counts = np.unique(np.concatenate(some), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], ["hash", "n"]
+            )
 
     # N-grams that share a cell of the filter are both common, in every document alike.
     packed = _filter(
         _texts(docs)
-        .mapInPandas(lowest, "hash long, n long")
+        .mapInArrow(lowest, "hash long, n long")
         .groupBy("hash")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > COMMON)
     )
 
-    def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.unpackbits(packed).view(bool)
-        for frame in frames:
+        for part, texts in text_groups(batches, 1, CHARS):
             sizes, classes, keys = [], [], []
-            for grams in gram_sets(frame["text"].tolist(), n):
+            for grams in gram_sets(texts, n):
                 sizes.append(len(grams))
                 classes.append(_fingerprint(grams))
                 keys.append(signatures(grams, common, percent).view(np.int64))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "size": sizes, "class": classes, "keys": keys})
+            columns = [
+                part.column(0),
+                pa.array(sizes, pa.int64()),
+                pa.array(classes, pa.int64()),
+                pa.array(keys, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "class", "keys"])
 
     kinds = "doc_id long, size long, class long, keys array<long>"
-    return stored(_texts(docs).mapInPandas(signed, kinds), "signed")
+    return stored(_texts(docs).mapInArrow(signed, kinds), "signed")
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -482,8 +502,10 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
         apart = placed.join(largest, "shard").where(F.col("known") != F.col("largest")).drop("largest")
         # Only shards that have such classes are gone through again.
         again = placed.join(apart.select("shard").distinct(), "shard", "left_semi")
-        more = _compared(again.select(*columns).unionByName(visiting(apart).select(*columns)), percent)
-        roots = components(links.unionByName(more))
+        guests = visiting(apart).select(*columns)
+        more = stored(_compared(again.select(*columns).unionByName(guests), percent), "more")
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     grouped = stored(_with_roots(classes.select("class", "first"), roots, "root"), "grouped")
     least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = grouped.join(least, "root").select("class", "component_id")
@@ -504,17 +526,18 @@ def _sets(docs: DataFrame, picked: DataFrame, n: int) -> DataFrame:
     picked = stored(picked, "picked")
     packed = _filter(picked.select(F.col("class").alias("hash")))
 
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(packed).view(bool)
-        for frame in frames:
+        for _, texts in text_groups(batches, 1, CHARS):
             found: dict[int, bytes] = {}
-            for grams in gram_sets(frame["text"].tolist(), n):
+            for grams in gram_sets(texts, n):
                 own = _fingerprint(grams)
                 if own and own not in found and wanted[_cells(np.array([own]).view(np.uint64))[0]]:
                     found[own] = grams.tobytes()
-            yield pd.DataFrame({"class": list(found), "grams": list(found.values())})
+            columns = [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["class", "grams"])
 
-    sets = _texts(docs).mapInPandas(hashed, "class long, grams binary")
+    sets = _texts(docs).mapInArrow(hashed, "class long, grams binary")
     return sets.join(picked, "class").dropDuplicates(["class"])
 
 

@@ -122,10 +122,11 @@ def word_scores(texts: list[str], model: Model) -> tuple[np.ndarray, ...]:
             scores = np.where(open_to, scores, np.float32(-50.0))
             scores[nobody] = 0.0
             place = words.start - words.first[words.doc]
-            found.append((words.doc + base, place, place + length, length, scores))
+            narrow = (words.doc + base, place, place + length, length)
+            found.append((*[column.astype(np.int32) for column in narrow], scores))
         base += len(part)
     if not found:
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)
         return none, none, none, none, np.zeros((0, len(model.langs)), np.float32)
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
@@ -135,16 +136,15 @@ def viterbi(doc: np.ndarray, scores: np.ndarray, penalty: float) -> np.ndarray:
     n_words, n_langs = scores.shape
     _, first, counts = np.unique(doc, return_index=True, return_counts=True)
     by_length = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(counts), np.int64)
+    rank = np.empty(len(counts), np.int32)
     rank[by_length] = np.arange(len(counts))
-    own = np.repeat(np.arange(len(counts)), counts)
-    step = np.arange(n_words) - first[own]
-    order = np.lexsort((rank[own], step))
+    step = np.arange(n_words, dtype=np.int32) - np.repeat(first.astype(np.int32), counts)
+    order = np.lexsort((np.repeat(rank, counts), step)).astype(np.int32)
     in_order = scores[order]
     alive = np.bincount(step)  # texts that have a word of this number
     begin = np.cumsum(alive) - alive
     stay = np.ones((n_words, n_langs), bool)
-    source = np.zeros(n_words, np.int64)
+    source = np.zeros(n_words, np.int16)
     value = in_order[: alive[0]].astype(np.float64)
     finals = np.zeros(len(counts), np.int64)
     for t in range(1, len(alive)):
@@ -158,7 +158,7 @@ def viterbi(doc: np.ndarray, scores: np.ndarray, penalty: float) -> np.ndarray:
         source[at : at + now] = best
         value = np.maximum(value, change) + in_order[at : at + now]
     finals[: len(value)] = value.argmax(axis=1)
-    label = np.empty(n_words, np.int64)
+    label = np.empty(n_words, np.int16)
     current = finals.copy()
     for t in range(len(alive) - 1, -1, -1):
         now, at = alive[t], begin[t]
@@ -166,7 +166,7 @@ def viterbi(doc: np.ndarray, scores: np.ndarray, penalty: float) -> np.ndarray:
         if t:
             kept = stay[np.arange(at, at + now), current[:now]]
             current[:now] = np.where(kept, current[:now], source[at : at + now])
-    back = np.empty(n_words, np.int64)
+    back = np.empty(n_words, np.int16)
     back[order] = label
     return back
 
@@ -178,7 +178,7 @@ def labelled(texts: list[str], model: Model, penalty: float) -> list[list]:
         doc, start, end, length, scores = word_scores(texts, model)
         if len(doc):
             label = viterbi(doc, scores, penalty)
-            mass = np.bincount(doc * n_langs + label, length, n * n_langs).reshape(n, n_langs)
+            mass = np.bincount(doc.astype(np.int64) * n_langs + label, length, n * n_langs).reshape(n, n_langs)
             total = mass.sum(axis=1)
             best = mass.argmax(axis=1)
             for i in np.flatnonzero(total).tolist():
@@ -208,7 +208,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, prefix: str =
     def compute(texts: list[str]) -> list[list]:
         return labelled(texts, model, penalty)
 
-    return with_text_columns(docs, compute, ADDED, chars=12_000_000, prefix=prefix)
+    return with_text_columns(docs, compute, ADDED, chars=6_000_000, prefix=prefix)
 
 
 def learned(docs: DataFrame) -> Model:

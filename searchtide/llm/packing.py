@@ -17,17 +17,15 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import ship_package
+from searchtide.llm.common import ship_package, text_groups
 
-PIECES = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
-    " sequence_id long, offset long"
-)
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+PIECES = ", ".join(f"{name} long" for name in NAMES)
 #: Blanks at which the tokenizer cuts in any case.
 _WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]")
@@ -38,7 +36,7 @@ _PIECES = re.compile(
     rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+"
 )
 #: Characters of text whose words are held at once, and words remembered.
-SEGMENT, REMEMBERED, LONGEST = 1_000_000, 400_000, 64
+SEGMENT, REMEMBERED, LONGEST = 1_000_000, 200_000, 64
 
 
 class WordTokenizer:
@@ -239,45 +237,35 @@ def pack(
     other than doc_id and text are not read.
     """
 
-    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         waiting = 0
 
-        def closed() -> pd.DataFrame:
+        def closed() -> pa.RecordBatch:
             nonlocal sequence, rows, waiting
-            frame = pd.DataFrame(
-                rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            ).astype({"doc_id": "Int64"})
-            lengths = frame["length"].to_numpy(np.int64)
+            columns = [list(column) for column in zip(*rows, strict=True)]
+            lengths = np.array(columns[2], np.int64)
             full = lengths == capacity
-            place, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+            place, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
             n_full = int(full.sum())
             place[full] = np.arange(n_full)
             windows, offsets, n_windows = dealt(lengths[~full], capacity)
             place[~full], offset[~full] = n_full + windows, offsets
-            frame["sequence_id"], frame["offset"] = sequence + place, offset
+            columns += [sequence + place, offset]
             sequence += n_full + n_windows
             rows, waiting = [], 0
-            return frame
-
-        def documents() -> Iterator[tuple]:
-            for frame in frames:
-                some, size = [], 0
-                for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                    some.append((doc_id, text or ""))
-                    size += len(some[-1][1])
-                    if size >= 2 * SEGMENT:
-                        yield from zip(some, tokenizer.ids([t for _, t in some]), strict=True)
-                        some, size = [], 0
-                yield from zip(some, tokenizer.ids([t for _, t in some]), strict=True)
-
-        for (doc_id, _), own in documents():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], NAMES)
+
+        def documents() -> Iterator[tuple[int | None, bytes]]:
+            for part, texts in text_groups(batches, 1, 2 * SEGMENT):
+                yield from zip(part.column(0).to_pylist(), tokenizer.ids(texts), strict=True)
+
+        for doc_id, own in documents():
             ids = own + end
             n, start = len(ids) // 4, 0
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
             while start < n:
                 left = n - start
                 size = capacity if left >= capacity else min(left, piece)
@@ -291,6 +279,6 @@ def pack(
             yield closed()
 
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         packed, PIECES
     )
