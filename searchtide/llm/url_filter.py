@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from searchtide.llm.common import hex_number, plus, whole
 
-#: Parts of a host, and of a path, that can be patterns of their own. Longer
-#: hosts and paths are matched by all their parts up to these counts.
-MAX_LABELS, MAX_SEGMENTS = 32, 32
-
 
 def intervals(entries: DataFrame) -> DataFrame:
     """Validity intervals out of entries (list, pattern, action, added, at).
@@ -56,14 +52,11 @@ def path_of(url: Column) -> Column:
 def patterns_of(url: Column) -> Column:
     """The patterns a URL falls under: host, parent domains, host with path prefixes."""
     host, labels = host_of(url), F.split(host_of(url), r"\.")
-    ends = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LABELS)))
-    domains = F.transform(
-        ends, lambda n: F.array_join(F.slice(labels, -n, n), ".")
-    )
+    ends = F.sequence(F.lit(1), F.size(labels))
+    domains = F.transform(ends, lambda n: F.array_join(F.slice(labels, -n, n), "."))
     parts = F.filter(F.split(path_of(url), "/"), lambda p: p != "")
-    n_parts = F.least(F.size(parts), F.lit(MAX_SEGMENTS))
     prefixes = F.transform(
-        F.filter(F.sequence(F.lit(0), n_parts), lambda n: n > 0),
+        F.filter(F.sequence(F.lit(0), F.size(parts)), lambda n: n > 0),
         lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, n), "/")),
     )
     found = F.array_distinct(F.concat(domains, F.array(host), prefixes))
