@@ -126,7 +126,7 @@ class Automaton:
                     found.add((child, edits))
                 elif edits + 1 <= self.budget[child]:
                     found.add((child, edits + 1))
-            if node and edits + 1 <= self.budget[node]:
+            if edits + 1 <= self.budget[node]:
                 found.add((node, edits + 1))
         return self._state(self._closed(found))
 

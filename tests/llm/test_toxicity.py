@@ -1,0 +1,85 @@
+"""Toxicity: the automaton against edit distances, context, and held-out accuracy."""
+
+import os
+import random
+
+import numpy as np
+import pytest
+
+from searchtide.llm import toxicity
+from searchtide.llm.common import read
+from searchtide.llm.letters import word_marks, words_of
+from tests.helpers import tuples
+from tests.llm.conftest import documents
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_automaton_matches_what_edit_distance_does():
+    rng = random.Random(0)
+    texts = ["idiot", "moron", "pathetic", "disgusting", "scum", "idiom", "worthless", "nastiness"]
+    terms = [toxicity.Term(t, 5.0 + i / 10, False, toxicity.edits_for(t)) for i, t in enumerate(texts)]
+    terms += [toxicity.Term("worth", 3.0, True), toxicity.Term("nasti", 3.0, True)]
+    words = []
+    for _ in range(3000):
+        word = list(rng.choice([*texts, "worthy", "other"]))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            kind = rng.random()
+            if kind < 0.4:
+                word.insert(at, rng.choice("abcdeimnorstz1é"))
+            elif word and at < len(word):
+                word[at : at + 1] = [] if kind < 0.7 else [rng.choice("abcdeimnorstz1é")]
+        words.append("".join(word) or "x")
+    found = words_of([" ".join(words)], word_marks())
+    hits, which, far = toxicity.Automaton(terms).run(found)
+    got = {int(i): (terms[t], int(d)) for i, t, d in zip(hits, which, far, strict=True)}
+    for i, word in enumerate(words):
+        whole = [(distance(word, t.text), t) for t in terms if not t.beginning]
+        near = [(d, t) for d, t in whole if d <= t.edits]
+        begun = [t for t in terms if t.beginning and word.startswith(t.text)]
+        assert (i in got) == bool(near or begun), word
+        if near:
+            term, d = got[i]
+            assert (term.beginning and term in begun) or d == min(d for d, _ in near), word
+
+
+def test_quotation_and_abuse():
+    automaton = toxicity.Automaton([toxicity.Term("idiot", 5.0, False, 1)])
+    texts = ["you are an idiot", 'she wrote "idiot" there', "someone called idiot", 'he "was" an idiot', "you idi0t"]
+    counts = toxicity.features(texts, automaton)[:, toxicity.N_FEATURES :]
+    assert counts.tolist() == [[1, 0, 0], [0, 0, 1], [0, 0, 1], [1, 0, 0], [0, 1, 0]]
+
+
+def test_fit_stays_finite_where_labels_are_separated():
+    x = np.array([[0, 0, 0, 0, 1.0]] * 50 + [[3.0, 0, 0, 1, 1]] * 50)
+    w = toxicity._fit(x, np.array([0.0] * 50 + [1.0] * 50))
+    p = 1 / (1 + np.exp(-(x @ w)))
+    assert np.isfinite(w).all() and p[0] < 0.2 and p[-1] > 0.8
+
+
+def test_odd_rows(spark, clashing_docs):
+    nothing = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(clashing_docs, nothing)
+    found = toxicity.score(clashing_docs, model)
+    assert set(clashing_docs.columns) | {"n_exact", "n_misspelled", "n_quoted"} == set(found.columns)
+    assert len(tuples(found)) == len(documents()) and {r[0] for r in tuples(found, "score")} == {1 / (1 + np.exp(20))}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = read(spark, folder, "labels")
+    found = toxicity.scored(read(spark, folder, "documents"), labels)
+    rows = tuples(found.where("held_out").join(labels, "doc_id"), "predicted", "toxic", "score")
+    right = sum(p == t == 1 for p, t, _ in rows)
+    # Labels hold some noise; the rarest language has few examples here.
+    assert right / sum(p for p, *_ in rows) > 0.97 and right / sum(t for _, t, _ in rows) > 0.75
+    assert all(0 <= s <= 1 for *_, s in rows)
