@@ -31,6 +31,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]"
 MASK = "[SECRET]"
+#: Weight of the single characters in the models, in pairs of characters.
+BACKOFF = 5.0
 ADDED = (
     "spans array<struct<kind:string,start:int,end:int,value_start:int>>, redacted string"
 )
@@ -103,8 +105,12 @@ def train(samples: DataFrame, threshold: float = 12.0, shortest: int = 16) -> Mo
         table[row["label"], row["cell"]] = row["n"]
     if not table.sum(axis=1).all():
         return Model(np.zeros((_SIZE, _SIZE)), np.inf, shortest)
-    smooth = table.reshape(2, _SIZE, _SIZE) + 0.5
-    logs = np.log(smooth / smooth.sum(axis=2, keepdims=True))
+    pairs = table.reshape(2, _SIZE, _SIZE)
+    # What follows a character is backed off to what occurs at all.
+    alone = pairs.sum(axis=1, keepdims=True) + 0.5
+    alone /= alone.sum(axis=2, keepdims=True)
+    chance = (pairs + BACKOFF * alone) / (pairs.sum(axis=2, keepdims=True) + BACKOFF)
+    logs = np.log(chance)
     return Model(logs[1] - logs[0], threshold, shortest)
 
 
