@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from searchtide.llm import mixing
-from tests.helpers import tuples
+from tests.helpers import plan, tuples
 from tests.llm.conftest import documents
 
 TOKENS = {"a": 900, "b": 90, "c": 9, "d": 1}
@@ -82,3 +82,8 @@ def test_odd_rows(clashing_docs):
     copies = Counter(repr(r) for r in tuples(found, "doc_id", "text"))
     once = Counter(repr((d, t)) for d, t, *_ in documents())
     assert all(once[k] <= n <= 2 * once[k] for k, n in copies.items()) and set(copies) == set(once)
+
+
+def test_no_python_in_the_plan(odd_docs):
+    for df in (mixing.mixed_digest(odd_docs), mixing.mixed_sources(odd_docs)):
+        assert not any(word in plan(df) for word in ("Python", "InPandas", "InArrow", "CartesianProduct"))

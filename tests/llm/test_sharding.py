@@ -4,7 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 from searchtide.llm import sharding
-from tests.helpers import bag, tuples
+from tests.helpers import bag, plan, tuples
 from tests.llm.conftest import documents
 
 
@@ -52,3 +52,8 @@ def test_clashing_names_and_files(spark, clashing_docs, tmp_path):
     assert {r[0] for r in tuples(found, "class")} == {"own class"}
     sharding.write_shards(found, f"{tmp_path}/shards")
     assert spark.read.parquet(f"{tmp_path}/shards").count() == len(documents())
+
+
+def test_no_python_in_the_plan(odd_docs):
+    text = plan(sharding.shard_digest(odd_docs))
+    assert not any(word in text for word in ("Python", "InPandas", "InArrow", "CartesianProduct"))
