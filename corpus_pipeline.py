@@ -7,7 +7,7 @@ the documents.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchtide.llm import jaccard, language, mixing, packing, queries, secrets
+from searchtide.llm import jaccard, language, mixing, packing, queries, secret_scan
 from searchtide.llm.common import read, stored
 
 
@@ -23,7 +23,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mask where a secret was; n_chars follows the text."""
-    return secrets.without_secrets(docs)
+    return secret_scan.without_secrets(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,7 +110,8 @@ class Graph:
         if not width:
             return
         added = np.full((len(targets), width), -1)
-        added[np.repeat(np.arange(len(targets)), counts), np.arange(len(tails)) - np.repeat(first, counts)] = heads
+        row = np.repeat(np.arange(len(targets)), counts)
+        added[row, np.arange(len(tails)) - np.repeat(first, counts)] = heads
         self.edges[targets] = self._pruned(targets, np.concatenate([self.edges[targets], added], axis=1))
 
 
@@ -159,7 +160,8 @@ def nearest(
             for start in range(0, len(asks), block):
                 part = targets[start : start + block]
                 near, _ = graph.beam_search(part.astype(graph.points.dtype), max(beam, k + 1))
-                for row, (query, some) in enumerate(zip(asks["vec_id"].iloc[start : start + block], near, strict=True)):
+                asking = asks["vec_id"].iloc[start : start + block]
+                for row, (query, some) in enumerate(zip(asking, near, strict=True)):
                     some = some[some >= 0]
                     away = np.sqrt(((points[some] - part[row]) ** 2).sum(axis=1))
                     few = [ids[node][: k + 1] for node in some]

@@ -222,7 +222,8 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    kinds = {"doc_id": "long", "text": "string"}
+    return docs.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:

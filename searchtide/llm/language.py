@@ -178,7 +178,8 @@ def labelled(texts: list[str], model: Model, penalty: float) -> list[list]:
         doc, start, end, length, scores = word_scores(texts, model)
         if len(doc):
             label = viterbi(doc, scores, penalty)
-            mass = np.bincount(doc.astype(np.int64) * n_langs + label, length, n * n_langs).reshape(n, n_langs)
+            cell = doc.astype(np.int64) * n_langs + label
+            mass = np.bincount(cell, length, n * n_langs).reshape(n, n_langs)
             total = mass.sum(axis=1)
             best = mass.argmax(axis=1)
             for i in np.flatnonzero(total).tolist():

@@ -113,8 +113,8 @@ def source_weights(
         def rarely(power: Column) -> Column:
             # Where the largest source is used once, only the spread of sizes counts.
             least = F.exp((1 - power) * (F.array_max(logs) - F.array_min(logs)))
-            most = F.greatest(least, _repetition(logs, power, units)) if cover else _repetition(logs, power, units)
-            return most <= max_repetition + 1e-12
+            most = _repetition(logs, power, units)
+            return (F.greatest(least, most) if cover else most) <= max_repetition + 1e-12
 
         power = _bisected(logs, rarely, False)
     else:

@@ -9,7 +9,7 @@ from searchtide.llm import (
     language,
     mixing,
     packing,
-    secrets,
+    secret_scan,
     sharding,
     toxicity,
     url_filter,
@@ -36,7 +36,7 @@ QUERIES = {
     "op5_ngram_jaccard": lambda s, d: jaccard.digest(read(s, d, "documents")),
     "op6_toxicity": lambda s, d: toxicity.scored(read(s, d, "documents"), read(s, d, "labels")),
     "op7_language_id": lambda s, d: language.predicted(read(s, d, "documents")),
-    "op8_secret_scan": lambda s, d: secrets.digest(read(s, d, "documents")),
+    "op8_secret_scan": lambda s, d: secret_scan.digest(read(s, d, "documents")),
     "op9_mixing": lambda s, d: mixing.mixed_digest(read(s, d, "documents")),
     "op10_sharding": lambda s, d: sharding.shard_digest(read(s, d, "documents")),
 }

@@ -31,8 +31,9 @@ def intervals(entries: DataFrame) -> DataFrame:
     one = F.min(F.struct("added", F.when(F.col("action") == "block", 0).otherwise(1).alias("weak"), "action"))
     per_time = keyed.groupBy("list", "pattern", "at").agg(one.alias("entry"))
     later = F.lead("at").over(Window.partitionBy("list", "pattern").orderBy("at"))
+    valid = [F.col("at").alias("valid_from"), later.alias("valid_to")]
     return (
-        per_time.select("list", "pattern", "entry.*", F.col("at").alias("valid_from"), later.alias("valid_to"))
+        per_time.select("list", "pattern", "entry.*", *valid)
         .where("added")
         .select("list", "pattern", "action", "valid_from", "valid_to")
     )
@@ -131,7 +132,8 @@ def crawl_entries(pages: DataFrame) -> DataFrame:
     host = host_of(F.col("url"))
     labels = F.split(host, r"\.")
     domain = F.array_join(F.slice(labels, -2, 2), ".")
-    first = F.concat(host, F.lit("/"), F.nullif(F.split_part(path_of(F.col("url")), F.lit("/"), F.lit(2)), F.lit("")))
+    part = F.split_part(path_of(F.col("url")), F.lit("/"), F.lit(2))
+    first = F.concat(host, F.lit("/"), F.nullif(part, F.lit("")))
     parent = F.when(F.size(labels) > 2, domain)
     patterns = pages.select(F.explode(F.array(host, parent, first)).alias("pattern")).where(
         "pattern IS NOT NULL"

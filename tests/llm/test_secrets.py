@@ -7,7 +7,7 @@ import string
 
 import pytest
 
-from searchtide.llm import secrets
+from searchtide.llm import secret_scan as secrets
 from tests.helpers import tuples
 from tests.llm.conftest import documents
 
