@@ -100,7 +100,7 @@ def with_text_columns(
     compute: Callable[[list[str]], list[list]],
     added: str,
     text: str = "text",
-    chars: int = 4_000_000,
+    chars: int = 1_500_000,
     prefix: str = "",
 ) -> DataFrame:
     """Columns worked out in Arrow batches from whole texts, the others passed through.

@@ -34,7 +34,7 @@ from searchtide.llm.common import ship_package, stored, text_groups
 from searchtide.llm.components import components
 
 #: Bytes of text that are hashed at once, and characters of texts that a task holds.
-PART, CHARS = 400_000, 4_000_000
+PART, CHARS = 400_000, 1_500_000
 #: Signatures of a document without common n-grams; and those by the plain order.
 LOWEST, PLAIN = 48, 40
 #: Signatures that two linked documents share at least, if they have as many.

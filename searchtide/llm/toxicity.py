@@ -427,7 +427,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         counts = x[:, N_FEATURES:].astype(np.int64)
         return [p.tolist(), *[counts[:, i].tolist() for i in range(3)]]
 
-    return with_text_columns(docs, compute, ADDED, chars=2_000_000)
+    return with_text_columns(docs, compute, ADDED, chars=1_500_000)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
