@@ -177,14 +177,17 @@ def signatures(grams: np.ndarray, common: np.ndarray, percent: int) -> np.ndarra
     ``common`` is True for the filter cells of common n-grams. The share of others
     bounds how many of them two linked documents may not have in common, and so
     how many are needed. No more than the exact prefix are ever taken: a set has
-    at most ``100 - percent`` percent that a partner lacks.
+    at most ``100 - percent`` percent that a partner lacks. Fewer others than that
+    may all be lacking, so the prefix of all n-grams in plain order is added. Where
+    one of two linked sets has enough others, both have the first that they share;
+    where neither has, both have the plain prefix.
     """
     exact = len(grams) * (100 - percent) // 100 + SHARED
     rare = grams[~common[_cells(grams)]]
     share = len(rare) / max(len(grams), 1)
     needed = math.ceil(37.6 / math.log(3 * max(share, 0.5)))
     chosen = rare[: min(exact, max(LOWEST, needed))]
-    if share < 0.5:
+    if share < 0.5 or len(rare) < exact:
         chosen = np.union1d(chosen, grams[: min(exact, PLAIN)])
     return chosen
 

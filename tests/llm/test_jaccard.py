@@ -82,6 +82,36 @@ def test_against_brute_force(spark, monkeypatch, seed):
     assert bag(jaccard.digest(docs), "doc_id", "n_shingles", "component_id") == brute_force(rows)
 
 
+def test_short_texts_around_a_common_passage(spark):
+    passage = [f"p{i}" for i in range(14)]
+    texts = [[*passage, *[f"t{i}x{j}" for j in range(20)]] for i in range(jaccard.COMMON + 8)]
+    for common in range(5, 15):
+        for tail in range(6):
+            own = passage[:common] + [f"c{common}x{tail}x{j}" for j in range(tail)]
+            texts += [own, [*own, "x"], [*own, "y"], [*own[:-1], "z"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = bag(jaccard.digest(docs), "doc_id", "n_shingles", "component_id")
+    assert found == brute_force(rows)
+
+
+@pytest.mark.parametrize("size", range(3, 13))
+def test_linked_sets_share_enough_signatures(size):
+    rng = random.Random(size)
+    common = np.zeros(1 << jaccard.FILTER_BITS, bool)
+    for _ in range(300):
+        both = [rng.getrandbits(64) for _ in range(rng.randint(-(-3 * size // 4), size))]
+        sets = [np.unique(np.array(both + [rng.getrandbits(64) for _ in range(n - len(both))], np.uint64))
+                for n in (size, rng.randint(len(both), size))]
+        if not jaccard.linked(*sets, 75):
+            continue
+        cells = jaccard._cells(np.array(rng.sample(both, rng.randint(0, len(both))), np.uint64))
+        common[cells] = True
+        a, b = (jaccard.signatures(s, common, 75) for s in sets)
+        common[cells] = False
+        assert len(np.intersect1d(a, b)) >= min(jaccard.SHARED, -(-3 * size // 4))
+
+
 def test_odd_rows(odd_docs):
     rows = [(r[0], r[1]) for r in documents()]
     found = bag(jaccard.digest(odd_docs), "doc_id", "n_shingles", "component_id")
