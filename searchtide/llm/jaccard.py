@@ -84,8 +84,8 @@ def _lower() -> np.ndarray:
 _BLANK, _LOWER = _blanks(), _lower()
 
 
-def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word in a stretch of at most PART bytes."""
+def _word_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Polynomial sum, start and length of every word in a stretch of at most PART bytes."""
     if not _POWERS:
         _POWERS.append(_powers())
     power, inverse = _POWERS[0]
@@ -94,8 +94,11 @@ def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     terms = (_LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[: len(raw)]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
-    own = (sums[end] - sums[start]) * inverse[start]
-    return _mixed(own + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), start
+    return (sums[end] - sums[start]) * inverse[start], start, (end - start).astype(np.uint64)
+
+
+def _word_hashes(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return _mixed(sums + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -115,7 +118,8 @@ def gram_sets(texts: list[str | None], n: int = 5) -> Iterator[np.ndarray]:
 
     def hashed() -> Iterator[np.ndarray]:
         raw = np.frombuffer(b"\n".join(waiting), np.uint8)
-        words, start = _word_hashes(raw)
+        sums, start, sizes = _word_sums(raw)
+        words = _word_hashes(sums, sizes)
         lengths = np.fromiter(map(len, waiting), np.int64, len(waiting)) + 1
         cuts = np.searchsorted(start, np.cumsum(lengths)).tolist()
         first = 0
@@ -138,19 +142,27 @@ def gram_sets(texts: list[str | None], n: int = 5) -> Iterator[np.ndarray]:
 
 
 def _long(data: bytes) -> np.ndarray:
-    """Word hashes of a text that is hashed in several stretches, cut at blanks.
+    """Word hashes of a text that is hashed in several stretches.
 
-    A single word of more than PART bytes is cut as well, the same in every text.
+    A word that a stretch ends in is carried on, so it has one hash at any length.
     """
     raw = np.frombuffer(data, np.uint8)
-    found, at = [], 0
-    while at < len(raw):
-        end = min(at + PART, len(raw))
-        if end < len(raw):
-            gaps = np.flatnonzero(_BLANK[raw[at:end]])
-            end = at + int(gaps[-1]) + 1 if len(gaps) else end
-        found.append(_word_hashes(raw[at:end])[0])
-        at = end
+    found = []
+    carried, size = 0, 0
+    for at in range(0, len(raw), PART):
+        stretch = raw[at : at + PART]
+        sums, start, sizes = _word_sums(stretch)
+        if size and _BLANK[stretch[0]]:
+            sums = np.append(np.array([carried], np.uint64), sums)
+            sizes = np.append(np.array([size], np.uint64), sizes)
+        elif size:
+            joined = (carried + pow(_BASE, size, 1 << 64) * int(sums[0])) % (1 << 64)
+            sums[0], sizes[0] = joined, size + int(sizes[0])
+        carried, size = 0, 0
+        if at + PART < len(raw) and not _BLANK[stretch[-1]]:
+            carried, size = int(sums[-1]), int(sizes[-1])
+            sums, sizes = sums[:-1], sizes[:-1]
+        found.append(_word_hashes(sums, sizes))
     return np.concatenate(found)
 
 

@@ -134,6 +134,18 @@ def test_sets_do_not_depend_on_parts(monkeypatch):
     assert [len(s) for s in whole] == [len(gram_set(t)) for t in texts]
 
 
+def test_words_longer_than_a_part(monkeypatch):
+    prose = " ".join(f"w{i}" for i in range(150))
+    texts = [f"{prose} {'Ab+/' * n} {prose}" for n in (74, 75, 150, 500)] + ["x" * 2000, "x" * 1999 + "y", "y " + "x" * 2000]
+    texts += [prose[:n] + " " + prose for n in range(290, 310)]
+    whole = [s.tolist() for s in jaccard.gram_sets(texts)]
+    monkeypatch.setattr(jaccard, "PART", 300)
+    monkeypatch.setattr(jaccard, "_POWERS", [])
+    cut = [s.tolist() for s in jaccard.gram_sets(texts)]
+    assert cut == whole and [len(s) for s in cut] == [len(gram_set(t)) for t in texts]
+    assert not set(cut[4]) & set(cut[5])
+
+
 def test_tree_loses_no_partner():
     rng = np.random.default_rng(0)
     sets = []
