@@ -9,15 +9,17 @@ word of reporting just before. A logistic model weighs exact, misspelled and
 quoted matches.
 """
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchtide.llm.common import held_out, sampled, ship_package, stored, with_text_columns
+from searchtide.llm.jaccard import FILTER_BITS, _filter
 from searchtide.llm.letters import Words, word_marks, words_of
 
 THRESHOLD = 0.7
@@ -267,19 +269,32 @@ STRONG = 3.0
 EVIDENCE = 16.0
 
 
-def _lexicon(counts: pd.DataFrame, totals: np.ndarray, max_terms: int) -> list[Term]:
-    """The words and beginnings that tell toxic documents best, strongest first."""
-    weight = _log_ratio(counts["toxic"], counts["clean"], totals)
-    toxic, n = counts["toxic"], counts["toxic"] + counts["clean"]
-    share, usual = toxic / n, totals[1] / totals.sum()
+def _telling(counts: DataFrame, totals: np.ndarray) -> DataFrame:
+    """The terms of (term, clean, toxic) that are strong and have the evidence, with both."""
+    toxic, n = F.col("toxic"), F.col("toxic") + F.col("clean")
+    share, usual = toxic / n, float(totals[1] / totals.sum())
     # Chernoff's bound.
-    rest = (1 - share).clip(lower=1e-12)
-    evidence = n * (share * np.log(share / usual) + rest * np.log(rest / (1 - usual)))
-    some = counts.assign(weight=weight, evidence=evidence)
-    some = some[(weight >= STRONG) & (evidence >= EVIDENCE)]
-    some = some.sort_values(["evidence", "term"], ascending=[False, True])
+    rest = F.greatest(1 - share, F.lit(1e-12))
+    evidence = n * (share * F.log(share / usual) + rest * F.log(rest / (1 - usual)))
+    return (
+        counts.where("toxic > 0")
+        .withColumn("weight", _likelier(totals))
+        .withColumn("evidence", evidence)
+        .where((F.col("weight") >= STRONG) & (F.col("evidence") >= EVIDENCE))
+    )
+
+
+def _likelier(totals: np.ndarray) -> Column:
+    """The log ratio of columns ``toxic`` and ``clean``."""
+    toxic = (F.col("toxic") + 0.5) / float(totals[1] + 1)
+    return F.log(toxic) - F.log((F.col("clean") + 0.5) / float(totals[0] + 1))
+
+
+def _lexicon(found: pd.DataFrame) -> list[Term]:
+    """The words and beginnings that tell toxic documents, strongest first."""
     terms = []
-    for term, own in some.head(max_terms)[["term", "weight"]].itertuples(index=False):
+    some = found.sort_values(["evidence", "term"], ascending=[False, True])
+    for term, own in some[["term", "weight"]].itertuples(index=False):
         text = term.removesuffix("*")
         terms.append(Term(text, float(own), text != term, 0 if text != term else edits_for(term)))
     return terms
@@ -301,16 +316,15 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     sample_per_label: int = 8_000,
-    max_terms: int = 300,
     shortest: int = 4,
     beginnings: tuple[int, ...] = (5, 6, 7),
 ) -> Model:
     """Lexicon and weights from documents (doc_id, text) and labels (doc_id, toxic).
 
     Fitted on about ``sample_per_label`` documents of each label, picked by a hash;
-    only their ids are broadcast, and only their texts are stored. To the driver
-    come the strongest terms, ten times ``max_terms`` at most, and one row of
-    features for each document of the sample. A doc_id that is labelled repeatedly
+    only their ids are broadcast, and only their texts and terms are stored. To the
+    driver come all terms with the evidence, whose number the sample bounds, and one
+    row of features for each document of the sample. A doc_id that is labelled repeatedly
     is toxic if any label says so. Rows without id, text or label are skipped;
     without rows of both labels every text gets the share of toxic rows, or 0.
     """
@@ -344,42 +358,46 @@ def train(
         share = totals[1] / totals.sum() if totals.sum() else 0.0
         constant = np.clip(np.log(max(share, 1e-9) / max(1 - share, 1e-9)), -20, 20)
         return Model([], np.array([0.0] * (N_FEATURES - 1) + [constant]))
-    likelier = F.log(
-        (F.col("toxic") + 0.5) * (totals[0] + 1) / ((F.col("clean") + 0.5) * (totals[1] + 1))
-    )
-    strong = (
+    strong = stored(
         known.mapInPandas(counted, "term string, clean long, toxic long")
         .groupBy("term")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where((F.col("toxic") > 1) & (likelier >= STRONG))
-        .orderBy(F.desc("toxic"), "term")
-        .limit(10 * max_terms)
+        .where((F.col("toxic") > 1) & (_likelier(totals) >= STRONG)),
+        "strong",
     )
-    counts = strong.toPandas().set_index("term")
-    candidates = frozenset(counts.index)
+    packed = _filter(strong.select(F.shiftleft(F.crc32(F.col("term").cast("binary")), 32).alias("hash")))
 
     def in_context(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = np.unpackbits(packed).view(bool)
         for frame in frames:
             found = set()
             for toxic, text in zip(frame["toxic"], frame["text"], strict=True):
                 words = ["", *words_in(text), ""]
+                terms = {
+                    word: [
+                        term
+                        for term in {word, *[word[:n] + "*" for n in beginnings]}
+                        if wanted[zlib.crc32(term.encode()) >> (32 - FILTER_BITS)]
+                    ]
+                    for word in set(words)
+                }
                 for i in range(1, len(words) - 1):
-                    for term in (words[i], *[words[i][:n] + "*" for n in beginnings]):
-                        if term in candidates:
-                            found.add((term, toxic, f"{words[i - 1]} {words[i + 1]}"))
+                    for term in terms[words[i]]:
+                        found.add((term, toxic, f"{words[i - 1]} {words[i + 1]}"))
             yield pd.DataFrame(sorted(found), columns=["term", "toxic", "context"])
 
     # Copies of a toxic document say the same thing once, so contexts are counted;
     # a passage in many clean documents clears its words as often as it occurs.
+    # The filter lets some terms by that are not strong; the join does not.
     contexts = (
         known.mapInPandas(in_context, "term string, toxic int, context string")
         .distinct()
         .groupBy("term")
         .agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
-        .toPandas()
+        .join(strong.select("term", F.col("clean").alias("documents")), "term")
+        .withColumn("clean", F.greatest("clean", "documents"))
     )
-    contexts["clean"] = np.maximum(contexts["clean"], counts["clean"].reindex(contexts["term"]).to_numpy())
-    terms = _lexicon(contexts, totals, max_terms)
+    terms = _lexicon(_telling(contexts, totals).select("term", "weight", "evidence").toPandas())
 
     def misspelled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = Automaton(terms)

@@ -65,6 +65,28 @@ def test_fit_stays_finite_where_labels_are_separated():
     assert np.isfinite(w).all() and p[0] < 0.2 and p[-1] > 0.8
 
 
+def test_every_term_with_evidence_is_kept(spark):
+    rng = random.Random(3)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(4))
+
+    plain = [word() for _ in range(400)]
+    slurs = sorted({"z" + word() for _ in range(700)})
+    texts = []
+    for _ in range(40):
+        for at in range(0, len(slurs), 10):
+            texts.append((1, " ".join(w for slur in slurs[at : at + 10] for w in (slur, rng.choice(plain), rng.choice(plain)))))
+            texts.append((0, " ".join(rng.choice(plain) for _ in range(30))))
+    # Copies of one toxic document, whose words are in more documents than any slur.
+    copied = " ".join("y" + word() for _ in range(1500))
+    texts += [(1, copied)] * 100
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, toxic) for i, (toxic, _) in enumerate(texts)], "doc_id long, toxic int")
+    found = {t.text for t in toxicity.train(docs, labels).terms if not t.beginning}
+    assert found == set(slurs)
+
+
 def test_odd_rows(spark, clashing_docs):
     nothing = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(clashing_docs, nothing)
