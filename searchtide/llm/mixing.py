@@ -271,15 +271,24 @@ def apply_mix(docs: DataFrame, mix: Mix) -> DataFrame:
 
 
 def mixed_digest(docs: DataFrame, target_entropy: float = 0.999) -> DataFrame:
-    """Every use of every document in a mix of as many tokens as there are."""
-    slim = stored(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens")), "counted"
-    )
-    mix = plan_mix(slim, F.col("n_tokens"), target_entropy=target_entropy)
+    """Every use of every document in a mix of as many tokens as there are.
+
+    The mix of whole documents is written, and the digest taken from its rows.
+    """
+    tokens = word_count(F.col("text"))
+    mix = plan_mix(docs, tokens, target_entropy=target_entropy)
     weights = mix.weights.select("key", "weight")
+    mixed = stored(apply_mix(docs, mix), "mixed")
     return (
-        apply_mix(slim, mix)
-        .withColumn("key", source_key(F.col("source")))
+        mixed.select(
+            "doc_id",
+            "source",
+            tokens.alias("n_tokens"),
+            "epoch",
+            "block",
+            "block_rank",
+            source_key(F.col("source")).alias("key"),
+        )
         .join(weights, "key")
         .select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "block_rank")
     )

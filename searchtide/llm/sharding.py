@@ -96,16 +96,19 @@ def write_shards(shards: DataFrame, path: str) -> None:
 
 
 def shard_digest(docs: DataFrame, n_shards: int = 16) -> DataFrame:
-    """Where every document goes, by size and checksum instead of its text.
+    """Where every document goes; its size and checksum are those of the sharded text.
 
-    A null text has size 1 and the checksum of nothing, as the empty text.
+    A null text has size 1 and the checksum of nothing, as the empty text. The whole
+    rows are sharded, the text among them.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    digests = docs.select(
+    sized = docs.withColumn("size", (F.octet_length(text) + 1).cast("long"))
+    return shuffled_shards(sized, "doc_id", n_shards, weight="size").select(
         "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
+        "size",
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    return shuffled_shards(digests, "doc_id", n_shards, weight="size").select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
     )

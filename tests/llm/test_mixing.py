@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from searchtide.llm import mixing
-from tests.helpers import plan, tuples
+from tests.helpers import bag, plan, tuples
 from tests.llm.conftest import documents
 
 TOKENS = {"a": 900, "b": 90, "c": 9, "d": 1}
@@ -84,6 +84,18 @@ def test_odd_rows(clashing_docs):
     assert all(once[k] <= n <= 2 * once[k] for k, n in copies.items()) and set(copies) == set(once)
 
 
+def test_digest_is_of_whole_mixed_documents(odd_docs, monkeypatch):
+    written, real = {}, mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: written.setdefault(name, real(df, name)))
+    found = mixing.mixed_digest(odd_docs)
+    mixed = written["mixed"]
+    assert set(odd_docs.columns) < set(mixed.columns)
+    assert set(tuples(mixed, *odd_docs.columns)) <= set(tuples(odd_docs))
+    digest = mixed.withColumn("n_tokens", mixing.word_count(F.col("text")))
+    columns = ("doc_id", "source", "n_tokens", "epoch", "block", "block_rank")
+    assert bag(found, *columns) == bag(digest, *columns)
+
+
 def test_no_python_in_the_plan(odd_docs):
     for df in (mixing.mixed_digest(odd_docs), mixing.mixed_sources(odd_docs)):
         assert not any(word in plan(df) for word in ("Python", "InPandas", "InArrow", "CartesianProduct"))

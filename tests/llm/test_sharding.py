@@ -21,6 +21,14 @@ def test_digest(odd_docs):
     assert all(len(s) == 1 for s in shards.values())
 
 
+def test_digest_is_of_whole_sharded_documents(odd_docs, monkeypatch):
+    written, real = [], sharding.stored
+    monkeypatch.setattr(sharding, "stored", lambda df, name: written.append(real(df, name)) or written[-1])
+    found = sharding.shard_digest(odd_docs)
+    assert bag(written[0].select(*[f"row.{c}" for c in odd_docs.columns])) == bag(odd_docs)
+    assert any("row:struct<" in line and "text:string" in line for line in plan(found).splitlines())
+
+
 def test_many_buckets_and_a_heavy_key(spark):
     rows = [(i if i % 3 else 7, i) for i in range(3000)]
     table = spark.createDataFrame(rows, "id long, number long").repartition(4)
