@@ -7,12 +7,15 @@ from searchtide.llm import (
     jaccard,
     kdtree,
     language,
+    lexical,
     mixing,
     packing,
     secret_scan,
     sharding,
+    templates,
     toxicity,
     url_filter,
+    whitening,
 )
 from searchtide.llm.common import read
 
@@ -39,6 +42,9 @@ QUERIES = {
     "op8_secret_scan": lambda s, d: secret_scan.digest(read(s, d, "documents")),
     "op9_mixing": lambda s, d: mixing.mixed_digest(read(s, d, "documents")),
     "op10_sharding": lambda s, d: sharding.shard_digest(read(s, d, "documents")),
+    "op11_templates": lambda s, d: templates.digest(read(s, d, "pages")),
+    "op12_lexical": lambda s, d: lexical.ranked(read(s, d, "documents"), read(s, d, "benchmark")),
+    "op13_whitening": lambda s, d: whitening.whiten(read(s, d, "embeddings")),
 }
 
 _HEX = "CAST('0x' || substr({0}, {1}, {2}) AS BIGINT)".format
@@ -181,8 +187,46 @@ WITH whole AS (
 SELECT * FROM ranked WHERE rank <= 10
 """
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+_LEXICAL_SQL = f"""
+WITH words AS (
+    SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms
+    FROM documents WHERE text IS NOT NULL
+), docs AS (
+    SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM words WHERE len(terms) > 0
+), total AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM docs
+), asked AS (
+    SELECT row_number() OVER () AS item, item_id, unnest(list_distinct({_TERMS})) AS term
+    FROM benchmark WHERE text IS NOT NULL
+), counted AS (
+    SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), total
+), impacts AS (
+    SELECT row, doc_id, term,
+      w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all))) AS impact
+    FROM counted JOIN weighed USING (term) JOIN docs USING (row), total
+), scored AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(impact) AS BIGINT) AS score
+    FROM asked JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (
+      PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_url_filter": _URL_SQL,
     "op2_kd_tree": _TOP_SQL,
     "op9_mixing": _MIX_SQL,
+    "op12_lexical": _LEXICAL_SQL,
 }
