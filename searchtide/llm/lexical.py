@@ -5,8 +5,9 @@ a vector of ones, so a score is an inner product. Documents are dealt into range
 falling length, and a range is searched in buckets. With the k-th score so far, a
 bucket is left out where length times the query's length cannot reach it
 (Cauchy-Schwarz). Inside a bucket the impacts of the query's heaviest terms are added
-up, and what the other terms could add is bounded by the rest of the length; only
-documents that may still reach the k-th score are scored, in whole numbers.
+up, and what the other terms could add is bounded by the rest of the length and by
+their largest impacts in the bucket; only documents that may still reach the k-th score
+are scored, in whole numbers.
 """
 
 import hashlib
@@ -122,11 +123,10 @@ class Queries:
 
     items: list[int]
     terms: list[np.ndarray]
-    focus: list[int]  # how many of the heaviest terms are added up first
 
 
 def _queries(listed: dict[int, list[int]], weight: np.ndarray) -> Queries:
-    items, terms, focus = [], [], []
+    items, terms = [], []
     for item, found in sorted(listed.items()):
         own = np.array(found, np.int64)
         own = own[weight[own] > 0]
@@ -134,10 +134,7 @@ def _queries(listed: dict[int, list[int]], weight: np.ndarray) -> Queries:
             own = own[np.lexsort((own, -weight[own]))]
             items.append(item)
             terms.append(own)
-            # The terms that hold half of the query's weight.
-            share = np.cumsum(weight[own]) / weight[own].sum()
-            focus.append(int(np.searchsorted(share, 0.5)) + 1)
-    return Queries(items, terms, focus)
+    return Queries(items, terms)
 
 
 @dataclass
@@ -149,6 +146,7 @@ class Bucket:
     docs: np.ndarray  # by term
     impacts: np.ndarray
     first: np.ndarray  # of each term's documents, one more at the end
+    most: np.ndarray  # the largest impact of each term
 
     def postings(self, terms: np.ndarray) -> np.ndarray:
         """Places of all documents that have one of the terms."""
@@ -163,7 +161,9 @@ def _bucket(doc_ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, impacts:
     squares = np.bincount(docs, impacts.astype(float) ** 2, len(doc_ids))
     order = np.argsort(terms, kind="stable")
     first = np.searchsorted(terms[order], np.arange(n_terms + 1))
-    return Bucket(doc_ids, np.sqrt(squares), docs[order], impacts[order], first)
+    most = np.zeros(n_terms)
+    np.maximum.at(most, terms, impacts.astype(float))
+    return Bucket(doc_ids, np.sqrt(squares), docs[order], impacts[order], first, most)
 
 
 #: Bounds in floating point are raised by this share, and what is left of a squared
@@ -179,15 +179,20 @@ def search_bucket(
     longest = float(bucket.length.max(initial=0.0))
     for q, terms in enumerate(queries.terms):
         least = max(int(kth[q]), 1)
-        if np.sqrt(len(terms)) * longest * SLACK < least:
+        if min(np.sqrt(len(terms)) * longest, bucket.most[terms].sum()) * SLACK < least:
             continue
-        heavy, light = terms[: queries.focus[q]], terms[queries.focus[q] :]
+        # What the lighter terms can add at most, from each term on; those that cannot
+        # bring half of the k-th score together are left for later.
+        tail = np.cumsum(bucket.most[terms][::-1])[::-1]
+        focus = max(int(np.searchsorted(-tail, -least / 2)), 1)
+        heavy, light = terms[:focus], terms[focus:]
         at = bucket.postings(heavy)
         docs, impacts = bucket.docs[at], bucket.impacts[at].astype(float)
         summed = np.bincount(docs, impacts, n)
         left = np.maximum(bucket.length**2 - np.bincount(docs, impacts**2, n), 0.0)
         rest = np.sqrt(left + 1e-12 * bucket.length**2)
-        near = np.flatnonzero((summed + np.sqrt(len(light)) * rest) * SLACK >= least)
+        more = np.minimum(np.sqrt(len(light)) * rest, bucket.most[light].sum())
+        near = np.flatnonzero((summed + more) * SLACK >= least)
         if visited is not None:
             visited["buckets"] += 1
             visited["scored"] += len(near)

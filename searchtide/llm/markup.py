@@ -44,6 +44,8 @@ BESIDE_OUTSIDE = {"header", "masthead", "topbar", "hero"}
 COMMENT = {"comment", "comments", "reply"}
 # Names of classes that begin so say what a page has, not what an element is.
 SAYS_ONLY = set("with has have no not without is js page body layout".split())
+# Elements that do not end the line that they stand in.
+UNSEEN = INLINE | set("script style noscript template link meta".split())
 # Elements that are lines of a text rather than what holds it.
 LINES = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figcaption".split())
 # Elements that have no text of a page, whatever is around them.
@@ -170,7 +172,7 @@ class _Reader:
             self.names[gone.name] -= 1
 
     def start(self, name: str, attributes: str) -> None:
-        if name not in INLINE:
+        if name not in UNSEEN:
             self.flush()
         if name in CLOSES_PARAGRAPH and self.names.get("p"):
             self.end_open({"p"}, lambda n: n not in INLINE and n != "p")
@@ -218,7 +220,7 @@ class _Reader:
             self.pop(found)
 
     def end(self, name: str) -> None:
-        if name not in INLINE:
+        if name not in UNSEEN:
             self.flush()
         if self.names.get(name):
             at = len(self.stack) - 1

@@ -357,4 +357,4 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 def digest(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    return extracted(pages.select("page_id", "url", "html"))
+    return extracted(pages.select("page_id", "url", "html")).drop("html")

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 CLASHING = [
     "score", "spans", "lang_pred", "redacted", "epoch", "block", "block_rank", "shard", "slot",
-    "grown_shard", "class", "row", "key", "tile", "guest", "digest", "found_score", "rank", "blocked",
+    "grown_shard", "item", "n", "html", "host", "fixed", "main", "part", "x", "a", "b", "class", "row", "key", "tile", "guest", "digest", "found_score", "rank", "blocked",
 ]
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -85,7 +85,7 @@ def odd_tables(spark, tmp_path_factory):
             (None, "https://u@A.Example.org.:80", ""), (3, "no url", ""), (4, "http:///x", ""), (5, "", None),
         ],
         "labels": [(1, 1, 0), (2, 1, 1), (2, 0, 0), (None, 1, 1), (3, None, None), (99, 1, 1)],
-        "benchmark": [(1, "x")],
+        "benchmark": [(1, "x"), (2, None), (2, ""), (3, "He went, x!"), (3, "he WENT"), (None, "привет one")],
         "conversations": [(1, 1, "user", "x")],
     }
     for name, schema in SCHEMAS.items():

@@ -17,7 +17,9 @@ def test_empty_tables(spark, empty_tables, name):
 @pytest.mark.parametrize("name", NAMES)
 def test_odd_tables(spark, odd_tables, name):
     found = contract.queries()[name](spark, odd_tables)
-    ids = {"op1": "page_id", "op2": None, "op3": None, "op4": None, "op9": None, "pipeline": None}
+    ids = {"op1": "page_id", "op11": "page_id"} | dict.fromkeys(
+        ("op2", "op3", "op4", "op9", "op12", "op13", "pipeline")
+    )
     per_row = ids.get(name.split("_")[0], "doc_id")
     rows = found.collect()
     assert rows
