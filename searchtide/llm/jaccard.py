@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import ship_package, stored, text_groups
+from searchtide.llm.common import ship_package, spare_prefix, stored, text_groups, whole
 from searchtide.llm.components import components
 
 #: Bytes of text that are hashed at once, and characters of texts that a task holds.
@@ -241,8 +241,17 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
+def _digests(text: str) -> list[Column]:
+    """Two numbers that stand for a whole text; a null text counts as empty."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return [F.xxhash64(F.lit(seed), whole) for seed in (1, 2)]
+
+
 def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, class, keys) of every document; keys of the empty set are none."""
+    """(doc_id, a, b, size, class, keys) of every document; keys of the empty set are none.
+
+    ``a`` and ``b`` stand for the text itself, ``class`` for its set.
+    """
 
     def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_groups(batches, 1, CHARS):
@@ -276,14 +285,17 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 keys.append(signatures(grams, common, percent).view(np.int64))
             columns = [
                 part.column(0),
+                part.column(2),
+                part.column(3),
                 pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "class", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "size", "class", "keys"])
 
-    kinds = "doc_id long, size long, class long, keys array<long>"
-    return stored(_texts(docs).mapInArrow(signed, kinds), "signed")
+    kinds = "doc_id long, a long, b long, size long, class long, keys array<long>"
+    a, b = _digests("text")
+    return stored(_texts(docs).withColumn("a", a).withColumn("b", b).mapInArrow(signed, kinds), "signed")
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -473,6 +485,19 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
     no component. Repeated rows stay. Columns other than doc_id and text are not
     read.
     """
+    signed, grouped = _grouped(docs, n, percent)
+    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = grouped.join(least, "root").select("class", "component_id")
+    return signed.join(named, "class", "left").select(
+        "doc_id",
+        F.col("size").alias("n_shingles"),
+        "class",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
+def _grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What ``_signed`` gives, and (class, first, root): the component of every class."""
     if not 75 <= percent <= 100:
         raise ValueError("percent must be from 75 to 100")
     ship_package(docs.sparkSession)
@@ -522,15 +547,7 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
         more = stored(_compared(again.select(*columns).unionByName(guests), percent), "more")
         if not more.isEmpty():
             roots = components(links.unionByName(more))
-    grouped = stored(_with_roots(classes.select("class", "first"), roots, "root"), "grouped")
-    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = grouped.join(least, "root").select("class", "component_id")
-    return signed.join(named, "class", "left").select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        "class",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
+    return signed, stored(_with_roots(classes.select("class", "first"), roots, "root"), "grouped")
 
 
 def _sets(docs: DataFrame, picked: DataFrame, n: int) -> DataFrame:
@@ -561,11 +578,45 @@ def digest(docs: DataFrame) -> DataFrame:
     return similar(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def first_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that are similar to one with a smaller doc_id.
+def first_of_each(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
+    """One row of each group of similar documents: the one of the least doc_id.
 
-    Documents without words, and without doc_id, all stay.
+    A group is decided by row: of rows that share the least doc_id one with the least
+    digest of its text stays, of repeated rows any one, and a row without doc_id only
+    if the whole group has none. Rows that share a doc_id but not their words are in
+    groups of their own. Documents without words are in no group and all stay.
     """
-    found = similar(docs.select("doc_id", "text"))
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    signed, grouped = _grouped(docs.select("doc_id", "text"), n, percent)
+    own = [F.col(c) for c in ("doc_id", "a", "b")]
+    rows = signed.where("class <> 0").join(grouped.select("class", "root"), "class")
+    per_row = rows.groupBy("root", *own).agg(F.count("*").alias("n"))
+    # Null ids come last.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), *own)
+    least = per_row.groupBy("root").agg(F.min(order).alias("least"))
+    marked = stored(
+        per_row.join(least, "root").select(
+            F.col("doc_id").alias("its_id"),
+            F.col("a").alias("its_a"),
+            F.col("b").alias("its_b"),
+            "n",
+            (order == F.col("least")).alias("stays"),
+        ),
+        "marked",
+    )
+    prefix = spare_prefix(docs)
+    a, b = _digests(f"{prefix}row.text")
+    every = whole(docs, f"{prefix}row").select(
+        f"{prefix}row", F.col(f"{prefix}row.doc_id").cast("long").alias("its_id"), a.alias("its_a"), b.alias("its_b")
+    )
+
+    def picked(some: DataFrame, how: str) -> DataFrame:
+        keys = some.toDF("id_", "a_", "b_")
+        same = F.col("its_id").eqNullSafe(F.col("id_")) & (F.col("its_a") == F.col("a_")) & (F.col("its_b") == F.col("b_"))
+        return every.join(keys, same, how)
+
+    keys = ["its_id", "its_a", "its_b"]
+    kept = picked(marked.where("NOT stays OR n > 1").select(*keys), "left_anti")
+    repeated = marked.where("stays AND n > 1").select(*keys)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(picked(repeated, "left_semi").dropDuplicates(keys))
+    return kept.select(*[F.col(f"{prefix}row")[c].alias(c) for c in docs.columns])

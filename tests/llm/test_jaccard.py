@@ -125,6 +125,25 @@ def test_first_of_each(spark, clashing_docs):
     assert sorted(ids, key=repr) == sorted([1, 4, 5, 6, 7, 8, 9, None, None, 10, 11, 13, -14], key=repr)
 
 
+def test_first_of_each_goes_by_row(spark):
+    """Shared ids, rows without ids and repeated rows: one row of each group, no other is lost."""
+    prose = [" ".join(f"t{j}w{i}" for i in range(60)) for j in range(6)]
+    near = prose[0] + " one more"
+    rows = [
+        (1, prose[0], "a"), (3, near, "b"), (3, prose[1], "c"),  # one id, a copy and a text of its own
+        (None, prose[2], "d"), (None, prose[2], "e"), (None, prose[3], "f"), (9, prose[3], "g"),
+        (4, prose[4], "h"), (4, prose[4], "i"), (4, prose[4], "j"), (5, prose[4] + " x", "k"),
+        (6, prose[5], "l"), (6, prose[5] + " y", "m"),
+        (None, None, "n"), (None, None, "o"), (7, "", "p"), (7, "", "q"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = {r["mark"] for r in jaccard.first_of_each(docs.repartition(5)).collect()}
+    assert {"a", "c", "g", "n", "o", "p", "q"} <= kept and not kept & {"b", "f", "k"}
+    for group in ("de", "hij", "lm"):
+        assert len(kept & set(group)) == 1
+    assert len(kept) == 10
+
+
 def test_sets_do_not_depend_on_parts(monkeypatch):
     texts = [" ".join(f"word{i * j % 97}" for i in range(200)) for j in range(1, 5)] + ["", None, "a b"]
     whole = [s.tolist() for s in jaccard.gram_sets(texts)]
