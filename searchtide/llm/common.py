@@ -22,13 +22,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 
+#: Bytes of rows that a Python worker is handed at a time, unless the session says so.
+BATCH_BYTES = 8 << 20
+_BATCH_BYTES, _DEFAULT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, once per application.
+    """Let Python workers import this package, once per application, in small batches.
+
+    Batches are bounded by bytes, as ten thousand long texts are too many at once; a
+    setting of the session's own stays.
 
     Nothing is done where ``PYTHONPATH`` names its folder or it runs out of an
     archive, as with ``--py-files``.
     """
+    if spark.conf.get(_BATCH_BYTES) == _DEFAULT_BYTES:
+        spark.conf.set(_BATCH_BYTES, BATCH_BYTES)
     package = Path(__file__).resolve().parents[1]
     named = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     context = spark.sparkContext

@@ -209,7 +209,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, prefix: str =
     def compute(texts: list[str]) -> list[list]:
         return labelled(texts, model, penalty)
 
-    return with_text_columns(docs, compute, ADDED, chars=4_000_000, prefix=prefix)
+    return with_text_columns(docs, compute, ADDED, chars=1_500_000, prefix=prefix)
 
 
 def learned(docs: DataFrame) -> Model:
