@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from searchtide.functions import replies, text
 from searchtide.functions.dates import with_month
 from searchtide.functions.rules import KNOWN_KEYWORDS
+from searchtide.operators import accents, segments, typos
 from searchtide.operators import classify as C
 from searchtide.operators import counts as N
 from searchtide.operators import profile as P
@@ -302,6 +303,48 @@ def _text_words(spark, d):
     return N.keyword_counts(texts.select(spelled.alias("keyword")))
 
 
+# Keywords with typing errors put in by the order's number: a letter left out, doubled
+# or replaced, two left out, two swapped, two replaced.
+_MISTYPED = """CASE l_orderkey % 40
+    WHEN 1 THEN concat(substr(p_name, 1, CAST(p - 1 AS INT)), substr(p_name, CAST(p + 1 AS INT)))
+    WHEN 2 THEN concat(substr(p_name, 1, CAST(p AS INT)), substr(p_name, CAST(p AS INT)))
+    WHEN 3 THEN concat(substr(p_name, 1, CAST(p - 1 AS INT)), 'x', substr(p_name, CAST(p + 1 AS INT)))
+    WHEN 4 THEN concat(substr(p_name, 1, CAST(p - 1 AS INT)), substr(p_name, CAST(p + 2 AS INT)))
+    WHEN 5 THEN concat(substr(p_name, 1, CAST(p - 1 AS INT)), substr(p_name, CAST(p + 1 AS INT), 1),
+      substr(p_name, CAST(p AS INT), 1), substr(p_name, CAST(p + 2 AS INT)))
+    WHEN 6 THEN concat('q', substr(p_name, 2, length(p_name) - 2), 'q')
+    ELSE p_name END"""
+
+
+def _mistyped(spark, d):
+    """Counts of the log's keywords with typing errors."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    named = lines.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    place = named.withColumn("p", 2 + F.col("l_partkey") % (F.length("p_name") - 2))
+    return N.keyword_counts(place.select(F.expr(_MISTYPED).alias("keyword")))
+
+
+def _run_together(spark, d):
+    """Counts of the log's keywords, without blanks where the category is PROMO."""
+    log = _log(spark, d, "keyword", "category")
+    joined = F.replace(F.col("keyword"), F.lit(" "), F.lit(""))
+    return N.keyword_counts(
+        log.withColumn("keyword", F.when(F.col("category") == "PROMO", joined).otherwise(F.col("keyword")))
+    )
+
+
+def _phrases(spark, d):
+    """Counts of all texts' runs of six words, those of odd documents without accents."""
+    texts = table(spark, d, "documents").select("doc_id", F.split(text.normalize(F.col("text")), " ").alias("words"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("words") - 1) / 6).cast("int")),
+        lambda i: F.array_join(F.slice("words", i * 6 + 1, 6), " "),
+    )
+    each = texts.select("doc_id", F.explode(runs).alias("keyword")).where("keyword <> ''")
+    typed = F.when(F.col("doc_id") % 2 == 1, text.unaccent(F.col("keyword"))).otherwise(F.col("keyword"))
+    return N.keyword_counts(each.select(typed.alias("keyword")))
+
+
 def _merged(spark, d):
     batches = _batches(spark, d)
     first = C.look_up(C.with_parsed_answers(_replied(batches, _not_hot)))
@@ -375,6 +418,11 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_aliases": lambda s, d: N.merge_aliases(
             N.keyword_counts(_log(s, d, "keyword")), _aliases(s, d)
         ),
+        "typo_corrections": lambda s, d: typos.corrections(_mistyped(s, d), 5),
+        "typo_merged_counts": lambda s, d: typos.merge_typos(_mistyped(s, d), 5),
+        "split_run_together": lambda s, d: segments.split_keywords(_run_together(s, d)),
+        "merge_run_together": lambda s, d: segments.merge_run_together(_run_together(s, d)),
+        "restore_accents": lambda s, d: accents.restore_accents(_phrases(s, d)),
         # counts
         "user_keyword_count": _user_keyword,
         "user_month_keyword_count": lambda s, d: N.user_month_keyword_counts(
@@ -626,6 +674,113 @@ def _normalized_sql(column: str) -> str:
     return f"trim(regexp_replace({kept}, ' +', ' ', 'g'))"
 
 
+_TYPOS = f"""counted AS (
+    SELECT {_MISTYPED} AS keyword, count(*) AS search_count
+    FROM (SELECT *, 2 + l_partkey % (length(p_name) - 2) AS p
+      FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY 1
+), spelled AS (SELECT * FROM counted WHERE length(keyword) >= 4
+), pairs AS (
+    SELECT a.*, b.keyword AS corrected, b.search_count AS corrected_count,
+      levenshtein(a.keyword, b.keyword) AS distance, least(length(a.keyword), length(b.keyword)) AS short
+    FROM spelled a JOIN spelled b ON b.search_count > 5 * a.search_count
+), better AS (
+    SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY
+      corrected_count * CASE WHEN distance = 1 THEN 5 ELSE 1 END DESC, distance, corrected) AS place
+    FROM pairs WHERE distance <= CASE WHEN short < 8 THEN 1 ELSE 2 END
+      AND corrected_count > search_count * CASE WHEN distance = 1 THEN 5 ELSE 25 END
+), corrections AS (
+    SELECT keyword, search_count, corrected, corrected_count, CAST(distance AS INTEGER) AS distance
+    FROM better WHERE place = 1
+), followed AS (
+    SELECT keyword, corrected FROM corrections
+    UNION ALL SELECT f.keyword, c.corrected FROM followed f JOIN corrections c ON f.corrected = c.keyword
+)"""
+_SPLITS = f"""log AS (
+    SELECT CASE WHEN l_linenumber = 7 THEN NULL WHEN p_type = 'PROMO' THEN replace(p_name, ' ', '')
+      ELSE p_name END AS keyword FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+), counted AS (SELECT keyword, count(*) AS search_count FROM log GROUP BY 1
+), tokens AS (
+    SELECT keyword, search_count, unnest(string_split(keyword, ' ')) AS word,
+      unnest(range(len(string_split(keyword, ' ')))) AS pos FROM counted WHERE keyword IS NOT NULL
+), words AS (
+    SELECT word, sum(search_count) AS n FROM tokens GROUP BY 1
+), known AS (
+    SELECT word AS part, CAST(floor(1000000 * ln((SELECT CAST(sum(n) AS DOUBLE) FROM words)
+      / CAST(n AS DOUBLE))) AS BIGINT) AS cost FROM words WHERE n >= 2 AND length(word) >= 2
+), paths AS (
+    SELECT word, 0 AS pos, CAST(0 AS BIGINT) AS cost, CAST([] AS VARCHAR[]) AS parts FROM words
+    UNION ALL
+    SELECT word, pos + length(part), paths.cost + known.cost, list_append(parts, part)
+    FROM paths JOIN known ON substr(word, pos + 1, length(part)) = part
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY word ORDER BY cost, len(parts), parts) AS place
+    FROM paths WHERE pos = length(word)
+), apart AS (
+    SELECT word, array_to_string(parts, ' ') AS apart FROM ranked WHERE place = 1 AND len(parts) > 1
+), again AS (
+    SELECT keyword, string_agg(coalesce(apart, word), ' ' ORDER BY pos) AS split
+    FROM tokens LEFT JOIN apart USING (word) GROUP BY 1
+), split_up AS (
+    SELECT keyword, search_count, split FROM counted LEFT JOIN again USING (keyword)
+)"""
+
+
+def _accents_sql() -> str:
+    return f"""WITH RECURSIVE texts AS (
+          SELECT doc_id, string_split({_normalized_sql("text")}, ' ') AS words FROM documents
+        ), runs AS (
+          SELECT doc_id, unnest(list_transform(range(0, len(words), 6),
+            lambda i: array_to_string(words[i + 1:i + 6], ' '))) AS keyword FROM texts
+        ), counted AS (
+          SELECT CASE WHEN doc_id % 2 = 1 THEN strip_accents(keyword) ELSE keyword END AS keyword,
+            count(*) AS search_count FROM runs WHERE keyword <> '' GROUP BY 1
+        ), placed AS (
+          SELECT keyword, search_count, unnest(string_split(keyword, ' ')) AS word,
+            unnest(range(len(string_split(keyword, ' ')))) AS pos FROM counted
+        ), tokens AS (
+          SELECT *, coalesce(lag(word) OVER (PARTITION BY keyword ORDER BY pos), '') AS before FROM placed
+        ), accented AS (SELECT * FROM tokens WHERE keyword <> strip_accents(keyword)
+        ), known AS (
+          SELECT word, CAST(sum(search_count) AS BIGINT) AS n FROM accented GROUP BY 1
+        ), single AS (
+          SELECT * FROM known UNION ALL
+          SELECT '', CAST(sum(search_count) AS BIGINT) FROM accented WHERE pos = 0
+        ), pairs AS (
+          SELECT before AS first, word AS second, CAST(sum(search_count) AS BIGINT) AS together
+          FROM accented GROUP BY ALL
+        ), choices AS (
+          SELECT w.word, coalesce(known.word, w.word) AS choice FROM (SELECT DISTINCT word FROM tokens) w
+          LEFT JOIN known ON w.word = strip_accents(known.word)
+          UNION ALL SELECT '', ''
+        ), both_ AS (
+          SELECT before, t.word, a.choice AS first, b.choice AS second
+          FROM (SELECT DISTINCT before, word FROM tokens) t
+          JOIN choices a ON a.word = before JOIN choices b ON b.word = t.word
+        ), likely AS (
+          SELECT before, b.word, b.first, b.second, (coalesce(together, 0)
+            + 2 * (CAST(coalesce(k.n, 0) AS DOUBLE) / (SELECT CAST(sum(n) AS DOUBLE) FROM known)))
+            / (coalesce(f.n, 0) + 2) AS likely
+          FROM both_ b LEFT JOIN pairs USING (first, second)
+          LEFT JOIN single f ON f.word = b.first LEFT JOIN known k ON k.word = b.second
+        ), edges AS (
+          SELECT *, CAST(CASE WHEN likely > 0 THEN floor(-1000000 * ln(likely)) ELSE 0 END AS BIGINT)
+            AS cost FROM likely
+        ), chains AS (
+          SELECT keyword, CAST(-1 AS BIGINT) AS pos, '' AS choice,
+            {{'cost': CAST(0 AS BIGINT), 'words': CAST([] AS VARCHAR[])}} AS best FROM counted
+          UNION ALL
+          SELECT t.keyword, t.pos, e.second, min({{'cost': c.best.cost + e.cost,
+            'words': list_append(c.best.words, e.second)}})
+          FROM chains c JOIN tokens t ON t.keyword = c.keyword AND t.pos = c.pos + 1
+          JOIN edges e ON e.word = t.word AND e.before = t.before AND e.first = c.choice GROUP BY ALL
+        ), ends AS (
+          SELECT keyword, min(best) AS best FROM chains c
+          WHERE pos + 1 = len(string_split(keyword, ' ')) GROUP BY 1
+        )
+        SELECT keyword, search_count, array_to_string(best.words, ' ') AS restored
+        FROM counted JOIN ends USING (keyword)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The SQL for each query, but for those that SQL cannot express."""
     found = _log_sql()
@@ -715,6 +870,17 @@ def _log_sql() -> dict[str, str]:
                 first(keyword ORDER BY n DESC, keyword) END AS keyword,
               CAST(sum(n) AS BIGINT) AS search_count, count(*) AS spellings
             FROM spelled GROUP BY strip_accents(lower(keyword))""",
+        "typo_corrections": f"WITH RECURSIVE {_TYPOS} SELECT * FROM corrections",
+        "typo_merged_counts": f"""WITH RECURSIVE {_TYPOS}, ends AS (
+              SELECT keyword, corrected FROM followed
+              WHERE corrected NOT IN (SELECT keyword FROM corrections))
+            SELECT coalesce(corrected, keyword) AS keyword, CAST(sum(search_count) AS BIGINT) AS search_count
+            FROM counted LEFT JOIN ends USING (keyword) GROUP BY 1""",
+        "split_run_together": f"WITH RECURSIVE {_SPLITS} SELECT * FROM split_up",
+        "merge_run_together": f"""WITH RECURSIVE {_SPLITS}
+            SELECT split AS keyword, CAST(sum(search_count) AS BIGINT) AS search_count,
+              count(*) AS spellings FROM split_up GROUP BY 1""",
+        "restore_accents": _accents_sql(),
         "merge_aliases": f"""WITH {_PLAIN}
             SELECT string_split(keyword, ' ')[-1] AS keyword, count(*) AS search_count
             FROM log GROUP BY 1""",

@@ -1,5 +1,7 @@
 """Cleaning and folding of keywords, as Column expressions."""
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +36,19 @@ def fold(text: Column, collation: str = "UNICODE_CI_AI") -> Column:
     upper and lower case and letters with and without accents.
     """
     return F.collate(text, collation)
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Latin letters with accents, and the letters without, by Unicode's own tables."""
+    blocks = [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]
+    bases = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in blocks}
+    # Letters with a stroke, which Unicode does not take apart.
+    bases |= {"đ": "d", "Đ": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T"}
+    changed = {letter: base for letter, base in bases.items() if letter != base}
+    return "".join(changed), "".join(changed.values())
+
+
+def unaccent(text: Column) -> Column:
+    """The text without accents, composed or not, and without strokes through letters."""
+    accented, plain = _plain_letters()
+    return F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), accented, plain)
