@@ -20,9 +20,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from searchtide.functions import replies, text
 from searchtide.functions.dates import with_month
 from searchtide.functions.rules import KNOWN_KEYWORDS
-from searchtide.operators import accents, segments, typos
+from searchtide.operators import accents, phrases, segments, typos
 from searchtide.operators import classify as C
 from searchtide.operators import counts as N
+from searchtide.operators import nearest as K
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
@@ -170,6 +171,27 @@ def _titles(spark, d):
     return N.keyword_counts(log.withColumn("keyword", keyword))
 
 
+def _sentences(spark, d):
+    """Keywords that hold a part's name between other words."""
+    words = F.concat(F.lit("Buy "), F.upper("keyword"), F.lit(", "), F.lower("category"))
+    return N.keyword_counts(_log(spark, d, "keyword", "category").select(words.alias("keyword")))
+
+
+def _names(spark, d):
+    """Names of parts with their types, and the last words of names by themselves."""
+    part = table(spark, d, "part")
+    kind = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
+    last = part.select(kind.alias("keyword"), F.concat(F.lit("any "), kind).alias("category"))
+    return _known(spark, d).where("category <> 'of PROMO' AND keyword NOT LIKE 'HOT %'").unionByName(last)
+
+
+def _nearest(spark, d):
+    """Names of parts; those with a hot thing are the ones without an answer."""
+    answers = F.when(~_not_hot(F.col("p_name")), "Other").otherwise(F.split_part("p_name", F.lit(" "), F.lit(2)))
+    part = table(spark, d, "part").select(F.col("p_name").alias("keyword"), answers.alias("category"))
+    return K.fill_nearest(part.distinct())
+
+
 def _ruled(spark, d):
     keywords = N.keyword_counts(N.drop_null_keywords(_log(spark, d, "keyword")))
     return C.classify_by_rules(keywords, WORD_RULES, _known(spark, d))
@@ -478,6 +500,8 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_growth_top10": lambda s, d: M.top_growth(
             M.with_growth(M.compare_months(_wide(s, d)))
         ),
+        "month_trend": lambda s, d: _trend(s, d),
+        "month_trend_top10": lambda s, d: M.top_trends(_trend(s, d)),
         "user_month_change": lambda s, d: M.with_change(_wide(s, d)),
         "top_keyword_retention": lambda s, d: _rounded(M.retention(_wide(s, d))),
         # classification
@@ -494,6 +518,11 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classify_retries": _retries,
         "classification_csv": _classification_csv,
         "classify_rules": lambda s, d: _ruled(s, d).select("keyword", "search_count", "category"),
+        "classify_phrases": lambda s, d: phrases.with_phrases(_sentences(s, d), _names(s, d)),
+        "classify_inside": lambda s, d: C.classify_by_rules(
+            _sentences(s, d), WORD_RULES[1:2], _names(s, d), inside=True
+        ),
+        "classify_nearest": _nearest,
         "classify_default_rules": lambda s, d: C.classify_by_rules(
             _titles(s, d), known=KNOWN_KEYWORDS
         ),
@@ -504,6 +533,10 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _trend(spark, d):
+    return M.with_trend(M.compare_months(_wide(spark, d))).withColumn("trend", F.round("trend", 6))
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("pct", F.round("pct", 6))
 
@@ -588,6 +621,59 @@ _RULED = f"""{_PLAIN}, ruled AS (
 )"""
 
 
+_TREND = f"""{_COMPARED}, totals AS (
+    SELECT CAST(sum(count_t6) AS DOUBLE) AS n6, CAST(sum(count_t7) AS DOUBLE) AS n7 FROM compared
+), cells AS (
+    SELECT *, unnest([count_t6, count_t7, n6 - count_t6, n7 - count_t7]) AS seen,
+      unnest([n6 * (count_t6 + count_t7), n7 * (count_t6 + count_t7),
+        n6 * (n6 + n7 - count_t6 - count_t7), n7 * (n6 + n7 - count_t6 - count_t7)]) / (n6 + n7) AS wanted
+    FROM compared, totals
+), trends AS (
+    SELECT keyword, count_t6, count_t7, round(CASE WHEN count_t7 * n6 < count_t6 * n7 THEN -1 ELSE 1 END
+      * 2 * greatest(sum(CASE WHEN seen > 0 THEN seen * ln(seen / wanted) ELSE 0 END), 0), 6) AS trend
+    FROM cells GROUP BY keyword, count_t6, count_t7, n6, n7
+)"""
+_PHRASES = f"""{_PLAIN}, sentences AS (
+    SELECT 'Buy ' || upper(keyword) || ', ' || lower(category) AS keyword, count(*) AS search_count
+    FROM log GROUP BY 1
+), names AS (
+    SELECT lower(p_name) AS phrase, min('of ' || p_type) AS category FROM part
+    WHERE p_type <> 'PROMO' AND p_name NOT LIKE 'hot %' GROUP BY 1
+    UNION ALL SELECT DISTINCT split_part(p_name, ' ', 2), 'any ' || split_part(p_name, ' ', 2) FROM part
+), found AS (
+    SELECT keyword, phrase, category, row_number() OVER (PARTITION BY keyword ORDER BY
+        len(string_split(phrase, ' ')) DESC, length(phrase) DESC, category, phrase) AS place
+    FROM sentences JOIN names ON contains(' ' || lower(replace(keyword, ',', '')) || ' ', ' ' || phrase || ' ')
+), best AS (
+    SELECT keyword, phrase, category AS phrase_category FROM found WHERE place = 1
+)"""
+_NEAREST = """WITH answers AS (
+    SELECT DISTINCT p_name AS keyword, CASE WHEN p_name LIKE '%hot %' THEN 'Other'
+      ELSE split_part(p_name, ' ', 2) END AS category FROM part
+), runs AS (
+    SELECT keyword, category, substr('^' || keyword || '$', i, 3) AS run
+    FROM (SELECT *, unnest(range(1, length(keyword) + 1)) AS i FROM answers)
+), told AS (SELECT * FROM runs WHERE category <> 'Other'
+), counts AS (SELECT run, category, count(*) AS n FROM told GROUP BY ALL
+), sizes AS (
+    SELECT category, count(*) AS size, count(DISTINCT keyword) AS keywords FROM told GROUP BY 1
+), categories AS (
+    SELECT category, CAST(floor(1000000 * ln(keywords / (SELECT CAST(sum(keywords) AS DOUBLE) FROM sizes)))
+        AS BIGINT) AS prior,
+      CAST(floor(1000000 * ln(CAST(size + (SELECT count(DISTINCT run) FROM counts) AS DOUBLE))) AS BIGINT) AS base
+    FROM sizes
+), scored AS (
+    SELECT r.keyword, g.category, sum(CAST(floor(1000000 * ln(CAST(n + 1 AS DOUBLE))) AS BIGINT))
+      + any_value(prior) - any_value(length(r.keyword)) * any_value(base) AS score
+    FROM runs r JOIN counts g USING (run) JOIN categories ON categories.category = g.category
+    WHERE r.category = 'Other' GROUP BY r.keyword, g.category
+), best AS (
+    SELECT keyword, first(category ORDER BY score DESC, category) AS nearest FROM scored GROUP BY 1
+)
+SELECT keyword, CASE WHEN category = 'Other' THEN coalesce(nearest, 'Other') ELSE category END AS category
+FROM answers LEFT JOIN best USING (keyword)"""
+
+
 def _profile_sql() -> str:
     columns = ["user_id", "datetime", "keyword", "category"]
     rows = [
@@ -939,6 +1025,9 @@ def _log_sql() -> dict[str, str]:
         "month_growth": f"WITH {_PLAIN}, {_GROWN} SELECT * FROM grown",
         "month_growth_top10": f"""WITH {_PLAIN}, {_GROWN} SELECT * FROM grown
             ORDER BY change_pct DESC NULLS LAST, keyword LIMIT 10""",
+        "month_trend": f"WITH {_PLAIN}, {_TREND} SELECT * FROM trends",
+        "month_trend_top10": f"""WITH {_PLAIN}, {_TREND} SELECT * FROM trends
+            ORDER BY trend DESC NULLS LAST, keyword LIMIT 10""",
         "user_month_change": f"""WITH {_PLAIN}, {_WIDE}
             SELECT *, most_search_t6 = most_search_t7 AS is_same FROM wide
             WHERE most_search_t6 IS NOT NULL AND most_search_t7 IS NOT NULL""",
@@ -978,6 +1067,13 @@ def _log_sql() -> dict[str, str]:
               AS category, pos FROM batched""",
         "classify_function": f"WITH {_PLACED} SELECT keyword, category, pos FROM batched",
         "classify_rules": f"WITH {_RULED} SELECT keyword, search_count, category FROM ruled",
+        "classify_phrases": f"""WITH {_PHRASES}
+            SELECT keyword, search_count, phrase, phrase_category FROM sentences LEFT JOIN best USING (keyword)""",
+        "classify_inside": f"""WITH {_PHRASES}
+            SELECT keyword, search_count, CASE WHEN keyword LIKE '% RING,%' THEN 'Romance'
+              ELSE coalesce(phrase_category, 'Other') END AS category
+            FROM sentences LEFT JOIN best USING (keyword)""",
+        "classify_nearest": _NEAREST,
         "classify_default_rules": _titles_sql(),
         "classify_top30": f"""WITH {_PLAIN}, {_RANKED}, {_TOP30}
             SELECT keyword, CASE WHEN keyword LIKE 'hot %' THEN 'Other'

@@ -36,6 +36,10 @@ def main(arguments: list[str] | None = None) -> None:
     report.add_argument("--fold", action="store_true", help="count the spellings of a keyword as one")
     report.add_argument("--top", type=int, help="classify the first rows only, not every keyword")
     report.add_argument("--names", help="CSV table of keywords and their categories")
+    report.add_argument("--inside", action="store_true", help="look for the names inside of keywords too")
+    report.add_argument(
+        "--nearest", action="store_true", help="give keywords left over the category they are most like"
+    )
     report.add_argument("--allow-missing", action="store_true", help="take a missing log for an empty one")
     report.add_argument(
         "--classifier", type=_function, help="module:function from keywords to a reply"
@@ -70,6 +74,8 @@ def main(arguments: list[str] | None = None) -> None:
         top=given.top,
         allow_missing=given.allow_missing,
         counting=prepared | {"fold": given.fold},
+        inside=given.inside,
+        nearest=given.nearest,
     )
 
 

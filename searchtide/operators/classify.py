@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from searchtide.functions import replies
 from searchtide.functions.replies import DEFAULT_CATEGORY
 from searchtide.functions.rules import CATEGORIES, category_by_rules, default_rules
+from searchtide.operators.nearest import fill_nearest
+from searchtide.operators.phrases import with_phrases
 from searchtide.operators.ranking import number_rows
 from searchtide.operators.topn import best_first
 from searchtide.operators.trend import share_of
@@ -226,13 +228,17 @@ def classify_by_rules(
     keywords: DataFrame,
     rules: Sequence[tuple[str, str]] | None = None,
     known: DataFrame | Mapping[str, str] | None = None,
+    inside: bool = False,
 ) -> DataFrame:
     """Category by the first matching rule, then by name, then the default.
 
     ``known`` names the category of whole keywords, whatever the case: a short
-    mapping, or a table (keyword, category) of any size, which is joined. Give
-    distinct keywords: one row per key keeps the join even.
+    mapping, or a table (keyword, category) of any size, which is joined. With
+    ``inside`` a name counts also where it is some words of a longer keyword, the
+    longest name first, after whole keywords. Give distinct keywords: one row per key
+    keeps the join even.
     """
+    phrases = known if isinstance(known, DataFrame) or not inside else _named(keywords, known or {})
     by_rule = category_by_rules(F.col("keyword"), rules)
     if isinstance(known, DataFrame):
         names = known.groupBy(F.lower("keyword").alias("_name")).agg(
@@ -245,8 +251,15 @@ def classify_by_rules(
         by_name = F.try_element_at(F.create_map(*pairs), F.lower("keyword"))
     else:
         by_name = F.lit(None)
-    category = F.coalesce(by_rule, by_name, F.lit(DEFAULT_CATEGORY))
-    return keywords.withColumn("category", category).drop("_name", "_known")
+    by_phrase = F.lit(None)
+    if inside:
+        keywords, by_phrase = with_phrases(keywords, phrases), F.col("phrase_category")
+    category = F.coalesce(by_rule, by_name, by_phrase, F.lit(DEFAULT_CATEGORY))
+    return keywords.withColumn("category", category).drop("_name", "_known", "phrase", "phrase_category")
+
+
+def _named(keywords: DataFrame, known: Mapping[str, str]) -> DataFrame:
+    return keywords.sparkSession.createDataFrame(list(known.items()), "keyword string, category string")
 
 
 def category_distribution(classified: DataFrame) -> DataFrame:
@@ -256,7 +269,12 @@ def category_distribution(classified: DataFrame) -> DataFrame:
 
 
 def classify(
-    positioned: DataFrame, classifier: Callable[[list[str]], str], **options
+    positioned: DataFrame, classifier: Callable[[list[str]], str], nearest: bool = False, **options
 ) -> DataFrame:
-    """Batches, replies, lookup and merge in one go: (keyword, category, pos)."""
-    return merge_answers(look_up(ask(cut_batches(positioned), classifier, **options)))
+    """Batches, replies, lookup and merge in one go: (keyword, category, pos).
+
+    With ``nearest`` a keyword left without an answer gets the category whose keywords
+    its letters are most like.
+    """
+    found = merge_answers(look_up(ask(cut_batches(positioned), classifier, **options)))
+    return fill_nearest(found) if nearest else found

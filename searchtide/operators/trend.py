@@ -5,7 +5,7 @@ The counts of these tables are users whose favourite a keyword is, not searches.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchtide.operators.counts import top_rows
@@ -53,6 +53,38 @@ def top_growth(grown: DataFrame, n: int = 10) -> DataFrame:
     return top_rows(grown, n, F.desc_nulls_last("change_pct"), F.asc("keyword"))
 
 
+def with_trend(compared: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
+    """Add ``trend``: how sure it is that a keyword's share has changed, with the sign of the change.
+
+    Twice the log-likelihood ratio of both months' counts against one share for both.
+    It is defined for keywords that are new or gone, and puts them on one scale with
+    all others: a keyword that nobody had before ranks by how many have it now. Null
+    if either month has no counts at all.
+    """
+    before, after = (F.col(count_column(m)).cast("double") for m in months)
+    totals = [compared.agg(F.sum(count_column(m)).cast("double")).scalar() for m in months]
+    both = F.nullif(totals[0], F.lit(0.0)) + F.nullif(totals[1], F.lit(0.0))
+
+    def part(seen: Column, total: Column, of_all: Column) -> Column:
+        """A cell's share of the ratio; nothing where nothing was seen."""
+        return F.when(seen > 0, seen * F.log(seen * both / (total * of_all))).otherwise(F.lit(0.0))
+
+    ratio = (
+        part(before, totals[0], before + after)
+        + part(after, totals[1], before + after)
+        + part(totals[0] - before, totals[0], both - before - after)
+        + part(totals[1] - after, totals[1], both - before - after)
+    )
+    rises = F.when(after * totals[0] < before * totals[1], F.lit(-1.0)).otherwise(F.lit(1.0))
+    # Rounding may leave a little less than nothing.
+    return compared.withColumn("trend", F.when(both > 0, rises * 2 * F.greatest(ratio, F.lit(0.0))))
+
+
+def top_trends(trends: DataFrame, n: int = 10) -> DataFrame:
+    """The n keywords that rise most surely."""
+    return top_rows(trends, n, F.desc_nulls_last("trend"), F.asc("keyword"))
+
+
 def with_change(wide: DataFrame, months: Sequence[int] = MONTHS) -> DataFrame:
     """Users with a favourite in both months, and whether it is the same one."""
     before, after = (favourite_column(m) for m in months)

@@ -17,6 +17,7 @@ from searchtide.operators import counts as N
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
+from searchtide.operators.nearest import fill_nearest
 from searchtide.schema import LOG, MONTHS, REPLIES
 from searchtide.sources import parquet_log, tables
 
@@ -105,17 +106,20 @@ def classification(
     out: str,
     classifier: Callable[[list[str]], str] | None = None,
     names: DataFrame | Mapping[str, str] = KNOWN_KEYWORDS,
+    inside: bool = False,
+    nearest: bool = False,
     **options,
 ) -> DataFrame:
     """A category for each of the positioned keywords, and how they spread.
 
     Without a classifier the written rules decide, and then ``names``, keywords
-    with their categories. Replies are stored as JSON and kept: a later run into
+    with their categories, with ``inside`` also as words of a longer keyword. With
+    ``nearest`` keywords left over go to the category they are most like. Replies are stored as JSON and kept: a later run into
     the same folder asks only for batches that have no good reply yet.
     """
     spark = keywords.sparkSession
     if classifier is None:
-        found = C.classify_by_rules(C.distinct_keywords(keywords), known=names)
+        found = C.classify_by_rules(C.distinct_keywords(keywords), known=names, inside=inside)
     else:
         replies = f"{out}/replies"
         batches = _stored(C.cut_batches(keywords), f"{out}/batches")
@@ -123,6 +127,10 @@ def classification(
         tables.write_json(C.ask(C.not_asked(batches, stored), classifier, **options), replies, "append")
         answered = C.with_stored_answers(batches, tables.read_json(spark, replies, REPLIES))
         found = C.merge_answers(C.look_up(answered))
+    if nearest:
+        # Learning reads the answers several times.
+        answers = _stored(found.select("keyword", "category", "pos"), f"{out}/answers")
+        found = fill_nearest(answers)
     classified = _stored(found.select("keyword", "category", "pos"), f"{out}/classified")
     ordered = classified.orderBy("pos", "keyword").select("keyword", "category")
     tables.write_csv(ordered, f"{out}/csv/keyword_classified")
@@ -156,7 +164,7 @@ def search_report(
     """All reports of a log. Every keyword is classified, or the first ``top`` user rows.
 
     ``counting`` has the options of ``store_counts``, ``options`` are those of
-    ``classify.ask``. Everything that is written goes below ``out``.
+    ``classification`` and ``classify.ask``. Everything that is written goes below ``out``.
     """
     log = read_input(spark, log_path, allow_missing)
     counts = store_counts(log, out, months, **(counting or {}))

@@ -1,0 +1,135 @@
+"""Names inside keywords and nearest categories against plain Python; trends against a table of counts."""
+
+import math
+import random
+
+import pytest
+
+import __spark_entry__ as contract
+from searchtide.operators import classify as C
+from searchtide.operators import nearest, phrases
+from searchtide.operators import trend as M
+from tests.helpers import bag, plan, tuples
+
+KNOWN = "keyword string, category string"
+
+
+def longest_inside(keyword, names):
+    words = keyword.split()
+    found = []
+    for name, category in names.items():
+        n = len(name.split())
+        for at in range(len(words) - n + 1):
+            if " ".join(words[at : at + n]) == name:
+                found.append((-n, -len(name), at, category, name))
+    return (min(found)[4], min(found)[3]) if found else (None, None)
+
+
+def test_longest_phrase_wins(spark):
+    rng = random.Random(3)
+    names = {" ".join(rng.choices("abcde", k=rng.randint(1, 4))): f"c{i % 5}" for i in range(40)}
+    keywords = {" ".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(300)}
+    table = spark.createDataFrame(list(names.items()), KNOWN)
+    found = phrases.with_phrases(spark.createDataFrame([(k,) for k in keywords], "keyword string"), table)
+    assert bag(found) == sorted([(k, *longest_inside(k, names)) for k in keywords], key=repr)
+
+
+def test_odd_phrases_and_keywords(spark):
+    rows = [("Hà  Nội!", "City"), ("hà nội", "Capital"), ("!!", "No"), (None, "No"), ("x", None), ("fc hà nội", "Sports")]
+    table = spark.createDataFrame(rows, KNOWN)
+    keywords = [("bóng đá FC HÀ NỘI hôm nay", 1), ("đi hà nội", 2), ("hà nộii", 3), (None, 4), ("", 5), ("x", 6)]
+    frame = spark.createDataFrame(keywords, "keyword string, search_count int")
+    found = {r["search_count"]: r["phrase_category"] for r in phrases.with_phrases(frame, table).collect()}
+    assert found == {1: "Sports", 2: "Capital", 3: None, 4: None, 5: None, 6: None}
+    none = phrases.with_phrases(frame, table.limit(0))
+    assert [r["phrase"] for r in none.collect()] == [None] * 6
+    assert not tuples(phrases.with_phrases(frame.limit(0), table))
+
+
+def test_rules_then_whole_names_then_names_inside(spark):
+    keywords = spark.createDataFrame([("vtv naruto",), ("naruto",), ("xem naruto tap 5",), ("xem gi",)], "keyword string")
+    known = {"naruto": "Animation"}
+    assert bag(C.classify_by_rules(keywords, known=known)) == [
+        ("naruto", "Animation"), ("vtv naruto", "TV Channel"), ("xem gi", "Other"), ("xem naruto tap 5", "Other"),
+    ]
+    inside = dict(tuples(C.classify_by_rules(keywords, known=known, inside=True)))
+    assert inside["xem naruto tap 5"] == "Animation" and inside["xem gi"] == "Other"
+
+
+def likeliest(keyword, known):
+    """Naive Bayes with the same whole numbers, category by category."""
+
+    def runs(k):
+        k = f"^{k}$"
+        return [k[i : i + 3] for i in range(max(len(k) - 2, 1))]
+
+    counts, sizes, kinds, members = {}, {}, set(), {}
+    for k, c in set(known):
+        members[c] = members.get(c, 0) + 1
+        for run in runs(k):
+            counts[run, c] = counts.get((run, c), 0) + 1
+            sizes[c] = sizes.get(c, 0) + 1
+            kinds.add(run)
+    scores = []
+    for c in members:
+        if any((run, c) in counts for run in runs(keyword)):
+            score = math.floor(1e6 * math.log(members[c] / sum(members.values())))
+            base = math.floor(1e6 * math.log(sizes[c] + len(kinds)))
+            score += sum(math.floor(1e6 * math.log(counts.get((r, c), 0) + 1)) - base for r in runs(keyword))
+            scores.append((-score, c))
+    return (min(scores)[1], -min(scores)[0]) if scores else None
+
+
+def test_nearest_category(spark):
+    rng = random.Random(4)
+
+    def word(letters):
+        return "".join(rng.choices(letters, k=rng.randint(1, 8)))
+
+    known = [(word(letters), c) for c, letters in [("A", "abc"), ("B", "bcd"), ("C", "cde")] for _ in range(30)]
+    asked = [word("abcdex") for _ in range(80)] + ["zzzzz"]
+    table = spark.createDataFrame([*known, ("zzzzz", "Other"), (None, "A"), ("q", None)], KNOWN)
+    frame = spark.createDataFrame([(a,) for a in asked] + [(None,)], "keyword string")
+    found = {r["keyword"]: (r["category"], r["score"]) for r in nearest.nearest_category(frame, table).collect()}
+    wanted = {a: likeliest(a, known) for a in asked if likeliest(a, known)}
+    assert found == wanted and "zzzzz" not in found
+
+
+def test_nearest_is_for_keywords_without_an_answer(spark):
+    rows = [("love story", "Romance"), ("love song", "Music"), ("song book", "Music"), ("love storyy", "Other"), ("###", "Other")]
+    filled = dict(tuples(nearest.fill_nearest(spark.createDataFrame(rows, KNOWN))))
+    assert filled == {**dict(rows), "love storyy": "Romance"}
+
+    positioned = spark.createDataFrame([(k, i) for i, (k, _) in enumerate(rows)], "keyword string, pos long")
+
+    def ask(keywords):
+        import json
+
+        return json.dumps({k: c for k, c in rows if k in keywords and c != "Other"})
+
+    plain = {r["keyword"]: r["category"] for r in C.classify(positioned, ask).collect()}
+    best = {r["keyword"]: r["category"] for r in C.classify(positioned, ask, nearest=True).collect()}
+    assert plain == dict(rows) and best == filled
+
+
+def test_trend_puts_new_and_old_keywords_on_one_scale(spark):
+    rows = [("new", 0, 50), ("new, rare", 0, 1), ("gone", 40, 0), ("same", 500, 600), ("more", 100, 300), ("none", 0, 0)]
+    compared = spark.createDataFrame(rows, "keyword string, count_t6 long, count_t7 long")
+    found = {r["keyword"]: r["trend"] for r in M.with_trend(compared).collect()}
+    n6, n7 = (sum(r[i] for r in rows) for i in (1, 2))
+    for keyword, a, b in rows:
+        g = 0.0
+        for seen, row, column in ((a, n6, a + b), (b, n7, a + b), (n6 - a, n6, n6 + n7 - a - b), (n7 - b, n7, n6 + n7 - a - b)):
+            g += seen * math.log(seen * (n6 + n7) / (row * column)) if seen else 0
+        sign = -1 if b * n6 < a * n7 else 1
+        assert found[keyword] == pytest.approx(2 * sign * g, abs=1e-9)
+    top = [r["keyword"] for r in M.top_trends(M.with_trend(compared), 3).collect()]
+    assert top == ["more", "new", "new, rare"] and found["gone"] < found["same"] < 0
+    empty = spark.createDataFrame([("x", 0, 5)], compared.schema)
+    assert M.with_trend(empty).first()["trend"] is None
+
+
+@pytest.mark.parametrize("name", ["classify_phrases", "classify_nearest", "month_trend"])
+def test_no_cross_join(spark, name):
+    found = plan(contract.queries()[name](spark, "/root/testdata/sf0.001"))
+    assert "CartesianProduct" not in found and "BroadcastNestedLoopJoin" not in found
