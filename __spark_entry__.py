@@ -27,7 +27,7 @@ from searchtide.operators import nearest as K
 from searchtide.operators import profile as P
 from searchtide.operators import topn as T
 from searchtide.operators import trend as M
-from searchtide.plans import reports
+from searchtide.plans import daily, reports
 from searchtide.schema import CLASSIFIED, REPLIES
 from searchtide.session import scratch_path
 from searchtide.sources import parquet_log, tables
@@ -367,6 +367,16 @@ def _phrases(spark, d):
     return N.keyword_counts(each.select(typed.alias("keyword")))
 
 
+def _daily(spark, d):
+    """Counts of a log that comes in three parts, each counted when it is there."""
+    log, root = _log(spark, d, "user_id", "datetime", "keyword"), scratch_path(spark, "days")
+    store, year = scratch_path(spark, "daily"), F.coalesce(F.year("datetime"), F.lit(0))
+    for i, part in enumerate([year < 1994, (year >= 1994) & (year < 1997), year >= 1997]):
+        log.where(part).write.parquet(f"{root}/day{i}")
+        counts = daily.update(spark, root, store)
+    return counts
+
+
 def _merged(spark, d):
     batches = _batches(spark, d)
     first = C.look_up(C.with_parsed_answers(_replied(batches, _not_hot)))
@@ -453,6 +463,7 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_keyword_count_by_month": lambda s, d: N.user_keyword_counts_by_month(
             _log(s, d, "user_id", "datetime", "keyword")
         ),
+        "daily_counts": _daily,
         "keyword_frequency": lambda s, d: N.keyword_counts(_log(s, d, "keyword")),
         "distinct_category": lambda s, d: N.distinct_values(_log(s, d, "category"), "category"),
         # ranks and top-n
@@ -979,6 +990,11 @@ def _log_sql() -> dict[str, str]:
               count(*) FILTER (WHERE month(datetime) = 6) AS count_t6,
               count(*) FILTER (WHERE month(datetime) = 7) AS count_t7
             FROM log GROUP BY user_id, keyword""",
+        "daily_counts": f"""WITH {_PLAIN}
+            SELECT user_id, keyword, count(*) AS search_count,
+              count(*) FILTER (WHERE month(datetime) = 6) AS count_t6,
+              count(*) FILTER (WHERE month(datetime) = 7) AS count_t7
+            FROM log GROUP BY user_id, keyword""",
         "keyword_frequency": f"""WITH {_PLAIN}
             SELECT keyword, count(*) AS search_count FROM log GROUP BY ALL""",
         "distinct_category": f"WITH {_PLAIN} SELECT DISTINCT category FROM log",

@@ -6,7 +6,7 @@ import importlib
 from pyspark.sql import SparkSession
 
 from searchtide.functions.rules import KNOWN_KEYWORDS
-from searchtide.plans import reports
+from searchtide.plans import daily, reports
 from searchtide.schema import CLASSIFIED
 from searchtide.sources.parquet_log import read_log
 from searchtide.sources.tables import read_csv
@@ -33,6 +33,7 @@ def main(arguments: list[str] | None = None) -> None:
     report.add_argument("out")
     report.add_argument("--months", type=int, nargs=2, default=list(reports.MONTHS))
     _preparing(report)
+    report.add_argument("--store", help="folder of counts to go on from: files counted there are not read again")
     report.add_argument("--fold", action="store_true", help="count the spellings of a keyword as one")
     report.add_argument("--top", type=int, help="classify the first rows only, not every keyword")
     report.add_argument("--names", help="CSV table of keywords and their categories")
@@ -63,6 +64,7 @@ def main(arguments: list[str] | None = None) -> None:
     if given.command == "months":
         reports.top_per_month(read_log(spark, given.log), given.out, given.top, **prepared)
         return
+    kept = daily.update(spark, given.log, given.store, given.months, **prepared) if given.store else None
     names = read_csv(spark, given.names, CLASSIFIED) if given.names else KNOWN_KEYWORDS
     reports.search_report(
         spark,
@@ -74,6 +76,7 @@ def main(arguments: list[str] | None = None) -> None:
         top=given.top,
         allow_missing=given.allow_missing,
         counting=prepared | {"fold": given.fold},
+        counts=kept,
         inside=given.inside,
         nearest=given.nearest,
     )

@@ -159,15 +159,22 @@ def search_report(
     top: int | None = None,
     allow_missing: bool = False,
     counting: dict | None = None,
+    counts: DataFrame | None = None,
     **options,
 ) -> dict[str, DataFrame]:
     """All reports of a log. Every keyword is classified, or the first ``top`` user rows.
 
+    ``counts`` are searches per user and keyword, in all and by month, that are there
+    already, as ``daily.update`` keeps them; then the log is not read.
+
     ``counting`` has the options of ``store_counts``, ``options`` are those of
     ``classification`` and ``classify.ask``. Everything that is written goes below ``out``.
     """
-    log = read_input(spark, log_path, allow_missing)
-    counts = store_counts(log, out, months, **(counting or {}))
+    if counts is None:
+        counts = store_counts(read_input(spark, log_path, allow_missing), out, months, **(counting or {}))
+    else:
+        fold = (counting or {}).get("fold", False)
+        counts = _stored(N.fold_counts(counts, ["user_id"]) if fold else counts, f"{out}/counts")
     top3, top1 = top_keywords(counts, out)
     wide = top_keyword_by_month(counts, out, months)
     stored = {"top3_keywords": top3, "top1_keywords": top1, "top_keyword_by_month": wide}
