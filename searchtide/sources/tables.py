@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from searchtide.sources.csv_records import records
 from searchtide.sources.parquet_log import list_files, missing_files
 
 CSV = {
@@ -25,19 +26,28 @@ CSV_FILES = "*.csv"
 # A private-use character that ends a line for counting its fields.
 END = "\ue000"
 
-# Rows of one file at most. A file with quoted line breaks is read by one task.
+# Rows of one file at most.
 FILE_ROWS = 1_000_000
 
 
 def _parsed(
     spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
 ) -> DataFrame:
-    """Rows as text, without those that have more fields than the schema.
+    """Rows as text with their ``_file``, without those that have more fields than the schema.
 
     Spark marks longer and shorter lines alike. A shorter one is told by reading
     it again with one field put after it, which then falls into the schema.
     """
-    text = [T.StructField(name, T.StringType()) for name in [*schema.names, "_corrupt"]]
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, "_corrupt"]])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    if multiline:
+        whole = F.from_csv("record", F.lit(text.toDDL()), {**CSV, **options, "header": "false"})
+        rows = records(spark, path, CSV_FILES).select(F.col("file_path").alias("_file"), whole.alias("_row"))
+        rows = rows.select("_file", "_row.*")
+    else:
+        reader = spark.read.options(**CSV, **options, enforceSchema="true", pathGlobFilter=CSV_FILES)
+        rows = reader.schema(text).csv(path)
+        rows = rows.withColumn("_file", F.col("_metadata.file_path"))
     fields = [f"f{i}" for i in range(len(schema))]
     again = F.from_csv(
         F.concat("_corrupt", F.lit(f",{END}")),
@@ -46,20 +56,8 @@ def _parsed(
     )
     shorter = F.array_contains(F.array(*[again[name] for name in fields]), END)
     # Spark wants a second column beside the corrupt one, whatever is selected.
-    same = F.col(schema.names[0]).eqNullSafe(again["f0"])
-    return (
-        spark.read.options(
-            **CSV,
-            multiLine=multiline,
-            enforceSchema="true",
-            pathGlobFilter=CSV_FILES,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord="_corrupt",
-        )
-        .schema(T.StructType(text))
-        .csv(path)
-        .where(F.col("_corrupt").isNull() | (shorter & same))
-    )
+    same = F.col(f"`{schema.names[0]}`").eqNullSafe(again["f0"])
+    return rows.where(F.col("_corrupt").isNull() | (shorter & same))
 
 
 def read_csv(
@@ -70,8 +68,8 @@ def read_csv(
     Lines with too many fields are skipped, missing fields and empty ones are
     null, a value that does not fit its type is null. Only files named ``*.csv``
     right inside the folder are read; a folder without any is an error.
-    ``multiline`` allows line breaks inside quotes, at the price of one task per
-    file, so ``write_csv`` keeps files short.
+    ``multiline`` allows line breaks inside quotes; many tasks read a large file, at
+    the price of a shuffle of its lines (see ``csv_records``).
     """
     if not csv_exists(spark, path):
         raise FileNotFoundError(f"no CSV file in {path}")
@@ -102,12 +100,13 @@ def load_report(
     if not csv_exists(spark, path):
         raise FileNotFoundError(f"no CSV file in {path}")
     name = F.col("_metadata.file_path").alias("file_path")
+    of = F.col("_file").alias("file_path")
     lines = (
         spark.read.option("pathGlobFilter", CSV_FILES).text(path).select(name)
         .groupBy("file_path").agg(F.count("*").alias("lines"))
     )
     parsed = (
-        _parsed(spark, path, schema, multiline).select(name)
+        _parsed(spark, path, schema, multiline).select(of)
         .groupBy("file_path").agg(F.count("*").alias("parsed"))
     )
     rows = F.coalesce("parsed", F.lit(0))

@@ -1,0 +1,95 @@
+"""Records of many splits against Spark's own reader of one task per file."""
+
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from searchtide.sources import csv_records, tables
+from tests.helpers import bag
+
+SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "b", "c")])
+
+
+def one_task(spark, path):
+    """The same table by Spark's reader of whole files."""
+    schema = T.StructType([*SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    options = {**tables.CSV, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    return spark.read.options(**options).schema(schema).csv(path).select(*SCHEMA.names)
+
+
+def quoted(value):
+    return '"' + value.replace('"', '""') + '"'
+
+
+def field(rng, stray):
+    value = "".join(rng.choices(["x", "y", " ", "é", ",", '"', "\n", "\r\n", "\n\n", "z" * 30], k=rng.randint(0, 7)))
+    if rng.random() < 0.5 or any(c in value for c in '",\r\n'):
+        value = quoted(value)
+    if stray and rng.random() < 0.15:
+        value = rng.choice(['x"y', 'x"', '7" tv', 'a""b', "'"])
+    return value
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("stray", [False, True])
+def test_rows_are_those_of_one_task(spark, tmp_path, small_splits, end, stray):
+    rng = random.Random(f"{end}{stray}")
+    for i in range(3):
+        lines = ['a,"b' + ("\n" if i == 1 else "") + '",c']
+        lines += [",".join(field(rng, stray) for _ in range(3)) for _ in range(60)]
+        lines[20:20] = [",,", *[""] * (end == "\n"), '"' + "long\n" * 100 + '",q,r']
+        text = ("\ufeff" if i == 2 else "") + end.join(lines) + (end if i else "")
+        (tmp_path / f"t{i}.csv").write_bytes(text.encode())
+    path = str(tmp_path)
+    assert csv_records._lines(spark, path, "*.csv").rdd.getNumPartitions() > 30
+    found = tables._parsed(spark, path, SCHEMA).select(*SCHEMA.names)
+
+    def plain(df):
+        """Spark's reader takes carriage returns out of some fields and leaves them at the end of others."""
+        return sorted(repr(r).replace("\\r", "").replace("''", "None") for r in bag(df))
+
+    assert plain(found) == plain(one_task(spark, path))
+    assert found.count() > 180
+
+
+def test_a_field_that_is_never_closed(spark, tmp_path, small_splits):
+    (tmp_path / "t.csv").write_text('a,b,c\n1,2,3\n4,"5\n' + "x,y\n" * 100)
+    found = csv_records.records(spark, str(tmp_path)).collect()
+    assert sorted(len(r["record"]) for r in found) == [5, 404]
+
+
+def test_header_only_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c\n")
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text("\n\na,b,c\n\n1,2,3")
+    assert bag(tables.read_csv(spark, str(tmp_path), SCHEMA)) == [("1", "2", "3")]
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = 60_000
+    with open(tmp_path / "t.csv", "w") as file:
+        file.write("a,b,c\n")
+        for i in range(rows):
+            file.write(f'{i},"line one of {i}\nline ""two"", of it",{"w" * (i % 90)}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        lines = csv_records._lines(spark, str(tmp_path), "*.csv")
+        assert lines.rdd.getNumPartitions() > 15
+        found = tables.read_csv(spark, str(tmp_path), SCHEMA)
+        assert found.exceptAll(one_task(spark, str(tmp_path))).count() == 0
+        assert found.count() == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
