@@ -25,14 +25,20 @@ from searchtide.llm.letters import Words, word_marks, words_of
 THRESHOLD = 0.7
 ADDED = "score double, n_exact int, n_misspelled int, n_quoted int"
 
-# Signs that open or close a quotation, and words that report speech.
-QUOTES = "\"'`«»‘’‚“”„‹›"
+# The signs that may close a quotation, by the one that opens it, and
+# words that report speech.
+CLOSING = {
+    '"': '"', "'": "'’", "`": "`'", "«": "»", "»": "«", "‘": "’'", "‚": "‘'", "“": "”\"", "„": "“”\"", "‹": "›", "›": "‹",
+}
+APOSTROPHES = "'’‘`"
 REPORTING = (
     "said says say called calls call wrote writes quoted quote word term told "
     "dit disait appelle mot sagte sagt nannte wort dijo dice llama palabra"
 ).split()
 #: Words before and after a match that are looked at.
 WINDOW = 8
+#: States of an automaton that are kept; beyond, they are worked out anew as needed.
+STATES = 100_000
 
 
 @dataclass
@@ -79,6 +85,11 @@ class Automaton:
         self.classes = np.zeros(0x110000, np.uint16)
         for i, c in enumerate(self.alphabet, 1):
             self.classes[ord(c)] = i
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start again with the first two states."""
+        self.states, self.sets = {}, []
         self.steps = np.full((64, len(self.alphabet) + 1), -1, np.int32)
         self.accepts = np.full((64, 2), -1, np.int32)  # term at the end of a word, beginning passed
         self.distance = np.zeros(64, np.int32)
@@ -134,6 +145,8 @@ class Automaton:
 
     def run(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words that match, the term of each, and its distance; all words in step."""
+        if len(self.sets) > STATES:
+            self._forget()
         length = words.end - words.start
         alive = np.arange(len(length))
         state = np.full(len(length), self.start, np.int32)
@@ -173,7 +186,7 @@ N_FEATURES = 5
 
 
 def _quoted(text_words: Words, at: int) -> bool:
-    """True if a match stands between quotation marks or after a word of reporting."""
+    """True if a match stands between quotation marks that pair, or after reported speech."""
     doc = text_words.doc[at]
     low, high = at, at
     while low > 0 and at - low < WINDOW and text_words.doc[low - 1] == doc:
@@ -182,17 +195,60 @@ def _quoted(text_words: Words, at: int) -> bool:
     while high < last and high - at < WINDOW and text_words.doc[high + 1] == doc:
         high += 1
     codes = text_words.codes
-    before = _text(codes[text_words.start[low] : text_words.start[at]])
-    after = _text(codes[text_words.end[at] : text_words.end[high]])
-    reported = any(
-        _text(codes[text_words.start[i] : text_words.end[i]]) in _REPORTING
-        for i in range(max(low, at - 3), at)
-    )
-    opened = sum(c in QUOTES for c in before) % 2 == 1
-    return reported or (opened and any(c in QUOTES for c in after))
+    # With the signs before the first word and after the last one.
+    begin = text_words.end[low - 1] if low and text_words.doc[low - 1] == doc else text_words.first[doc]
+    stop = text_words.start[high + 1] if high < last else len(codes)
+    if doc + 1 < len(text_words.first):
+        stop = min(stop, text_words.first[doc + 1] - 1)
+    before = _text(codes[begin : text_words.start[at]])
+    after = _text(codes[text_words.end[at] : stop])
+    closing = _opened(before)
+    if closing and any(c in closing for _, c in _marks(after, True)):
+        return True
+    for i in range(max(low, at - 3), at):
+        word = _text(codes[text_words.start[i] : text_words.end[i]])
+        since = _text(codes[text_words.end[i] : text_words.start[at]])
+        # Who reports somebody's words says so by a colon or a mark.
+        if word in _REPORTING and (":" in since or any(c in CLOSING for _, c in _marks(since, False))):
+            return True
+    return False
+
+
+def _marks(text: str, at_end: bool) -> list[tuple[int, str]]:
+    """The quotation marks of a text; an apostrophe between letters is none.
+
+    One at the border of the text is judged by its other side, as a word of the match
+    is there: with ``at_end`` the text follows the match, else it comes before.
+    """
+    found = []
+    for i, c in enumerate(text):
+        if c in _QUOTES:
+            left = text[i - 1].isalnum() if i else at_end
+            right = text[i + 1].isalnum() if i + 1 < len(text) else not at_end
+            if not (c in APOSTROPHES and left and right):
+                found.append((i, c))
+    return found
+
+
+def _opened(before: str) -> str:
+    """The marks that would close the quotation which a text leaves open; empty if none is.
+
+    An apostrophe opens one only before a letter and after none, as in 'so'; after a
+    letter it ends a word or closes what an apostrophe has opened.
+    """
+    closing = ""
+    for i, c in _marks(before, False):
+        after_letter = i > 0 and before[i - 1].isalnum()
+        before_letter = i + 1 == len(before) or before[i + 1].isalnum()
+        if closing:
+            closing = "" if c in closing else closing
+        elif c in CLOSING and (c not in APOSTROPHES or (before_letter and not after_letter)):
+            closing = CLOSING[c]
+    return closing
 
 
 _REPORTING = frozenset(REPORTING)
+_QUOTES = frozenset(CLOSING) | frozenset("".join(CLOSING.values()))
 
 
 def _text(codes: np.ndarray) -> str:

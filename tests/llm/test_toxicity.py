@@ -51,11 +51,56 @@ def test_automaton_matches_what_edit_distance_does():
             assert (term.beginning and term in begun) or d == min(d for d, _ in near), word
 
 
-def test_quotation_and_abuse():
+ABUSE = [
+    "you are an idiot",
+    'he "was" an idiot',
+    "Don't be an idiot, you're worthless",
+    "last term you idiot",
+    "they call you an idiot and it's true",
+    "l'idiot n'a rien, c'est l'autre",
+    "the dogs' idiot owner's here",
+    "rock 'n' roll idiot isn't it",
+    'so "good" an idiot and "bad"',
+    "he said you are an idiot",
+]
+QUOTED = [
+    'she wrote "idiot" there',
+    "someone wrote: idiot",
+    "the 'idiot' of the novel",
+    "er sagte „du idiot“ zu ihm",
+    "il a écrit « idiot » hier",
+    "it’s “idiot” that she said",
+    'he said: "you don\'t know, idiot" and left',
+    "‘an idiot’s tale’ it is",
+]
+
+
+@pytest.mark.parametrize("text", [*ABUSE, *QUOTED])
+def test_quotation_and_abuse(text):
     automaton = toxicity.Automaton([toxicity.Term("idiot", 5.0, False, 1)])
-    texts = ["you are an idiot", 'she wrote "idiot" there', "someone called idiot", 'he "was" an idiot', "you idi0t"]
-    counts = toxicity.features(texts, automaton)[:, toxicity.N_FEATURES :]
-    assert counts.tolist() == [[1, 0, 0], [0, 0, 1], [0, 0, 1], [1, 0, 0], [0, 1, 0]]
+    counts = toxicity.features([text], automaton)[0, toxicity.N_FEATURES :].tolist()
+    assert counts == ([0, 0, 1] if text in QUOTED else [1, 0, 0])
+
+
+def test_misspelled_term():
+    automaton = toxicity.Automaton([toxicity.Term("idiot", 5.0, False, 1)])
+    assert toxicity.features(["you idi0t"], automaton)[0, toxicity.N_FEATURES :].tolist() == [0, 1, 0]
+
+
+def test_states_are_bounded(monkeypatch):
+    """An automaton that forgets its states finds what one that keeps them finds."""
+    rng = random.Random(8)
+    terms = [toxicity.Term("".join(rng.choices("abcde", k=rng.randint(4, 11))), 1.0) for _ in range(60)]
+    terms = [toxicity.Term(t.text, 1.0, False, toxicity.edits_for(t.text)) for t in terms]
+    texts = [" ".join("".join(rng.choices("abcdef", k=rng.randint(2, 12))) for _ in range(200)) for _ in range(30)]
+    kept, forgetful = toxicity.Automaton(terms), toxicity.Automaton(terms)
+    wanted = [toxicity.features([t], kept).tolist() for t in texts]
+    monkeypatch.setattr(toxicity, "STATES", 200)
+    sizes = []
+    for text, row in zip(texts, wanted, strict=True):
+        assert toxicity.features([text], forgetful).tolist() == row
+        sizes.append(len(forgetful.sets))
+    assert max(sizes) < len(kept.sets)
 
 
 def test_fit_stays_finite_where_labels_are_separated():
