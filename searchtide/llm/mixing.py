@@ -88,13 +88,13 @@ def source_weights(
     """Weight, quota and epochs of every source, out of (``key``, ``tokens``).
 
     ``target_entropy`` is a share of the largest possible entropy, the logarithm
-    of the number of sources; ``max_repetition`` a number of epochs. Give one of
-    them, or none for the plain shares. ``budget`` is in tokens, all tokens by
+    of the number of sources; ``max_repetition`` a number of epochs. With both the
+    limit comes first: where the entropy asks for more epochs of some source, the
+    exponent is the least that keeps the limit. With none the weights are the plain
+    shares. ``budget`` is in tokens, all tokens by
     default; ``cover`` raises it until every source is used once in full. Sources
     without tokens have weight 0 and are used once.
     """
-    if target_entropy is not None and max_repetition is not None:
-        raise ValueError("give target_entropy or max_repetition, not both")
     real = sources.where("tokens > 0")
     one = real.agg(
         F.sum("tokens").cast("double").alias("all_tokens"),
@@ -104,10 +104,11 @@ def source_weights(
     )
     logs = F.col("logs")
     wanted = F.lit(float(budget)) if budget is not None else F.col("all_tokens")
+    powers = []
     if target_entropy is not None:
         goal = F.lit(target_entropy) * F.ln(F.size(logs).cast("double"))
-        power = _bisected(logs, lambda a: _entropy(logs, a) >= goal - 1e-12, True)
-    elif max_repetition is not None:
+        powers.append(_bisected(logs, lambda a: _entropy(logs, a) >= goal - 1e-12, True))
+    if max_repetition is not None:
         units = wanted / F.col("all_tokens")
 
         def rarely(power: Column) -> Column:
@@ -116,9 +117,8 @@ def source_weights(
             most = _repetition(logs, power, units)
             return (F.greatest(least, most) if cover else most) <= max_repetition + 1e-12
 
-        power = _bisected(logs, rarely, False)
-    else:
-        power = F.lit(1.0)
+        powers.append(_bisected(logs, rarely, False))
+    power = F.greatest(*powers) if len(powers) > 1 else powers[0] if powers else F.lit(1.0)
     one = one.withColumn("power", power)
     one = one.withColumn("total", _sum(_log_weights(logs, F.col("power"))))
     if cover:
@@ -270,13 +270,14 @@ def apply_mix(docs: DataFrame, mix: Mix) -> DataFrame:
     return uses.select(*plus(uses, "epoch", "block", "block_rank"))
 
 
-def mixed_digest(docs: DataFrame, target_entropy: float = 0.999) -> DataFrame:
+def mixed_digest(docs: DataFrame, target_entropy: float = 0.999, max_repetition: float = 16.0) -> DataFrame:
     """Every use of every document in a mix of as many tokens as there are.
 
+    The limit on epochs keeps a tiny source, such as a misspelt name, from filling the mix.
     The mix of whole documents is written, and the digest taken from its rows.
     """
     tokens = word_count(F.col("text"))
-    mix = plan_mix(docs, tokens, target_entropy=target_entropy)
+    mix = plan_mix(docs, tokens, target_entropy=target_entropy, max_repetition=max_repetition)
     weights = mix.weights.select("key", "weight")
     mixed = stored(apply_mix(docs, mix), "mixed")
     return (

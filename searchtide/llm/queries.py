@@ -128,11 +128,26 @@ WITH RECURSIVE counted AS (
             / list_sum(list_transform(logs, lambda x: exp((low + high) / 2 * x)))
           >= 0.999 * ln(len(logs)) - 1e-12 AS ok
       FROM probe, base WHERE step < 30)
-), chosen AS (
-    SELECT all_tokens, logs, CASE WHEN
+), even AS (
+    SELECT CASE WHEN
         -list_sum(list_transform(logs, lambda x: exp(x) * x)) >= 0.999 * ln(len(logs)) - 1e-12
       THEN 1.0 ELSE low END AS power
     FROM probe, base WHERE step = 30
+), limited AS (
+    SELECT 0 AS step, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high
+    UNION ALL
+    SELECT step + 1,
+      CASE WHEN ok THEN low ELSE (low + high) / 2 END,
+      CASE WHEN ok THEN (low + high) / 2 ELSE high END
+    FROM (
+      SELECT step, low, high, exp(((low + high) / 2 - 1) * list_min(logs))
+          / list_sum(list_transform(logs, lambda x: exp((low + high) / 2 * x))) <= 16 + 1e-12 AS ok
+      FROM limited, base WHERE step < 30)
+), rare AS (
+    SELECT CASE WHEN exp(-list_min(logs)) / len(logs) <= 16 + 1e-12 THEN 0.0 ELSE high END AS power
+    FROM limited, base WHERE step = 30
+), chosen AS (
+    SELECT all_tokens, logs, greatest(even.power, rare.power) AS power FROM base, even, rare
 ), weights AS (
     SELECT key, tokens, exp(power * ln(tokens / all_tokens))
         / list_sum(list_transform(logs, lambda x: exp(power * x))) AS weight,

@@ -50,9 +50,22 @@ def test_repetition_limit(sources, cover):
     assert found["n"][1:] == (0.0, 0, 1, 0)
 
 
-def test_two_goals_are_refused(sources):
-    with pytest.raises(ValueError):
-        mixing.source_weights(sources, 0.5, 2.0)
+def test_the_limit_comes_before_the_entropy(sources):
+    free = weights_of(sources, target_entropy=0.99)
+    wide = weights_of(sources, target_entropy=0.99, max_repetition=1e6)
+    assert wide == free
+    tight = weights_of(sources, target_entropy=0.99, max_repetition=3.0)
+    assert tight == weights_of(sources, max_repetition=3.0) != free
+
+
+def test_a_tiny_source_does_not_fill_the_mix(spark):
+    """A misspelt source of one word is repeated up to the limit and no more."""
+    rows = [(i, "a word " * 20, "one") for i in range(1500)] + [(i, "some words " * 5, "two") for i in range(1500, 2000)]
+    rows.append((2000, "alone", "onee"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mixed_digest(docs).groupBy("source").count().collect()
+    uses = {r["source"]: r["count"] for r in found}
+    assert uses["onee"] <= 17 and sum(uses.values()) < 17 * len(rows)
 
 
 def test_quotas_and_permutations(spark):
