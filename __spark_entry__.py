@@ -316,9 +316,9 @@ def _retries(spark, d):
 
 
 def _text_words(spark, d):
-    """First words of the documents, whose letters have accents, composed and decomposed."""
-    word = F.split_part(F.col("text"), F.lit(" "), F.lit(1))
-    texts = table(spark, d, "documents").where("text IS NOT NULL")
+    """All words of the documents, whose letters have accents, composed and decomposed."""
+    word = F.col("word")
+    texts = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
     loud = F.when(F.col("doc_id") % 3 == 0, F.upper(word)).otherwise(word)
     apart = F.replace(loud, F.lit("é"), F.lit("e\u0301"))
     spelled = F.when(F.col("doc_id") % 2 == 0, apart).otherwise(loud)
@@ -443,9 +443,7 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "doc_id", text.normalize(F.col("text")).alias("keyword")
         ),
         "fold_keyword": lambda s, d: N.fold_keywords(_spelled(s, d)),
-        "fold_accents": lambda s, d: N.fold_keywords(_text_words(s, d)).select(
-            "search_count", "spellings"
-        ),
+        "fold_accents": lambda s, d: N.fold_keywords(_text_words(s, d)),
         "fold_user_counts": lambda s, d: N.fold_counts(_loud_counts(s, d), ["user_id"]),
         "merge_aliases": lambda s, d: N.merge_aliases(
             N.keyword_counts(_log(s, d, "keyword")), _aliases(s, d)
@@ -904,14 +902,16 @@ def _log_sql() -> dict[str, str]:
             ORDER BY user_id NULLS FIRST, datetime NULLS FIRST, keyword NULLS FIRST,
               category NULLS FIRST LIMIT 5""",
         "fold_accents": """WITH words AS (
-              SELECT split_part(text, ' ', 1) AS word, doc_id FROM documents WHERE text IS NOT NULL
+              SELECT unnest(string_split(text, ' ')) AS word, doc_id FROM documents
             ), loud AS (
-              SELECT CASE WHEN doc_id % 3 = 0 THEN upper(word) ELSE word END AS word, doc_id FROM words
+              SELECT CASE WHEN doc_id % 3 = 0 THEN upper(replace(word, 'ß', 'ss')) ELSE word END AS word, doc_id
+              FROM words
             ), spelled AS (
               SELECT CASE WHEN doc_id % 2 = 0 THEN replace(word, 'é', 'e' || chr(769)) ELSE word END
                 AS word, count(*) AS n FROM loud GROUP BY 1
             )
-            SELECT CAST(sum(n) AS BIGINT) AS search_count, count(*) AS spellings FROM spelled
+            SELECT first(word ORDER BY n DESC, word) AS keyword, CAST(sum(n) AS BIGINT) AS search_count,
+              count(*) AS spellings FROM spelled
             GROUP BY replace(strip_accents(nfc_normalize(lower(word))), 'ß', 'ss')""",
         "fold_user_counts": f"""WITH {_PLAIN}, counted AS (
               SELECT user_id, count(*) AS n,

@@ -205,3 +205,14 @@ def test_json_round_trip(spark, tmp_path):
     path = str(tmp_path / "json")
     tables.write_json(spark.createDataFrame(rows, CLASSIFIED), path)
     assert bag(tables.read_json(spark, path, CLASSIFIED)) == sorted(rows, key=repr)
+
+
+def test_inventory_agrees_with_the_file_system(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    found = {r["file_name"]: (r["file_size"], r["size_mb"], r["n_rows"]) for r in parquet_log.file_inventory(spark, folder, "part.parquet").collect()}
+    size = os.stat(f"{folder}/part.parquet").st_size
+    assert found == {"part.parquet": (size, size / 1048576, 200)}
+    listed = {r["file_name"]: r["file_size"] for r in parquet_log.list_files(spark, folder).collect()}
+    assert listed == {n: os.stat(f"{folder}/{n}").st_size for n in os.listdir(folder) if n.endswith(".parquet")}
