@@ -61,11 +61,15 @@ class WordTokenizer:
 
     def _learn(self, words: list[str], pieces: bool) -> dict[str, bytes]:
         """Ids of words, or of pieces that the tokenizer does not cut."""
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4")
+        text = " ".join(words)
         if pieces:
+            # Their ends show in the ids, so no offsets are asked for.
+            (encoded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
         else:
+            encoded = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
             starts = np.fromiter((span[0] for span in encoded.offsets), np.int64, len(ids))
             ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
             cuts = np.searchsorted(starts, ends, side="left") * 4
