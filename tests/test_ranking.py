@@ -50,18 +50,55 @@ def test_heavy_group_is_numbered_across_parts(spark, monkeypatch):
 
 def test_no_part_is_near_a_heavy_group(spark, monkeypatch):
     """The parts of the heavy group are many and even, whatever its keywords begin with."""
-    monkeypatch.setattr(ranking, "PARTS", 16)
+    monkeypatch.setattr(ranking, "STEP", 40)
     counts = spark.createDataFrame(heavy_rows(), SCHEMA).repartition(3)
     numbered = number_rows(counts, T.best_first(), ["user_id"], sample=2)
     heavy = sum(r[0] is None for r in heavy_rows())
     text = plan(numbered)
     assert "_part" in text
     sizes = parts_of(counts, 2)
-    assert len(sizes) == 16 and max(sizes) < 0.2 * heavy
+    assert len(sizes) >= 14 and max(sizes) < 0.2 * heavy
+
+
+def test_borders_in_many_blocks(spark, monkeypatch):
+    """More borders than one array takes: a part for every few rows, still numbered without a gap."""
+    monkeypatch.setattr(ranking, "STEP", 2)
+    monkeypatch.setattr(ranking, "WIDTH", 20)
+    rows = heavy_rows()
+    counts = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert bag(number_rows(counts, T.best_first(), ["user_id"], sample=2)) == brute(rows)
+    sizes = parts_of(counts, 2)
+    assert len(sizes) > 10 * 20 and sum(sizes) == sum(r[0] is None for r in rows)
+
+
+def test_every_heavy_group_is_split(spark, monkeypatch):
+    """However many they are: here 1,500 groups, each with more rows than a part."""
+    monkeypatch.setattr(ranking, "STEP", 2)
+    rows = [(u, f"k{i:02}", i % 7) for u in range(1500) for i in range(12)]
+    counts = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert bag(number_rows(counts, T.best_first(), ["user_id"], sample=1)) == brute(rows)
+    assert len({u for u, _ in parts_by_group(counts, 1)}) == 1500
+
+
+def test_a_long_table_is_sampled_less(spark, monkeypatch):
+    """Borders are bounded by MOST, not by the table; the numbers stay the same."""
+    monkeypatch.setattr(ranking, "STEP", 4)
+    rows = heavy_rows()
+    counts = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    many = len(parts_of(counts, 1))
+    monkeypatch.setattr(ranking, "MOST", 400)
+    few = len(parts_of(counts, 1))
+    assert few < many / 5 and few > 5
+    assert bag(number_rows(counts, T.best_first(), ["user_id"], sample=1)) == brute(rows)
 
 
 def parts_of(counts, sample):
     """Sizes of the heavy group's parts: rows that share a start of their numbers."""
+    return [n for user, n in parts_by_group(counts, sample) if user is None]
+
+
+def parts_by_group(counts, sample):
+    """(group, size) of each part of a group that is split."""
     seen = []
     original = type(counts).withColumn
 
@@ -75,8 +112,8 @@ def parts_of(counts, sample):
         number_rows(counts, T.best_first(), ["user_id"], sample=sample)
     finally:
         type(counts).withColumn = original
-    placed = seen[0].where("_part >= 0").groupBy("_by0", "_part").count()
-    return [r["count"] for r in placed.collect() if r["_by0"] is None]
+    placed = seen[0].where("_part >= 0").groupBy("user_id", "_part").count()
+    return [(r["user_id"], r["count"]) for r in placed.collect()]
 
 
 def test_the_log_is_read_once_for_a_heavy_group(spark, tmp_path):
