@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchtide.llm.common import ship_package
-from searchtide.llm.kdtree import matrix, sharded, usable
+from searchtide.llm.kdtree import matrix, over_shards, sharded, usable
 
 FOUND = "query_id long, vec_id long, score double"
 #: Most numbers in one block of pairwise distances.
@@ -142,45 +142,46 @@ def nearest(
     candidate; ties go to smaller ids. Vectors that are null, empty, zero or hold
     null or non-finite components take no part, nor do pairs of different lengths;
     repeated ids count once. An empty table, or one without queries, gives no rows.
+    ``queries`` may use vec_id and embedding; other columns are left aside. Queries
+    stream past a shard's graph, so a task holds one shard and a batch of queries.
     """
     ship_package(embeddings.sparkSession)
     vector = F.col("embedding")
     ok = usable(vector) & F.exists(vector, lambda x: x != 0)
     vectors, n_shards = sharded(embeddings, shard_rows, ok)
-    asked = vectors.where(queries).select(
-        "vec_id", "embedding", "dim", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard")
-    )
+    shards = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
+    asked = vectors.where(queries).select("vec_id", "embedding", "dim", shards.alias("shard"))
+
+    def index(stock: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], Graph]:
+        points, ids = _within(stock)
+        return points, ids, Graph(points, degree, build_beam, alpha)
 
-    def searched(key, stock: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+    def answer(made: tuple[np.ndarray, list[np.ndarray], Graph], asks: pd.DataFrame) -> pd.DataFrame:
+        points, ids, graph = made
         found: list[pd.DataFrame] = []
-        if len(stock) and len(asks):
-            points, ids = _within(stock)
-            graph = Graph(points, degree, build_beam, alpha)
-            targets = matrix(asks["embedding"])
-            for start in range(0, len(asks), block):
-                part = targets[start : start + block]
-                near, _ = graph.beam_search(part.astype(graph.points.dtype), max(beam, k + 1))
-                asking = asks["vec_id"].iloc[start : start + block]
-                for row, (query, some) in enumerate(zip(asking, near, strict=True)):
-                    some = some[some >= 0]
-                    away = np.sqrt(((points[some] - part[row]) ** 2).sum(axis=1))
-                    few = [ids[node][: k + 1] for node in some]
-                    table = pd.DataFrame(
-                        {
-                            "query_id": query,
-                            "vec_id": np.concatenate(few),
-                            "score": np.repeat(away, [len(x) for x in few]),
-                        }
-                    )
-                    table = table[table["vec_id"] != query]
-                    found.append(table.sort_values(["score", "vec_id"]).head(k))
-        return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "vec_id", "score"])
+        targets = matrix(asks["embedding"])
+        for start in range(0, len(asks), block):
+            part = targets[start : start + block]
+            near, _ = graph.beam_search(part.astype(graph.points.dtype), max(beam, k + 1))
+            asking = asks["vec_id"].iloc[start : start + block]
+            for row, (query, some) in enumerate(zip(asking, near, strict=True)):
+                some = some[some >= 0]
+                away = np.sqrt(((points[some] - part[row]) ** 2).sum(axis=1))
+                few = [ids[node][: k + 1] for node in some]
+                table = pd.DataFrame(
+                    {
+                        "query_id": query,
+                        "vec_id": np.concatenate(few),
+                        "score": np.repeat(away, [len(x) for x in few]),
+                    }
+                )
+                table = table[table["vec_id"] != query]
+                found.append(table.sort_values(["score", "vec_id"]).head(k))
+        return pd.concat(found)
 
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        vectors.groupBy("dim", "shard")
-        .cogroup(asked.groupBy("dim", "shard"))
-        .applyInPandas(searched, FOUND)
+        over_shards(vectors, asked, n_shards, index, answer, FOUND)
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

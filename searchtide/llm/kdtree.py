@@ -9,7 +9,9 @@ searches its own shard; the k-th score found there goes with it to all others.
 
 import heapq
 import math
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from searchtide.llm.common import ship_package, stored
 
 FOUND = "query_id long, vec_id long, score long"
 LONG = 2**63
+#: Inner products below it are exact in doubles.
+EXACT = 2**52
 
 
 def usable(embedding: Column) -> Column:
@@ -59,11 +63,52 @@ def as_integers(vectors: np.ndarray) -> np.ndarray:
     """floor(1024 x). As floats while every inner product is exact, else as integers."""
     whole = np.floor(vectors * 1024.0)
     largest = float(np.abs(whole).max(initial=0.0))
-    if largest**2 * vectors.shape[1] < 2**52:
+    if largest**2 * vectors.shape[1] < EXACT:
         return whole
+    return _integers(whole)
+
+
+def _integers(whole: np.ndarray) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in whole], dtype=object)
 
 
+def over_shards(
+    vectors: DataFrame,
+    asked: DataFrame,
+    n_shards: int,
+    index: Callable[[pd.DataFrame], Any],
+    answer: Callable[[Any, pd.DataFrame], pd.DataFrame],
+    found: str,
+) -> DataFrame:
+    """What ``answer`` gives for the index of each shard and the queries sent there.
+
+    Both tables have the same columns, ``dim`` and ``shard`` among them. A shard's
+    rows come to one task sorted, its vectors before its queries: the vectors, of
+    bounded number, become an index once, and the queries stream past it in batches,
+    however many they are. Queries for a shard without vectors of their length find
+    nothing.
+    """
+    both = vectors.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
+    # The number of tasks is given, as little data may be much work.
+    rows = both.repartition(n_shards, "dim", "shard").sortWithinPartitions("dim", "shard", "asks")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, stock, made = None, [], None
+        for batch in batches:
+            for (dim, shard, asks), part in batch.groupby(["dim", "shard", "asks"], sort=True):
+                if (dim, shard) != here:
+                    here, stock, made = (dim, shard), [], None
+                if not asks:
+                    stock.append(part)
+                    continue
+                if stock:
+                    made, stock = index(pd.concat(stock)), []
+                if made is not None:
+                    yield answer(made, part)
+
+    return rows.mapInPandas(run, found)
+
+
 @dataclass
 class Tree:
     points: np.ndarray  # in the order of the leaves
@@ -74,6 +119,11 @@ class Tree:
     children: list[tuple[int, int] | None]
     spans: list[tuple[int, int]]
 
+    def in_integers(self) -> "Tree":
+        """The same tree with whole numbers of any size instead of doubles."""
+        points, low, high = _integers(self.points), _integers(self.low), _integers(self.high)
+        return replace(self, points=points, low=low, high=high)
+
 
 def build(points: np.ndarray, ids: np.ndarray, leaf_size: int = 64) -> Tree:
     order = np.arange(len(points))
@@ -161,57 +211,59 @@ def top_k(
     query's own id is no candidate; ties go to smaller ids. Null vectors, empty
     ones and those with null or non-finite components take no part, nor do pairs
     of different lengths; repeated ids count once. A score beyond a long is cut to
-    it. An empty table, or one without queries, gives no rows.
+    it. An empty table, or one without queries, gives no rows. ``queries`` may use
+    vec_id and embedding; other columns are left aside. Queries stream past a shard's
+    tree, so a task holds one shard and a batch of queries.
     """
     ship_package(embeddings.sparkSession)
     vectors, n_shards = sharded(embeddings, shard_rows, usable(F.col("embedding")))
-    # Other names, as queries and points come from one table.
-    asked = vectors.where(queries).select(
-        F.col("vec_id").alias("query_id"),
-        F.col("embedding").alias("query"),
-        F.col("dim").alias("query_dim"),
-        F.col("shard").alias("query_shard"),
-        F.lit(None).cast("long").alias("floor"),
-    )
+    # No null among them: a column of whole numbers with nulls would come as doubles.
+    vectors = vectors.withColumn("floor", F.lit(-LONG).cast("long"))
+    asked = vectors.where(queries)
 
-    def searched(key, points: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+    def index(points: pd.DataFrame) -> list[Tree | None]:
+        """The tree in doubles, and room for the same in integers."""
+        whole = np.floor(matrix(points["embedding"]) * 1024.0)
+        return [build(whole, points["vec_id"].to_numpy(), leaf_size), None]
+
+    def answer(trees: list[Tree | None], asks: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple[int, int, int]] = []
-        if len(points) and len(asks):
-            both = as_integers(matrix(pd.concat([points["embedding"], asks["query"]])))
-            cut = len(points)
-            tree = build(both[:cut], points["vec_id"].to_numpy(), leaf_size)
-            for start in range(0, len(asks), block):
-                part = asks.iloc[start : start + block]
-                vecs = both[cut + start : cut + start + len(part)]
-                reach = bounds(tree, vecs)
-                for i, (query, floor) in enumerate(zip(part["query_id"], part["floor"], strict=True)):
-                    least = None if pd.isna(floor) else int(floor)
-                    for score, vec_id in search(tree, vecs[i], reach[i], k, least, query):
-                        rows.append((query, vec_id, min(max(int(score), -LONG), LONG - 1)))
+        whole = np.floor(matrix(asks["embedding"]) * 1024.0)
+        reach = np.abs(whole).max(axis=1) * max(float(np.abs(trees[0].points).max()), 1.0) * whole.shape[1]
+        ids, floors = asks["vec_id"].to_numpy(), asks["floor"].to_numpy()
+        for exact in (True, False):
+            some = np.flatnonzero((reach < EXACT) == exact)
+            if not exact and len(some) and trees[1] is None:
+                trees[1] = trees[0].in_integers()
+            for start in range(0, len(some), block):
+                part = some[start : start + block]
+                tree, vecs = (trees[0], whole[part]) if exact else (trees[1], _integers(whole[part]))
+                for i, vec, boxes in zip(part.tolist(), vecs, bounds(tree, vecs), strict=True):
+                    least = None if floors[i] == -LONG else int(floors[i])
+                    for score, vec_id in search(tree, vec, boxes, k, least, ids[i]):
+                        rows.append((ids[i], vec_id, min(max(int(score), -LONG), LONG - 1)))
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
-    def wave(asks: DataFrame) -> DataFrame:
-        return (
-            vectors.groupBy("dim", "shard")
-            .cogroup(asks.groupBy("query_dim", "query_shard"))
-            .applyInPandas(searched, FOUND)
-        )
-
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    home = stored(wave(asked), "home")
+    home = stored(over_shards(vectors, asked, n_shards, index, answer, FOUND), "home")
     kth = (
         home.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") == k)
         # A cut score is no safe bound.
-        .select("query_id", F.when(F.abs("score") < F.lit(2**62), F.col("score")).alias("floor"))
+        .where(F.abs("score") < F.lit(2**62))
+        .select("query_id", F.col("score").alias("kth"))
     )
-    others = F.array_except(F.sequence(F.lit(0), F.lit(n_shards - 1)), F.array("query_shard"))
-    away = (
-        asked.drop("floor")
-        .join(kth, "query_id", "left")
-        .select("query_id", "query", "query_dim", F.explode(others).alias("query_shard"), "floor")
+    others = F.array_except(F.sequence(F.lit(0), F.lit(n_shards - 1)), F.array("shard"))
+    away = asked.join(kth, F.col("vec_id") == F.col("query_id"), "left").select(
+        "vec_id",
+        "embedding",
+        "dim",
+        F.explode(others).alias("shard"),
+        F.coalesce("kth", "floor").alias("floor"),
     )
-    found = home.unionByName(wave(away)) if n_shards > 1 else home
+    found = home
+    if n_shards > 1:
+        found = home.unionByName(over_shards(vectors, away, n_shards, index, answer, FOUND))
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

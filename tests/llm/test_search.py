@@ -57,6 +57,57 @@ def test_numbers_beyond_floats_stay_exact():
     assert (whole @ whole[0])[1] - (whole @ whole[0])[0] == 1024 * 1024
 
 
+def brute_scores(points, ids, asked, k=10):
+    """Scores in integers of any size."""
+    whole = [[int(np.floor(x * 1024.0)) for x in p] for p in points]
+    wanted = []
+    for i in asked:
+        scores = [(-sum(a * b for a, b in zip(whole[i], w, strict=True)), j) for j, w in zip(ids, whole, strict=True)]
+        best = sorted(s for s in scores if s[1] != ids[i])[:k]
+        wanted += [(ids[i], rank, j, -minus) for rank, (minus, j) in enumerate(best, 1)]
+    return sorted(wanted, key=repr)
+
+
+def test_large_queries_and_large_points_are_exact(spark):
+    """A query beyond what doubles hold exactly, among shards that are small, and the other way round."""
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(90, 6))
+    points[[0, 10, 33]] *= 2.0**18
+    points[20] *= 1e-3
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = kdtree.top_k(table, ASKED, shard_rows=16, leaf_size=4)
+    assert bag(found, "query_id", "rank", "vec_id", "score") == brute_scores(points, range(90), range(0, 90, 10))
+
+
+def test_queries_stream_past_a_shard_in_batches(spark, vectors):
+    """Small batches split vectors and queries of a shard anywhere; the results stay the same."""
+    exact = bag(kdtree.top_k(vectors, ASKED, shard_rows=128, leaf_size=8))
+    near = bag(graph.nearest(vectors, ASKED, shard_rows=128))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        assert bag(kdtree.top_k(vectors, ASKED, shard_rows=128, leaf_size=8)) == exact
+        assert bag(graph.nearest(vectors, ASKED, shard_rows=128)) == near
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_other_columns_and_lengths(spark):
+    """Clashing names are left aside; vectors of another length are searched among their own."""
+    rng = np.random.default_rng(5)
+    points = [[float(x) for x in rng.normal(size=3 if i % 2 else 4)] for i in range(60)]
+    rows = [(i, p, "a", 1, 2.0, False) for i, p in enumerate(points)]
+    wide = "vec_id long, embedding array<double>, shard string, dim int, floor double, asks boolean"
+    table = spark.createDataFrame(rows, wide)
+    plain = table.select("vec_id", "embedding")
+    for search in (kdtree.top_k, graph.nearest):
+        found = search(table, ASKED, shard_rows=16)
+        assert bag(found) == bag(search(plain, ASKED, shard_rows=16))
+        assert {(q % 2, v % 2) for q, v in tuples(found, "query_id", "vec_id")} == {(0, 0)}
+
+
 def test_recall_and_distances(vectors):
     ids, points = points_of(vectors)
     found = graph.nearest(vectors, ASKED, shard_rows=256)
