@@ -1,6 +1,8 @@
 """Helpers shared by the corpus operators."""
 
 import atexit
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
@@ -104,6 +106,13 @@ def text_groups(
                 start, size, texts = i + 1, 0, []
 
 
+def give_back() -> None:
+    """Return freed memory to the system at a task's end, as the next tasks use the same worker."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # Other C libraries have no such call.
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_text_columns(
     df: DataFrame,
     compute: Callable[[list[str]], list[list]],
@@ -131,7 +140,9 @@ def with_text_columns(
         for own, texts in text_groups(batches, at, chars):
             found = compute(texts)
             values = [pa.array(v, f.type) for v, f in zip(found, kinds, strict=True)]
+            del found, texts
             yield pa.RecordBatch.from_arrays([*own.columns, *values], schema.names)
+        give_back()
 
     return kept.mapInArrow(run, schema)
 
