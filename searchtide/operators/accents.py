@@ -5,16 +5,20 @@ words follow each other. A keyword is a chain of such choices, and the most like
 chain is found by a Viterbi search over bigrams.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchtide.functions.text import unaccent
 from searchtide.operators.counts import roll_up
-from searchtide.operators.segments import COST, tokens
+from searchtide.operators.segments import COST
+from searchtide.session import scratch_path
 
 #: Weight of a word's own share against that of the pair it is in.
 SMOOTH = 2
 
+#: Hashes by which what is found goes back to its keyword; few bits make few bytes to shuffle.
+KEYS = 2**40
+
 _STATE = "array<struct<word: string, cost: bigint, words: array<string>>>"
 
 
@@ -22,50 +26,67 @@ def is_accented(text: Column) -> Column:
     return text != unaccent(text)
 
 
-def _followers(words: DataFrame) -> DataFrame:
-    """Words with the word before them in their keyword, ``before``; null for the first."""
-    before = F.lag("word").over(Window.partitionBy("keyword").orderBy("at"))
-    return words.withColumn("before", before)
+def _steps(words: Column) -> Column:
+    """(before, word) for each of an array of words; the empty word is before the first."""
+    return F.transform(
+        words, lambda w, i: F.struct(F.coalesce(F.get(words, i - 1), F.lit("")).alias("before"), w.alias("word"))
+    )
 
 
-def _choices(words: DataFrame, known: DataFrame) -> DataFrame:
-    """(word, choice): what each word may stand for; the word itself if nothing is known.
+def _choices(known: DataFrame, begins: Column) -> DataFrame:
+    """(word, choices): what a word may stand for, with its searches and their share, in order.
 
-    A word with accents stands for itself.
+    Known words and plain forms of known words are here; any other word stands for
+    itself. A word with accents stands for itself too. A keyword's beginning is a word
+    of its own, the empty one.
     """
-    plain = words.select("word").distinct().withColumn("plain", unaccent(F.col("word")))
-    own = known.select(F.col("word").alias("choice"), unaccent(F.col("word")).alias("plain_choice"))
-    same = (F.col("plain") == F.col("plain_choice")) & (F.col("word") == F.col("plain"))
-    return plain.join(own, same, "left").select("word", F.coalesce("choice", "word").alias("choice"))
-
-
-def _costs(words: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(before, word, edges): the cost of every pair of choices of two words in a row."""
-    choices = _choices(words, known)
-    starts = words.where("before IS NULL").select("word").distinct()
-    first = starts.join(choices, "word").select(
-        F.lit(None).cast("string").alias("before"), "word", F.lit("").alias("first"), F.col("choice").alias("second")
-    )
-    rows = words.where("before IS NOT NULL").select("before", "word").distinct()
-    left = choices.select(F.col("word").alias("before"), F.col("choice").alias("first"))
-    right = choices.select("word", F.col("choice").alias("second"))
-    both = rows.join(left, "before").join(right, "word").select("before", "word", "first", "second")
     total = known.agg(F.sum("n").cast("double")).scalar()
-    # A keyword's beginning is a word of its own, the empty one.
-    begins = pairs.where("first = ''").groupBy("first").agg(F.sum("together").alias("n"))
-    single = known.select("word", "n").unionByName(begins.select(F.col("first").alias("word"), "n"))
-    share = F.coalesce(F.col("n_second"), F.lit(0)).cast("double") / total
-    likely = (F.coalesce("together", F.lit(0)) + SMOOTH * share) / (F.coalesce("n_first", F.lit(0)) + SMOOTH)
-    priced = (
-        both.unionByName(first)
-        .join(pairs, ["first", "second"], "left")
-        .join(single.select(F.col("word").alias("first"), F.col("n").alias("n_first")), "first", "left")
-        .join(known.select(F.col("word").alias("second"), F.col("n").alias("n_second")), "second", "left")
-        # What is not known has no choice beside it, so any cost will do.
-        .withColumn("cost", F.when(likely > 0, F.floor(-COST * F.log(likely))).otherwise(0))
+    shares = known.withColumn("share", F.coalesce(F.col("n"), F.lit(0)).cast("double") / total)
+    choice = F.struct(F.col("word").alias("choice"), "n", "share")
+    plain = shares.withColumn("plain", unaccent(F.col("word")))
+    forms = plain.groupBy("plain").agg(F.sort_array(F.collect_list(choice)).alias("choices"))
+    forms = forms.where(~is_accented(F.col("plain"))).select(F.col("plain").alias("word"), "choices")
+    own = shares.where(is_accented(F.col("word"))).select("word", F.array(choice).alias("choices"))
+    # One row, or none where nothing is known.
+    first = known.agg(F.count("*").alias("words")).where("words > 0").select(
+        F.lit("").alias("word"), F.array(_alone(F.lit(""), begins)).alias("choices")
     )
-    edge = F.struct("first", "second", F.col("cost").cast("long").alias("cost"))
-    return priced.groupBy("before", "word").agg(F.collect_list(edge).alias("edges"))
+    return forms.unionByName(own).unionByName(first)
+
+
+def _alone(word: Column, n: Column) -> Column:
+    return F.struct(word.alias("choice"), n.alias("n"), F.lit(0.0).alias("share"))
+
+
+def _costs(asked: DataFrame, choices: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(before, word, costs): the cost of every pair of choices of two words in a row, in order."""
+
+    def of(word: str) -> Column:
+        alone = F.array(_alone(F.col(word), F.lit(0).cast("long")))
+        return F.coalesce("choices", alone).alias(f"of_{word}")
+
+    # Choices are told from their words by accents alone, so their pairs have one plain form.
+    seen = pairs.groupBy(unaccent(F.col("first")).alias("plain_first"), unaccent(F.col("second")).alias("plain_second")).agg(
+        F.collect_list(F.struct("first", "second", "together")).alias("seen")
+    )
+    plain = (F.col("plain_first") == unaccent(F.col("before"))) & (F.col("plain_second") == unaccent(F.col("word")))
+    both = (
+        asked.join(choices.withColumnRenamed("word", "before"), "before", "left")
+        .select("before", "word", of("before"))
+        .join(choices, "word", "left")
+        .select("before", "word", "of_before", of("word"))
+        .join(seen, plain, "left")
+    )
+
+    def cost(a: Column, b: Column) -> Column:
+        own = F.filter("seen", lambda s: (s["first"] == a["choice"]) & (s["second"] == b["choice"]))
+        together = F.coalesce(F.get(own, F.lit(0))["together"], F.lit(0))
+        likely = (together + SMOOTH * b["share"]) / (F.coalesce(a["n"], F.lit(0)) + SMOOTH)
+        # What is not known has no choice beside it, so any cost will do.
+        return F.when(likely > 0, F.floor(-COST * F.log(likely))).otherwise(0).cast("long")
+
+    costs = F.flatten(F.transform("of_before", lambda a: F.transform("of_word", lambda b: cost(a, b))))
+    return both.select("before", "word", costs.alias("costs"))
 
 
 def _cheapest(steps: Column) -> Column:
@@ -113,23 +134,88 @@ def restore_accents(counts: DataFrame) -> DataFrame:
     learned from. Words that none of them has stay as they are, as do words with
     accents; of chains that cost the same the first in order wins. Words are parted by
     blanks, which become single ones. Null, empty and blank keywords stay.
+
+    The distinct keywords are stored once, below the session's checkpoint folder, and
+    read from there. Every word is looked up among those that change or have a choice;
+    costs are worked out only for two words in a row of which one has a choice, as all
+    others are the same in every chain. What is found goes back to its keyword by a hash
+    of it. It depends on the words alone, so keywords of the same hash may share it.
     """
-    words = _followers(tokens(counts))
-    accented = words.where(is_accented(F.col("keyword")))
-    known = accented.groupBy("word").agg(F.sum("search_count").alias("n"))
-    pairs = accented.groupBy(F.coalesce("before", F.lit("")).alias("first"), F.col("word").alias("second")).agg(
-        F.sum("search_count").alias("together")
+    path = scratch_path(counts.sparkSession, "keywords")
+    rolled = roll_up(counts, ["keyword"])
+    rolled.write.parquet(path)
+    kept = counts.sparkSession.read.schema(rolled.schema).parquet(path).withColumn("key", F.coalesce(F.pmod(F.xxhash64("keyword"), F.lit(KEYS)), F.lit(0)))
+    split = F.filter(F.split("keyword", " +"), lambda w: w != "")
+
+    accented = kept.where(is_accented(F.col("keyword"))).withColumn("words", split)
+    pairs = (
+        accented.select("search_count", F.inline(_steps(F.col("words"))))
+        .groupBy(F.col("before").alias("first"), F.col("word").alias("second"))
+        .agg(F.sum("search_count").alias("together"))
+    )
+    known = pairs.groupBy(F.col("second").alias("word")).agg(F.sum("together").alias("n"))
+    choices = _choices(known, pairs.where("first = ''").agg(F.sum("together")).scalar())
+    names = F.col("choices")["choice"]
+    changed = choices.where(names != F.array("word")).select("word", names.alias("options"))
+    found = (
+        kept.select("key", F.explode(F.array_distinct(split)).alias("word"))
+        .join(changed, "word")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("word", "options")).alias("found"))
+    )
+
+    def options(word: Column) -> Column:
+        return F.coalesce(F.get(F.filter("found", lambda f: f["word"] == word), F.lit(0))["options"], F.array(word))
+
+    near = kept.join(found, "key", "left").withColumn("words", split)
+    near = near.withColumn("options", F.transform("words", options))
+    begin = F.array(F.lit(""))
+    open_ = F.exists("options", lambda o: F.size(o) > 1)
+    chosen = F.transform(
+        _steps(F.col("words")),
+        lambda s, i: F.struct(
+            s["before"].alias("before"),
+            s["word"].alias("word"),
+            F.when(i == 0, begin).otherwise(F.get("options", i - 1)).alias("firsts"),
+            F.get("options", i).alias("seconds"),
+        ),
+    )
+    asked = F.array_distinct(
+        F.transform(
+            F.filter(chosen, lambda c: (F.size(c["firsts"]) > 1) | (F.size(c["seconds"]) > 1)),
+            lambda c: F.struct(c["before"].alias("before"), c["word"].alias("word")),
+        )
     )
-    costs = _costs(words, known, pairs)
-    same = words["word"].eqNullSafe(costs["word"]) & words["before"].eqNullSafe(costs["before"])
-    steps = words.join(costs, same).select("keyword", "at", "edges")
-    chained = (
-        steps.groupBy("keyword")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "edges"))).alias("all"))
-        .select("keyword", F.array_join(_cheapest(F.col("all")["edges"]), " ").alias("restored"))
+    # Both ask for all columns, so that the shuffle of the keywords is that of the last join.
+    none = F.coalesce(F.pmod(F.xxhash64("search_count"), F.lit(1)), F.lit(0))
+    spots = near.where(open_).select((F.col("key") + none).alias("key"), F.inline(asked))
+    each = spots.select("before", "word", F.pmod("key", F.lit(1)).alias("none")).distinct()
+    costs = _costs(each, choices, pairs)
+    priced = (
+        spots.join(costs, ["before", "word"])
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("before", "word", "costs")).alias("priced"))
     )
-    return (
-        roll_up(counts, ["keyword"])
-        .join(chained, "keyword", "left")
-        .select("keyword", "search_count", F.coalesce("restored", "keyword").alias("restored"))
+
+    def edges(step: Column) -> Column:
+        """Every pair of choices with its cost; the only pair where there is no choice."""
+        own = F.filter("priced", lambda p: (p["before"] == step["before"]) & (p["word"] == step["word"]))
+        crossed = F.flatten(
+            F.transform(
+                step["firsts"],
+                lambda a: F.transform(step["seconds"], lambda b: F.struct(a.alias("first"), b.alias("second"))),
+            )
+        )
+        cost = F.get(own, F.lit(0))["costs"]
+        return F.transform(
+            crossed,
+            lambda e, i: F.struct(
+                e["first"].alias("first"), e["second"].alias("second"), F.coalesce(F.get(cost, i), F.lit(0)).alias("cost")
+            ),
+        )
+
+    best = F.when(open_, _cheapest(F.transform(chosen, edges))).otherwise(F.transform("options", lambda o: o[0]))
+    restored = F.when(F.size("words") > 0, F.array_join(best, " ")).otherwise(F.col("keyword"))
+    return near.join(priced, "key", "left").select(
+        "keyword", "search_count", F.coalesce(restored, "keyword").alias("restored")
     )

@@ -190,6 +190,20 @@ def test_accents_are_those_of_the_best_of_all_chains(spark):
     assert wanted["zzz da"].startswith("zzz ")
 
 
+def test_accents_shuffle_words_without_their_keywords(spark, monkeypatch):
+    """The counts are worked out once, words travel by a hash, and keywords may share one."""
+    rng = random.Random(6)
+    words = ["da", "dà", "dá", "ba", "bà", "mo", "xu", "ø", "ǿ"]
+    rows = [(" ".join(rng.choices(words, k=rng.randint(1, 5))), rng.randint(1, 9)) for _ in range(80)]
+    counts = spark.createDataFrame([*rows, ("da ba da ba", 1), (None, 2), ("  ", 1), (" da  ba", 3)], COUNTS)
+    found = accents.restore_accents(counts)
+    shown = plan(found)
+    assert "Window" not in shown and "Scan ExistingRDD" not in shown
+    monkeypatch.setattr(accents, "KEYS", 1)
+    assert bag(accents.restore_accents(counts)) == bag(found)
+    assert bag(found.where("keyword IS NULL OR trim(keyword) = ''")) == sorted([("  ", 1, "  "), (None, 2, None)], key=repr)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_lost_accents_come_back(spark):
     """Runs of six words of a third of the texts, learned from the others and from them."""
