@@ -5,7 +5,8 @@ it starts inside a quoted field, so a line is a function of two states: it keeps
 state, turns it, or sets it whatever it was. Such functions put together make the
 function of a split, and those of the splits before tell in which state a split
 starts. Then every split knows where its first record begins, and lines of one record
-are put together.
+are put together. A split that starts outside and in which no line leaves a field open
+has one record to a line, so its lines are neither shuffled nor sorted.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,18 +75,27 @@ def records(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame
     lines = _lines(spark, path, pattern)
     where = ["file_path", "block"]
     empty = F.col("value").isin("", "\r")
-    unknown = _with_state(lines.drop("value"), where, "at", F.lit(False))
+    splits = lines.groupBy(*where).agg(
+        F.bool_or(F.coalesce("sets", F.col("turn") == 1)).alias("opens"),
+        F.bool_or(F.col("sets").isNotNull()).alias("closes"),
+        F.count_if(~empty).alias("filled"),
+        F.min(F.when(~empty, F.col("at"))).alias("first"),
+    )
+    # The splits of a file are few and small beside its lines, so they are the side to broadcast.
+    opening = F.broadcast(splits.where("opens").select(*where))
+    effects = lines.where("sets IS NOT NULL OR turn = 1").drop("value").join(opening, where)
     last = F.max_by(F.struct("set_to", "turns"), "at")
-    blocks = unknown.groupBy(*where).agg(last.alias("last")).select(
-        *where,
-        _turned(F.col("last.set_to"), F.col("last.turns")).alias("sets"),
-        F.when(F.col("last.set_to").isNull(), F.col("last.turns") % 2).otherwise(0).alias("turn"),
+    ends = _with_state(effects, where, "at", F.lit(False)).groupBy(*where).agg(last.alias("last"))
+    left = F.when(F.col("opens"), _turned(F.col("last.set_to"), F.col("last.turns"))).when(F.col("closes"), False)
+    turned = F.when(F.col("opens") & F.col("last.set_to").isNull(), F.col("last.turns") % 2).otherwise(0)
+    blocks = splits.join(ends, where, "left").select(
+        *where, "opens", "filled", "first", left.alias("sets"), turned.alias("turn")
     )
     started = _with_state(blocks, ["file_path"], "block", F.lit(False)).select(
-        *where, F.col("inside").alias("open")
+        *where, "filled", "first", F.col("inside").alias("open"), (F.col("opens") | F.col("inside")).alias("mixed")
     )
-    # The splits of a file are few and small beside its lines, so this side is the one to broadcast.
-    placed = _with_state(lines.join(started, where), where, "at", F.col("open"))
+    mixed = F.broadcast(started.where("mixed").select(*where, "open"))
+    placed = _with_state(lines.join(mixed, where), where, "at", F.col("open"))
     after = F.coalesce(F.col("sets"), _turned(F.col("inside"), F.col("turn")))
     begins = (~F.col("inside") & ~empty).cast("int")
     in_order = Window.partitionBy(*where).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,7 +105,12 @@ def records(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame
         .where(F.col("inside") | ~empty)
     )
     one = ~F.col("inside") & ~F.col("after")
-    counted = numbered.groupBy(*where).agg(F.max("number").alias("most"))
+    plain = started.where(~F.col("mixed"))
+    counted = (
+        numbered.groupBy(*where)
+        .agg(F.max("number").alias("most"))
+        .unionByName(plain.select(*where, F.col("filled").alias("most")))
+    )
     upto = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begun = F.when(F.col("most") > 0, F.struct(F.col("block").alias("block"), F.col("most").alias("number")))
     owners = counted.select(
@@ -120,5 +135,12 @@ def records(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame
         .where(~(F.col("at_start") & (F.col("of.number") == 1)))
         .select("file_path", F.array_join(F.col("lines")["value"], "\n").alias("record"))
     )
-    both = alone.unionByName(together)
-    return both.select("file_path", F.regexp_replace("record", "\r$", "").alias("record"))
+    heads = F.broadcast(plain.join(owners, where).select(*where, "first", "is_first"))
+    single = (
+        lines.where(~empty)
+        .join(heads, where)
+        .where(~(F.col("is_first") & (F.col("at") == F.col("first"))))
+        .select("file_path", F.col("value").alias("record"))
+    )
+    every = single.unionByName(alone).unionByName(together)
+    return every.select("file_path", F.regexp_replace("record", "\r$", "").alias("record"))

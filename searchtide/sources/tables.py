@@ -68,8 +68,8 @@ def read_csv(
     Lines with too many fields are skipped, missing fields and empty ones are
     null, a value that does not fit its type is null. Only files named ``*.csv``
     right inside the folder are read; a folder without any is an error.
-    ``multiline`` allows line breaks inside quotes; many tasks read a large file, at
-    the price of a shuffle of its lines (see ``csv_records``).
+    ``multiline`` allows line breaks inside quotes; many tasks read a large file, and
+    the lines of splits in which there are such breaks are shuffled (see ``csv_records``).
     """
     if not csv_exists(spark, path):
         raise FileNotFoundError(f"no CSV file in {path}")

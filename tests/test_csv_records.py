@@ -64,6 +64,26 @@ def test_rows_are_those_of_one_task(spark, tmp_path, small_splits, end, stray):
     assert found.count() > 180
 
 
+@pytest.mark.parametrize("broken", [False, True])
+def test_lines_without_open_fields_are_not_sorted(spark, tmp_path, monkeypatch, small_splits, broken):
+    """Only lines of splits in which a field is left open are put in order, quoted ones or not."""
+    lines = ["a,b,c", "", *[f'{i},"x, ""{i}""",z' for i in range(300)], "", "1,,"]
+    lines[200:200] = ['7,"over\nlines",9'] * broken
+    (tmp_path / "t.csv").write_text("\n".join(lines))
+    (tmp_path / "u.csv").write_text("\n\r\na,b,c\n")
+    ordered, real = [], csv_records._with_state
+
+    def counting(rows, within, order, start):
+        if order == "at":
+            ordered.append(rows.count())
+        return real(rows, within, order, start)
+
+    monkeypatch.setattr(csv_records, "_with_state", counting)
+    found = csv_records.records(spark, str(tmp_path))
+    assert sorted(r["record"] for r in found.collect()) == sorted(line for line in lines[1:] if line)
+    assert len(ordered) == 2 and max(ordered) < 20 and (min(ordered) > 0) == broken
+
+
 def test_a_field_that_is_never_closed(spark, tmp_path, small_splits):
     (tmp_path / "t.csv").write_text('a,b,c\n1,2,3\n4,"5\n' + "x,y\n" * 100)
     found = csv_records.records(spark, str(tmp_path)).collect()
