@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import ship_package, spare_prefix, stored, text_groups, whole
+from searchtide.llm.common import give_back, ship_package, spare_prefix, stored, text_groups, whole
 from searchtide.llm.components import components
 
 #: Bytes of text that are hashed at once, and characters of texts that a task holds.
@@ -265,6 +265,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], ["hash", "n"]
             )
+        give_back()
 
     # N-grams that share a cell of the filter are both common, in every document alike.
     packed = _filter(
@@ -292,6 +293,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 pa.array(keys, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a", "b", "size", "class", "keys"])
+        give_back()
 
     kinds = "doc_id long, a long, b long, size long, class long, keys array<long>"
     a, b = _digests("text")
@@ -446,6 +448,7 @@ def _compared(tiles: DataFrame, percent: int) -> DataFrame:
             yield of_tiles(frame[~open_])
         if rest is not None:
             yield of_tiles(rest)
+        give_back()
 
     def of_tiles(frame: pd.DataFrame) -> pd.DataFrame:
         links = []
@@ -569,6 +572,7 @@ def _sets(docs: DataFrame, picked: DataFrame, n: int) -> DataFrame:
                     found[own] = grams.tobytes()
             columns = [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["class", "grams"])
+        give_back()
 
     sets = _texts(docs).mapInArrow(hashed, "class long, grams binary")
     return sets.join(picked, "class").dropDuplicates(["class"])

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.common import ship_package, text_groups
+from searchtide.llm.common import give_back, ship_package, text_groups
 
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 PIECES = ", ".join(f"{name} long" for name in NAMES)
@@ -37,6 +37,8 @@ _PIECES = re.compile(
 )
 #: Characters of text whose words are held at once, and words remembered.
 SEGMENT, REMEMBERED, LONGEST = 1_000_000, 200_000, 64
+#: New words that the tokenizer is given at once.
+LEARNT = 10_000
 
 
 class WordTokenizer:
@@ -86,7 +88,9 @@ class WordTokenizer:
         known = {w: older[w] for w in unseen if w in older}
         new = list(unseen.difference(known))
         recent.update(known)
-        recent.update(self._learn(new, pieces) if new else {})
+        # The tokenizer takes many times the room of what it cuts, so it gets a part at a time.
+        for first in range(0, len(new), LEARNT):
+            recent.update(self._learn(new[first : first + LEARNT], pieces))
         found = [b"".join(map(recent.__getitem__, words)) for words in groups]
         for word in new:
             if len(word) > LONGEST:
@@ -281,6 +285,7 @@ def pack(
                 yield closed()
         if rows:
             yield closed()
+        give_back()
 
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(

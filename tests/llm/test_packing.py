@@ -58,6 +58,17 @@ def test_ids_are_the_tokenizers(library):
         assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_the_tokenizer_gets_few_words_at_once(monkeypatch, library):
+    monkeypatch.setattr(packing, "LEARNT", 4, raising=False)
+    tokenizer = packing.WordTokenizer(word_tokenizer())
+    given, learn = [], tokenizer._learn
+    monkeypatch.setattr(tokenizer, "_learn", lambda words, pieces: given.append(len(words)) or learn(words, pieces))
+    texts = [" ".join(f"word{chr(97 + i)}{chr(97 + j)}" for i in range(9)) for j in range(5)] + ["日本 привет й ещё раз два", ""]
+    for text, own in zip(texts, tokenizer.ids(texts), strict=True):
+        assert np.frombuffer(own, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(given) <= 4 and sum(given) >= 51
+
+
 def test_small_memory_gives_the_same(monkeypatch, library):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     monkeypatch.setattr(packing, "SEGMENT", 7)
