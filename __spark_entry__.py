@@ -357,12 +357,8 @@ def _run_together(spark, d):
 
 def _phrases(spark, d):
     """Counts of all texts' runs of six words, those of odd documents without accents."""
-    texts = table(spark, d, "documents").select("doc_id", F.split(text.normalize(F.col("text")), " ").alias("words"))
-    runs = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("words") - 1) / 6).cast("int")),
-        lambda i: F.array_join(F.slice("words", i * 6 + 1, 6), " "),
-    )
-    each = texts.select("doc_id", F.explode(runs).alias("keyword")).where("keyword <> ''")
+    runs = F.regexp_extract_all(text.normalize(F.col("text")), F.lit("[^ ]+(?: [^ ]+){0,5}"), F.lit(0))
+    each = table(spark, d, "documents").select("doc_id", F.explode(runs).alias("keyword"))
     typed = F.when(F.col("doc_id") % 2 == 1, text.unaccent(F.col("keyword"))).otherwise(F.col("keyword"))
     return N.keyword_counts(each.select(typed.alias("keyword")))
 

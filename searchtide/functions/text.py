@@ -24,9 +24,10 @@ def normalize(text: Column) -> Column:
 
     Blanks of every kind part words, marks are dropped.
     """
-    parted = F.regexp_replace(F.lower(text), rf"(?U)[\p{{Z}}{BLANK[1:-1]}]+", " ")
-    kept = F.regexp_replace(parted, r"[^\p{L}\p{M}\p{N} ]", "")
-    return F.trim(F.regexp_replace(kept, " +", " "))
+    # Single blanks, which most are, match nothing.
+    parted = F.regexp_replace(F.lower(text), rf"(?U)[\p{{Z}}{BLANK[1:-1]}&&[^ ]]+", " ")
+    kept = F.regexp_replace(parted, r"[^\p{L}\p{M}\p{N} ]+", "")
+    return F.trim(F.regexp_replace(kept, "  +", " "))
 
 
 def fold(text: Column, collation: str = "UNICODE_CI_AI") -> Column:
@@ -51,4 +52,5 @@ def _plain_letters() -> tuple[str, str]:
 def unaccent(text: Column) -> Column:
     """The text without accents, composed or not, and without strokes through letters."""
     accented, plain = _plain_letters()
-    return F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), accented, plain)
+    is_ascii = F.is_valid_utf8(text) & (F.octet_length(text) == F.char_length(text))
+    return F.when(is_ascii, text).otherwise(F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), accented, plain))

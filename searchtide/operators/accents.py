@@ -5,7 +5,7 @@ words follow each other. A keyword is a chain of such choices, and the most like
 chain is found by a Viterbi search over bigrams.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchtide.functions.text import unaccent
@@ -16,115 +16,179 @@ from searchtide.session import scratch_path
 #: Weight of a word's own share against that of the pair it is in.
 SMOOTH = 2
 
-#: Hashes by which what is found goes back to its keyword; few bits make few bytes to shuffle.
-KEYS = 2**40
+#: Hashes at which words that change are marked, a power of two: 2 MB, whatever the log.
+KEYS = 2**24
 
-_STATE = "array<struct<word: string, cost: bigint, words: array<string>>>"
+_STATE = "array<struct<cost: bigint, text: string>>"
 
 
 def is_accented(text: Column) -> Column:
     return text != unaccent(text)
 
 
-def _steps(words: Column) -> Column:
-    """(before, word) for each of an array of words; the empty word is before the first."""
-    return F.transform(
-        words, lambda w, i: F.struct(F.coalesce(F.get(words, i - 1), F.lit("")).alias("before"), w.alias("word"))
+def _stored(spark: SparkSession, table: DataFrame, name: str) -> DataFrame:
+    """The table, worked out once and read from the session's checkpoint folder."""
+    path = scratch_path(spark, name)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def _words(keyword: Column) -> Column:
+    """The words that blanks part; one empty word if there is none."""
+    trimmed = F.trim(keyword)
+    return F.when(trimmed.contains("  "), F.split(trimmed, " +")).otherwise(F.split(trimmed, " "))
+
+
+def _steps(keywords: DataFrame, *columns: str) -> DataFrame:
+    """(*columns, at, before, word): each word and the one before it, the empty one before the first."""
+    placed = keywords.withColumn("words", _words(F.col("keyword"))).select(
+        *columns, "words", F.posexplode("words").alias("at", "word")
     )
+    before = F.coalesce(F.get("words", F.col("at") - 1), F.lit(""))
+    return placed.where("word <> ''").select(*columns, "at", before.alias("before"), "word")
 
 
-def _choices(known: DataFrame, begins: Column) -> DataFrame:
-    """(word, choices): what a word may stand for, with its searches and their share, in order.
+def _choices(pairs: DataFrame) -> DataFrame:
+    """(word, names, n, shares): what a word may stand for, in order, with its searches and their share.
 
     Known words and plain forms of known words are here; any other word stands for
     itself. A word with accents stands for itself too. A keyword's beginning is a word
     of its own, the empty one.
     """
-    total = known.agg(F.sum("n").cast("double")).scalar()
+    total = pairs.agg(F.sum("together").cast("double")).scalar()
+    known = pairs.groupBy(F.col("second").alias("word")).agg(F.sum("together").alias("n"))
     shares = known.withColumn("share", F.coalesce(F.col("n"), F.lit(0)).cast("double") / total)
-    choice = F.struct(F.col("word").alias("choice"), "n", "share")
-    plain = shares.withColumn("plain", unaccent(F.col("word")))
-    forms = plain.groupBy("plain").agg(F.sort_array(F.collect_list(choice)).alias("choices"))
-    forms = forms.where(~is_accented(F.col("plain"))).select(F.col("plain").alias("word"), "choices")
-    own = shares.where(is_accented(F.col("word"))).select("word", F.array(choice).alias("choices"))
+    choice = F.struct(F.col("word").alias("name"), "n", "share")
+    forms = shares.groupBy(unaccent(F.col("word")).alias("plain")).agg(
+        F.sort_array(F.collect_list(choice)).alias("choices")
+    )
+    plain = F.col("plain")
+    form = F.filter(
+        F.array(F.struct(plain.alias("word"), "choices")), lambda f: (f["word"] != "") & ~is_accented(f["word"])
+    )
+    own = F.transform(
+        F.filter("choices", lambda c: c["name"] != plain),
+        lambda c: F.struct(c["name"].alias("word"), F.array(c).alias("choices")),
+    )
     # One row, or none where nothing is known.
-    first = known.agg(F.count("*").alias("words")).where("words > 0").select(
-        F.lit("").alias("word"), F.array(_alone(F.lit(""), begins)).alias("choices")
+    begins = pairs.where("first = ''").agg(F.sum("together").alias("n")).where("n IS NOT NULL")
+    empty = F.struct(F.lit("").alias("name"), "n", F.lit(0.0).alias("share"))
+    first = begins.select(F.lit("").alias("word"), F.array(empty).alias("choices"))
+    each = F.col("choices")
+    return (
+        forms.select(F.inline(F.concat(form, own)))
+        .unionByName(first)
+        .select("word", each["name"].alias("names"), each["n"].alias("n"), each["share"].alias("shares"))
     )
-    return forms.unionByName(own).unionByName(first)
 
 
-def _alone(word: Column, n: Column) -> Column:
-    return F.struct(word.alias("choice"), n.alias("n"), F.lit(0.0).alias("share"))
+def _place(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(KEYS - 1))
+
+
+def _marks(words: DataFrame) -> Column:
+    """Marks at the hashes of words, 64 in a number: one array of a fixed size."""
+    slot = F.shiftright(_place(F.col("word")), 6).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _place(F.col("word")))
+    marked = words.select(slot.alias("id"), bit.alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
+    every = words.sparkSession.range(max(KEYS // 64, 1)).join(marked, "id", "left")
+    bits = F.coalesce("bits", F.lit(0).cast("long")).alias("bits")
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", bits)))["bits"]).scalar()
+
+
+def _marked(marks: Column, word: Column) -> Column:
+    """True for words that were marked, and for a few others."""
+    bits = F.get(marks, F.shiftright(_place(word), 6))
+    return F.call_function("shiftright", bits, _place(word)).bitwiseAND(F.lit(1)) == 1
 
 
 def _costs(asked: DataFrame, choices: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(before, word, costs): the cost of every pair of choices of two words in a row, in order."""
+    """(before, word, seconds, costs) of two words in a row, where they differ from the words alone.
 
-    def of(word: str) -> Column:
-        alone = F.array(_alone(F.col(word), F.lit(0).cast("long")))
-        return F.coalesce("choices", alone).alias(f"of_{word}")
+    ``seconds`` are the choices of the second word, null if it stays as it is; ``costs``
+    those of every pair of choices, in order, null if there is only one.
+    """
+
+    def alone(column: str, value: Column) -> Column:
+        return F.coalesce(column, F.array(value))
 
     # Choices are told from their words by accents alone, so their pairs have one plain form.
     seen = pairs.groupBy(unaccent(F.col("first")).alias("plain_first"), unaccent(F.col("second")).alias("plain_second")).agg(
         F.collect_list(F.struct("first", "second", "together")).alias("seen")
     )
     plain = (F.col("plain_first") == unaccent(F.col("before"))) & (F.col("plain_second") == unaccent(F.col("word")))
+    none = F.lit(0).cast("long")
     both = (
         asked.join(choices.withColumnRenamed("word", "before"), "before", "left")
-        .select("before", "word", of("before"))
-        .join(choices, "word", "left")
-        .select("before", "word", "of_before", of("word"))
+        .select("before", "word", alone("names", F.col("before")).alias("firsts"), alone("n", none).alias("n"))
+        .join(choices.select("word", "names", "shares"), "word", "left")
+        .select("before", "word", "firsts", "n", alone("names", F.col("word")).alias("names"), alone("shares", F.lit(0.0)).alias("shares"))
         .join(seen, plain, "left")
     )
 
-    def cost(a: Column, b: Column) -> Column:
-        own = F.filter("seen", lambda s: (s["first"] == a["choice"]) & (s["second"] == b["choice"]))
+    def cost(a: Column, n: Column, b: Column, share: Column) -> Column:
+        own = F.filter("seen", lambda s: (s["first"] == a) & (s["second"] == b))
         together = F.coalesce(F.get(own, F.lit(0))["together"], F.lit(0))
-        likely = (together + SMOOTH * b["share"]) / (F.coalesce(a["n"], F.lit(0)) + SMOOTH)
-        # What is not known has no choice beside it, so any cost will do.
-        return F.when(likely > 0, F.floor(-COST * F.log(likely))).otherwise(0).cast("long")
-
-    costs = F.flatten(F.transform("of_before", lambda a: F.transform("of_word", lambda b: cost(a, b))))
-    return both.select("before", "word", costs.alias("costs"))
+        likely = (together + SMOOTH * share) / (F.coalesce(n, F.lit(0)) + SMOOTH)
+        # What is not known has no choice beside it, so any cost will do; its logarithm is null.
+        return F.coalesce(F.floor(-COST * F.log(likely)).cast("long"), F.lit(0))
 
+    costs = F.flatten(
+        F.transform(
+            "firsts",
+            lambda a, i: F.transform("names", lambda b, j: cost(a, F.get("n", i), b, F.get("shares", j))),
+        )
+    )
+    changed = F.col("names") != F.array("word")
+    priced = (F.size("firsts") > 1) | (F.size("names") > 1)
+    return both.where(changed | priced).select(
+        "before", "word", F.when(changed, F.col("names")).alias("seconds"), F.when(priced, costs).alias("costs")
+    )
 
-def _cheapest(steps: Column) -> Column:
-    """The words of the cheapest chain through an array of arrays of edges."""
-    begin = F.expr(f"CAST(array(struct('', 0L, array())) AS {_STATE})")
 
-    def shortest(longer: Column):
-        """A word's chain: the first of those that end in it."""
+def _cheapest(words: str, found: str) -> Column:
+    """The cheapest chain of the choices of words, parted by blanks, by what was found for some of them.
 
-        def of(word: Column) -> Column:
-            own = F.transform(F.filter(longer, lambda c: c["word"] == word), lambda c: c["best"])
-            return F.struct(
-                word.alias("word"), F.array_min(own)["cost"].alias("cost"), F.array_min(own)["words"].alias("words")
-            )
+    Choices differ in accents alone, so chains are in the same order as their words.
+    """
 
-        return of
+    def joined(start: Column, end: Column) -> Column:
+        """Words in a row, each after a blank."""
+        row = F.concat(F.array(F.lit("")), F.slice(words, start + 1, end - start))
+        return F.when(end > start, F.array_join(row, " ")).otherwise("")
+
+    def behind(i: Column) -> Column:
+        """The place behind the word before the i-th of those found."""
+        return F.coalesce(F.get(found, i - 1)["at"] + 1, F.lit(0))
+
+    steps = F.transform(
+        found,
+        lambda p, i: F.struct(
+            joined(behind(i), p["at"]).alias("gap"),
+            F.coalesce(p["seconds"], F.array(F.get(words, p["at"]))).alias("seconds"),
+            p["costs"].alias("costs"),
+        ),
+    )
+    begin = F.expr(f"CAST(array(struct(0L, '')) AS {_STATE})")
 
-    def onward(state: Column, edges: Column) -> Column:
+    def onward(state: Column, step: Column) -> Column:
         """For each choice of a word the cheapest chain that ends in it."""
-        longer = F.transform(
-            edges,
-            lambda e: F.struct(
-                e["second"].alias("word"),
-                F.array_min(
-                    F.transform(
-                        F.filter(state, lambda s: s["word"] == e["first"]),
-                        lambda s: F.struct(
-                            (s["cost"] + e["cost"]).alias("cost"),
-                            F.concat(s["words"], F.array(e["second"])).alias("words"),
-                        ),
-                    )
-                ).alias("best"),
+        n = F.size(step["seconds"])
+        return F.transform(
+            step["seconds"],
+            lambda b, j: F.array_min(
+                F.transform(
+                    state,
+                    lambda s, i: F.struct(
+                        (s["cost"] + F.coalesce(F.get(step["costs"], i * n + j), F.lit(0))).alias("cost"),
+                        F.concat(s["text"], step["gap"], F.lit(" "), b).alias("text"),
+                    ),
+                )
             ),
         )
-        return F.transform(F.array_distinct(F.transform(longer, lambda c: c["word"])), shortest(longer))
 
-    chains = F.aggregate(steps, begin, onward)
-    return F.array_min(F.transform(chains, lambda c: F.struct(c["cost"], c["words"])))["words"]
+    chain = F.array_min(F.aggregate(steps, begin, onward))["text"]
+    return F.ltrim(F.concat(chain, joined(behind(F.size(found)), F.size(words))))
 
 
 def restore_accents(counts: DataFrame) -> DataFrame:
@@ -135,87 +199,44 @@ def restore_accents(counts: DataFrame) -> DataFrame:
     accents; of chains that cost the same the first in order wins. Words are parted by
     blanks, which become single ones. Null, empty and blank keywords stay.
 
-    The distinct keywords are stored once, below the session's checkpoint folder, and
-    read from there. Every word is looked up among those that change or have a choice;
-    costs are worked out only for two words in a row of which one has a choice, as all
-    others are the same in every chain. What is found goes back to its keyword by a hash
-    of it. It depends on the words alone, so keywords of the same hash may share it.
+    The distinct keywords, the pairs of words learned, the choices and the words asked
+    for are stored once, below the session's checkpoint folder, and read from there.
+    Words that change are marked by their hash in an array of a fixed size, so that only
+    they and their neighbours are shuffled, by the number of their keyword; a word marked
+    by chance is looked up for nothing.
     """
-    path = scratch_path(counts.sparkSession, "keywords")
-    rolled = roll_up(counts, ["keyword"])
-    rolled.write.parquet(path)
-    kept = counts.sparkSession.read.schema(rolled.schema).parquet(path).withColumn("key", F.coalesce(F.pmod(F.xxhash64("keyword"), F.lit(KEYS)), F.lit(0)))
-    split = F.filter(F.split("keyword", " +"), lambda w: w != "")
-
-    accented = kept.where(is_accented(F.col("keyword"))).withColumn("words", split)
-    pairs = (
-        accented.select("search_count", F.inline(_steps(F.col("words"))))
+    spark = counts.sparkSession
+    numbered = roll_up(counts, ["keyword"]).withColumn("key", F.monotonically_increasing_id())
+    kept = _stored(spark, numbered, "keywords")
+    accented = kept.where(is_accented(F.col("keyword")))
+    learned = (
+        _steps(accented, "search_count")
         .groupBy(F.col("before").alias("first"), F.col("word").alias("second"))
         .agg(F.sum("search_count").alias("together"))
     )
-    known = pairs.groupBy(F.col("second").alias("word")).agg(F.sum("together").alias("n"))
-    choices = _choices(known, pairs.where("first = ''").agg(F.sum("together")).scalar())
-    names = F.col("choices")["choice"]
-    changed = choices.where(names != F.array("word")).select("word", names.alias("options"))
-    found = (
-        kept.select("key", F.explode(F.array_distinct(split)).alias("word"))
-        .join(changed, "word")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("word", "options")).alias("found"))
-    )
-
-    def options(word: Column) -> Column:
-        return F.coalesce(F.get(F.filter("found", lambda f: f["word"] == word), F.lit(0))["options"], F.array(word))
-
-    near = kept.join(found, "key", "left").withColumn("words", split)
-    near = near.withColumn("options", F.transform("words", options))
-    begin = F.array(F.lit(""))
-    open_ = F.exists("options", lambda o: F.size(o) > 1)
-    chosen = F.transform(
-        _steps(F.col("words")),
-        lambda s, i: F.struct(
-            s["before"].alias("before"),
-            s["word"].alias("word"),
-            F.when(i == 0, begin).otherwise(F.get("options", i - 1)).alias("firsts"),
-            F.get("options", i).alias("seconds"),
-        ),
-    )
-    asked = F.array_distinct(
-        F.transform(
-            F.filter(chosen, lambda c: (F.size(c["firsts"]) > 1) | (F.size(c["seconds"]) > 1)),
-            lambda c: F.struct(c["before"].alias("before"), c["word"].alias("word")),
-        )
+    pairs = _stored(spark, learned, "pairs")
+    choices = _stored(spark, _choices(pairs), "choices")
+    open_ = _marks(choices.where(F.size("names") > 1))
+    changed = _marks(choices.where(F.col("names") != F.array("word")))
+
+    # A word that has no choice, nor the one before it, is asked for as if it were the first.
+    priced = _marked(open_, F.col("word")) | _marked(open_, F.col("before"))
+    spots = _stored(
+        spark,
+        _steps(kept, "key")
+        .where(_marked(changed, F.col("word")) | _marked(open_, F.col("before")))
+        .select("key", "at", F.when(priced, F.col("before")).otherwise("").alias("before"), "word"),
+        "spots",
     )
-    # Both ask for all columns, so that the shuffle of the keywords is that of the last join.
-    none = F.coalesce(F.pmod(F.xxhash64("search_count"), F.lit(1)), F.lit(0))
-    spots = near.where(open_).select((F.col("key") + none).alias("key"), F.inline(asked))
-    each = spots.select("before", "word", F.pmod("key", F.lit(1)).alias("none")).distinct()
-    costs = _costs(each, choices, pairs)
-    priced = (
+    near = pairs.where(_marked(open_, unaccent(F.col("first"))) | _marked(open_, unaccent(F.col("second"))))
+    costs = _costs(spots.select("before", "word").distinct(), choices, near)
+    found = (
         spots.join(costs, ["before", "word"])
+        .repartition("key")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("before", "word", "costs")).alias("priced"))
-    )
-
-    def edges(step: Column) -> Column:
-        """Every pair of choices with its cost; the only pair where there is no choice."""
-        own = F.filter("priced", lambda p: (p["before"] == step["before"]) & (p["word"] == step["word"]))
-        crossed = F.flatten(
-            F.transform(
-                step["firsts"],
-                lambda a: F.transform(step["seconds"], lambda b: F.struct(a.alias("first"), b.alias("second"))),
-            )
-        )
-        cost = F.get(own, F.lit(0))["costs"]
-        return F.transform(
-            crossed,
-            lambda e, i: F.struct(
-                e["first"].alias("first"), e["second"].alias("second"), F.coalesce(F.get(cost, i), F.lit(0)).alias("cost")
-            ),
-        )
-
-    best = F.when(open_, _cheapest(F.transform(chosen, edges))).otherwise(F.transform("options", lambda o: o[0]))
-    restored = F.when(F.size("words") > 0, F.array_join(best, " ")).otherwise(F.col("keyword"))
-    return near.join(priced, "key", "left").select(
-        "keyword", "search_count", F.coalesce(restored, "keyword").alias("restored")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "seconds", "costs"))).alias("found"))
     )
+    split = kept.join(found, "key", "left").withColumn("words", _words(F.col("keyword")))
+    best = F.when(F.col("found").isNull(), F.array_join("words", " ")).otherwise(_cheapest("words", "found"))
+    restored = F.when(F.trim("keyword") != "", best).otherwise(F.col("keyword"))
+    return split.select("keyword", "search_count", F.coalesce(restored, "keyword").alias("restored"))

@@ -204,6 +204,32 @@ def test_accents_shuffle_words_without_their_keywords(spark, monkeypatch):
     assert bag(found.where("keyword IS NULL OR trim(keyword) = ''")) == sorted([("  ", 1, "  "), (None, 2, None)], key=repr)
 
 
+def test_accents_ask_for_words_that_change_and_their_neighbours_only(spark, monkeypatch):
+    """Other words are neither shuffled nor in a chain; each job reads what the one before stored."""
+    stored, real = {}, accents._stored
+    monkeypatch.setattr(accents, "_stored", lambda s, t, name: stored.setdefault(name, real(s, t, name)))
+    plain = [(f"w{i} v{i % 7} u{i} t{i}", 1) for i in range(300)]
+    rows = [("mò da", 4), ("mo dà", 3), ("xu ré", 2), ("mo w1 re v1  da", 1), ("\u0301 dà", 1), ("re", 1)]
+    found = accents.restore_accents(spark.createDataFrame(plain + rows, COUNTS))
+    # A choice is asked for with the word before it and in the one behind it, other changes alone.
+    asked = [("", "da"), ("", "mo"), ("", "re"), ("mo", "da"), ("mo", "w1"), ("da", "w1"), ("v1", "da"), ("mò", "da"), ("mo", "dà")]
+    spots = set(tuples(stored["spots"].select("before", "word")))
+    assert spots <= set(asked) and len(spots) >= 6
+    assert stored["spots"].count() < 20
+    right = {r["keyword"]: r["restored"] for r in found.collect()}
+    assert right["re"] == "ré" and right["mo w1 re v1  da"] == "mò w1 ré v1 da"
+    assert all(right[k] == k for k, _ in plain) and len(right) == len(plain) + len(rows)
+
+
+@pytest.mark.parametrize("raw", ["a \t b", "\u3000a\x1c\x1f b.\u2028. c\x85", "Été  -  là\u00a0!", " . ", "", "x - y", "ẞ İ \U0001d400 e\u0301"])
+def test_normalize_letter_by_letter(spark, raw):
+    """One blank between words, whatever parted them."""
+    kept = "".join(" " if c.isspace() else c for c in raw.lower())
+    kept = " ".join("".join(c for c in kept if c == " " or unicodedata.category(c)[0] in "LMN").split())
+    found = spark.createDataFrame([(raw,)], "t string").select(text.normalize(F.col("t"))).first()[0]
+    assert found == kept
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_lost_accents_come_back(spark):
     """Runs of six words of a third of the texts, learned from the others and from them."""
