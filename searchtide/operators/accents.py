@@ -33,10 +33,15 @@ def _stored(spark: SparkSession, table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def _spaced(keyword: Column) -> Column:
+    """The words of a keyword with one blank between them."""
+    trimmed = F.trim(keyword)
+    return F.when(trimmed.contains("  "), F.regexp_replace(trimmed, " +", " ")).otherwise(trimmed)
+
+
 def _words(keyword: Column) -> Column:
     """The words that blanks part; one empty word if there is none."""
-    trimmed = F.trim(keyword)
-    return F.when(trimmed.contains("  "), F.split(trimmed, " +")).otherwise(F.split(trimmed, " "))
+    return F.split(_spaced(keyword), " ")
 
 
 def _steps(keywords: DataFrame, *columns: str) -> DataFrame:
@@ -236,7 +241,9 @@ def restore_accents(counts: DataFrame) -> DataFrame:
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("at", "seconds", "costs"))).alias("found"))
     )
-    split = kept.join(found, "key", "left").withColumn("words", _words(F.col("keyword")))
-    best = F.when(F.col("found").isNull(), F.array_join("words", " ")).otherwise(_cheapest("words", "found"))
+    split = kept.join(found, "key", "left").withColumn(
+        "words", F.when(F.col("found").isNotNull(), _words(F.col("keyword")))
+    )
+    best = F.when(F.col("found").isNull(), _spaced(F.col("keyword"))).otherwise(_cheapest("words", "found"))
     restored = F.when(F.trim("keyword") != "", best).otherwise(F.col("keyword"))
     return split.select("keyword", "search_count", F.coalesce(restored, "keyword").alias("restored"))
